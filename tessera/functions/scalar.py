@@ -54,7 +54,7 @@ def jvm_split(c, sep: str = " ", regex: bool = False) -> Column:
     """
     c = as_col(c)
     pattern = sep if regex else _regex_escape(sep)
-    stripped = F.regexp_replace(c, f"(?:{pattern})+$", "")
+    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
     return (F.when(c.isNull(), F.lit(None))
             .when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
