@@ -23,22 +23,45 @@ MAX_PRECISION = 12
 AXIS_BITS = 30  # 60 bits = 12 characters, 30 per axis
 
 
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (keeps the expression
+    tree small: a lambda variable instead of copies of the subtree)."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def _axis_index(v: Column, lo: float, hi: float, bits: int = AXIS_BITS) -> Column:
     """Largest k with ``lo + k*(hi-lo)/2^bits <= v`` (clamped to the last cell)."""
     n = 1 << bits
     width = (hi - lo) / n
-    k = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(n))).cast("bigint")
-    k = F.least(F.greatest(k, F.lit(0)), F.lit(n - 1))
-    edge = F.lit(lo) + k.cast("double") * F.lit(width)
-    k = F.when(edge > v, k - 1).otherwise(k)
-    nxt = F.lit(lo) + (k + 1).cast("double") * F.lit(width)
-    k = F.when((nxt <= v) & (k < n - 1), k + 1).otherwise(k)
-    return F.least(F.greatest(k, F.lit(0)), F.lit(n - 1))
+    k0 = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(n))).cast("bigint"), F.lit(0)),
+                 F.lit(n - 1))
+
+    def down(k):
+        return F.when(F.lit(lo) + k.cast("double") * F.lit(width) > v, k - 1).otherwise(k)
+
+    def up(k):
+        nxt = F.lit(lo) + (k + 1).cast("double") * F.lit(width)
+        return F.least(F.greatest(F.when((nxt <= v) & (k < n - 1), k + 1).otherwise(k), F.lit(0)), F.lit(n - 1))
+
+    return _bind(_bind(k0, down), up)
 
 
-def _bit(idx: Column, j: int) -> Column:
-    """Bit j (0 = most significant) of a 30-bit axis index."""
-    return F.shiftright(idx, AXIS_BITS - 1 - j).bitwiseAND(F.lit(1))
+def _geohash12(lon_idx: Column, lat_idx: Column) -> Column:
+    alphabet = F.array(*[F.lit(ch) for ch in GEOHASH_ALPHABET])
+
+    def chars(s):
+        out = []
+        for c in range(MAX_PRECISION):
+            v = None
+            for t in range(5):
+                g = 5 * c + t
+                axis = s["a"] if g % 2 == 0 else s["b"]
+                term = F.shiftright(axis, AXIS_BITS - 1 - g // 2).bitwiseAND(F.lit(1)) * (1 << (4 - t))
+                v = term if v is None else v + term
+            out.append(F.element_at(alphabet, (v + 1).cast("int")))
+        return F.concat(*out)
+
+    return _bind(F.struct(lon_idx.alias("a"), lat_idx.alias("b")), chars)
 
 
 def geohash(lat, lon, precision=12, on_out_of_range: str = "error") -> Column:
@@ -51,22 +74,8 @@ def geohash(lat, lon, precision=12, on_out_of_range: str = "error") -> Column:
     lon = as_col(lon).cast("double")
     p = precision if isinstance(precision, Column) else F.lit(int(precision))
     p = F.least(F.greatest(p.cast("int"), F.lit(MIN_PRECISION)), F.lit(MAX_PRECISION))
-
-    lon_idx = _axis_index(lon, -180.0, 180.0)
-    lat_idx = _axis_index(lat, -90.0, 90.0)
-    alphabet = F.array(*[F.lit(ch) for ch in GEOHASH_ALPHABET])
-    chars = []
-    for c in range(MAX_PRECISION):
-        v = None
-        for t in range(5):
-            g = 5 * c + t
-            b = _bit(lon_idx, g // 2) if g % 2 == 0 else _bit(lat_idx, g // 2)
-            term = b * (1 << (4 - t))
-            v = term if v is None else v + term
-        chars.append(F.element_at(alphabet, (v + 1).cast("int")))
-    full = F.concat(*chars)
-    code = F.substring(full, 1, 12)
-    out = F.substr(code, F.lit(1), p)
+    full = _geohash12(_axis_index(lon, -180.0, 180.0), _axis_index(lat, -90.0, 90.0))
+    out = F.substr(full, F.lit(1), p)
     bad = (lat < -90) | (lat > 90) | (lon < -180) | (lon > 180) | F.isnan(lat) | F.isnan(lon)
     if on_out_of_range == "null":
         out = F.when(bad, F.lit(None).cast("string")).otherwise(out)

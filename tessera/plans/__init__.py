@@ -1,6 +1,6 @@
 """Query bindings over the driver's tables (used by ``__spark_entry__``)."""
 
-from . import graph_queries, profile_queries, text_queries, ts_queries  # noqa: F401  (registers queries)
+from . import graph_queries, misc_queries, profile_queries, text_queries, ts_queries  # noqa: F401,E501
 from .common import REGISTRY, Query, register
 
 __all__ = ["REGISTRY", "Query", "register"]

@@ -9,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 BARS_COLUMNS = ["t_date", "open_pr", "high_pr", "low_pr", "close_pr", "adj_close_pr", "volume", "symbol"]
 BARS_DDL = ("t_date int, open_pr double, high_pr double, low_pr double, close_pr double, "
             "adj_close_pr double, volume bigint, symbol string")
@@ -92,6 +94,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "row_
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
                     .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), 33) + 1))
+    # Range boundaries come from a sample that is redrawn on every evaluation,
+    # so the numbered rows are materialised once before counting.
+    ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
