@@ -156,16 +156,84 @@ PROFILE_COLUMNS = ["guid", "install_app", "install_category_count", "install_sub
                    "open_category_times", "open_subcategory_days", "open_subcategory_times", "open_tag_days",
                    "open_tag_times", "date_p"]
 
-
-def app_profile(installs: DataFrame, opens: DataFrame, meta: DataFrame, date_p: str,
+FAMILIES = ("category", "sub_category", "tag")
+
+
+def _family_keys(meta: DataFrame, tag_sep: str) -> DataFrame:
+    """``(app_name, fam, key)``: every (family, key) of an app in one row set,
+    with the same rules as ``app_dimensions`` (non-blank category and
+    sub-category; tags split from non-blank tag text, empty pieces kept)."""
+    entry = "struct<fam:string,key:string>"
+    one = [F.when(non_blank(c), F.struct(F.lit(c).alias("fam"), F.col(c).cast("string").alias("key")))
+           for c in ("category", "sub_category")]
+    tags = F.when(non_blank("tags"),
+                  F.transform(F.split("tags", _escape(tag_sep), -1),
+                              lambda x: F.struct(F.lit("tag").alias("fam"), x.alias("key"))))
+    allk = F.concat(F.array(*one).cast(f"array<{entry}>"),
+                    F.coalesce(tags.cast(f"array<{entry}>"), F.array().cast(f"array<{entry}>")))
+    return (meta.select("app_name", F.explode(allk).alias("f"))
+                .where(F.col("f").isNotNull())
+                .select("app_name", F.col("f.fam").alias("fam"), F.col("f.key").alias("key")))
+
+
+def _family_map(entries: str, fam: str, key: str, value: str):
+    """Map of one family from a user's collected entries; NULL when the user
+    has none (as a left join would give)."""
+    picked = F.filter(F.col(entries), lambda e: e["fam"] == fam)
+    m = F.map_from_entries(F.array_sort(F.transform(picked, lambda e: F.struct(e[key].alias("k"),
+                                                                               e[value].alias("v")))))
+    return F.when(F.size(picked) > 0, m)
+
+
+def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, date_p: str,
                 tag_sep: str = ",") -> DataFrame:
     """PRO-04: installed users left-joined with their open features, plus the
     partition column.  Users with opens but no installs are not in the output
-    (the reference drives from installs, Q10)."""
-    dims = app_dimensions(meta, tag_sep)
-    inst = install_features(installs, dims)
-    op = open_features(opens, dims)
-    return inst.join(op, "guid", "left").withColumn("date_p", F.lit(str(date_p))).select(*PROFILE_COLUMNS)
+    (the reference drives from installs, Q10).
+
+    Plan: one daily pre-aggregate of the opens feeds everything; metadata is
+    joined once per side and exploded into (family, key) rows; one per-user
+    aggregate builds all maps of a side, so the two sides arrive partitioned
+    by user and the final join needs no further shuffle.  ``installs=None``
+    derives installs from the opens (distinct user/app pairs) and reuses the
+    same shuffle.
+    """
+    fam_keys = _family_keys(meta, tag_sep)
+    daily = daily_opens(opens)
+    app_stats = (daily.where(non_blank(F.col("app_name").cast("string")))
+                 .groupBy("guid", "app_name").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
+    fam_open = (daily.join(fam_keys, "app_name")
+                .groupBy("guid", "fam", "key", "day").agg(F.sum("n").alias("n"))
+                .groupBy("guid", "fam", "key").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
+    open_long = (app_stats.select("guid", F.lit("app").alias("fam"), F.col("app_name").alias("app"),
+                                  F.lit(None).cast("string").alias("key"), "days", "times")
+                 .unionByName(fam_open.select("guid", "fam", F.lit(None).cast(app_stats.schema["app_name"].dataType)
+                                              .alias("app"), "key", "days", "times")))
+    opened = open_long.groupBy("guid").agg(F.collect_list(F.struct("fam", "app", "key", "days", "times")).alias("e"))
+    open_cols = [_family_map("e", "app", "app", "days").alias("open_app_days"),
+                 _family_map("e", "app", "app", "times").alias("open_app_times")]
+    for fam, prefix in (("category", "open_category"), ("sub_category", "open_subcategory"), ("tag", "open_tag")):
+        open_cols += [_family_map("e", fam, "key", "days").alias(f"{prefix}_days"),
+                      _family_map("e", fam, "key", "times").alias(f"{prefix}_times")]
+    opened = opened.select("guid", *open_cols)
+
+    inst = installs if installs is not None else app_stats.select("guid", "app_name")
+    inst_fam = (inst.join(fam_keys, "app_name")
+                .groupBy("guid", "fam", "key").agg(F.count_distinct("app_name").alias("count"))
+                .withColumn("count", F.when(F.col("fam") == "tag", F.lit(1).cast("bigint")).otherwise(F.col("count"))))
+    inst_long = (inst.select("guid", F.lit("app").alias("fam"), F.col("app_name").alias("app"),
+                             F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("count"))
+                 .unionByName(inst_fam.select("guid", "fam", F.lit(None).cast(inst.schema["app_name"].dataType)
+                                              .alias("app"), "key", "count")))
+    installed = inst_long.groupBy("guid").agg(F.collect_list(F.struct("fam", "app", "key", "count")).alias("e"))
+    apps = F.array_sort(F.transform(F.filter("e", lambda e: e["fam"] == "app"), lambda e: e["app"]))
+    inst_cols = [apps.alias("install_app")]
+    for fam, name in (("category", "install_category_count"), ("sub_category", "install_subcategory_count"),
+                      ("tag", "install_tag_count")):
+        inst_cols.append(_family_map("e", fam, "key", "count").alias(name))
+    installed = installed.select("guid", *inst_cols)
+    out = installed.join(opened, "guid", "left")
+    return out.withColumn("date_p", F.lit(str(date_p))).select(*PROFILE_COLUMNS)
 
 
 # ------------------------------------------------- tag distribution ---

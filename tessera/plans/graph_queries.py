@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import name_id
 from ..operators import graph as G
 from ..sources.tables import Tables
 from .common import r6, register
@@ -238,3 +239,34 @@ FROM a LEFT JOIN nodes n ON a.wifi_name = n.wifi_name AND a.ip = n.ip LEFT JOIN
 def wifi_id_mapping(t: Tables) -> DataFrame:
     """GRF-10: id mapping with name-hash node ids and unbounded components."""
     return G.map_wifi_ids(wifi_actions(t).drop("bssid", "vid"))
+
+
+@register("component_members", f"""
+WITH RECURSIVE {_WIFI_ACTIONS_SQL},
+n0 AS (SELECT DISTINCT wifi_name, ip FROM a),
+nodes AS (SELECT wifi_name, ip,
+  CAST(CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END AS BIGINT) AS node
+  FROM (SELECT wifi_name, ip, CAST(CAST(('0x' || substr(h, 1, 12) || '3' || substr(h, 14, 3)) AS UBIGINT) AS HUGEINT) AS u
+        FROM (SELECT wifi_name, ip, md5(wifi_name || ip) AS h FROM n0))),
+mem AS (SELECT n.node, g.uid, g.wifi_name FROM nodes n JOIN a g ON n.wifi_name = g.wifi_name AND n.ip = g.ip),
+m AS (SELECT uid, wifi_name, min(node) AS mn FROM mem WHERE node IS NOT NULL GROUP BY uid, wifi_name),
+e AS (SELECT DISTINCT mem.node AS a, m.mn AS b FROM mem JOIN m ON mem.uid = m.uid AND mem.wifi_name = m.wifi_name
+      WHERE mem.node <> m.mn),
+s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+v AS (SELECT node AS id FROM nodes WHERE node IS NOT NULL),
+{_CC_SQL.strip()}
+SELECT cc.lab AS component, count(*) AS size,
+       string_agg(n.wifi_name || '@' || n.ip, ',' ORDER BY n.wifi_name || '@' || n.ip) AS members
+FROM cc JOIN nodes n ON n.node = cc.node GROUP BY cc.lab
+""")
+def component_members(t: Tables) -> DataFrame:
+    """GRF-06 / AGG-14: members of every WiFi cluster as sorted text (the
+    helper refuses clusters above its size limit instead of collecting them)."""
+    acts = wifi_actions(t).drop("bssid", "vid")
+    key = F.concat(F.col("wifi_name"), F.col("ip"))
+    nodes = acts.select("wifi_name", "ip").distinct().withColumn("node", name_id(key))
+    mem = nodes.join(acts.select("uid", "wifi_name", "ip"), ["wifi_name", "ip"], "left")
+    star = G.cooccurrence_edges(mem, ["uid", "wifi_name"], "node")
+    comp = G.connected_components(nodes.select(F.col("node").alias("id")), star, id_col="id")
+    names = nodes.select(F.col("node").alias("id"), F.concat_ws("@", "wifi_name", "ip").alias("name"))
+    return G.component_members(comp, names)

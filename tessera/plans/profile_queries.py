@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.maps import merge_map
 from ..operators import profile as P
 from ..sources.tables import Tables
 from .common import array_text, map_text, register
@@ -166,7 +167,7 @@ LEFT JOIN oapp USING (guid) LEFT JOIN ocat USING (guid) LEFT JOIN osub USING (gu
 """)
 def app_profile(t: Tables) -> DataFrame:
     """PRO-04: the full per-user profile (maps rendered as sorted text)."""
-    df = P.app_profile(installs(t), opens(t), meta(t), "20240101", TAG_SEP)
+    df = P.app_profile(None, opens(t), meta(t), "20240101", TAG_SEP)
     out = []
     for c in df.columns:
         if c in ("guid", "date_p"):
@@ -203,3 +204,16 @@ def tag_distribution(t: Tables) -> DataFrame:
                                                     e["n"].cast("string"))), "\t").alias("distr"))
     df = cells.select(F.col("l_partkey").cast("string").alias("tagid"), "distr")
     return P.tag_distribution(df)
+
+
+@register("merge_map_last", """
+WITH last AS (SELECT user_id, event_type, last(value ORDER BY ts, event_id) AS v
+              FROM events WHERE event_type IS NOT NULL GROUP BY user_id, event_type)
+SELECT user_id, string_agg(event_type || '=' || CAST(v AS VARCHAR), ',' ORDER BY event_type) AS merged
+FROM last GROUP BY user_id
+""")
+def merge_map_last(t: Tables) -> DataFrame:
+    """AGG-17 / UDF-04: per user, event type -> value of the latest event
+    (order (ts, event_id)), rendered as sorted text."""
+    m = merge_map(t.events, ["user_id"], "event_type", "value", ["ts", "event_id"])
+    return m.select("user_id", map_text("merged").alias("merged"))

@@ -111,6 +111,14 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = "\t", null_marker: str = "NULL",
+                    mode: str = "overwrite") -> None:
+    """SRC-07 (write side): delimited text with the NULL marker, no quoting
+    of plain values."""
+    (df.write.mode(mode).option("sep", sep).option("nullValue", null_marker).option("emptyValue", "")
+       .option("quoteAll", "false").csv(path))
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
     """SRC-08: CSV with a header; inferred only when no schema is given."""
     r = spark.read.option("header", "true")
@@ -150,7 +158,7 @@ def parse_follow_pairs(lines: DataFrame, col: str = "value") -> tuple[DataFrame,
     First pair = followee, second = follower; the edge goes followee ->
     follower.  Vertices are the union of both sides, one row per id.
     """
-    parts = F.split(F.regexp_replace(F.col(col), "[()\\s]", ""), ",")
+    parts = F.split(F.regexp_replace(F.col(col), "[()]", ""), ",")
     p = lines.select(F.get(parts, 0).alias("n1"), F.get(parts, 1).try_cast("bigint").alias("i1"),
                      F.get(parts, 2).alias("n2"), F.get(parts, 3).try_cast("bigint").alias("i2"))
     edges = p.select(F.col("i1").alias("src"), F.col("i2").alias("dst"))

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,8 @@ from tessera.session import build_session, checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 8)
+    warehouse = tempfile.mkdtemp(prefix="tessera-wh-")
+    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)  # unset in tests -> a fresh local folder
     yield s
