@@ -36,9 +36,14 @@ def word_count(lines: DataFrame, line: str = "line", sep: str = " ", regex: bool
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
+def doc_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """TXT-01 per document: ``(doc_id, toks)`` with the kept tokens in order."""
+    return docs.select(F.col(doc_id).alias("doc_id"), index_tokens(F.col(text)).alias("toks"))
+
+
 def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-01: ``(doc_id, pos, word)``; positions count kept tokens only."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(index_tokens(F.col(text))).alias("pos", "word"))
+    return doc_tokens(docs, doc_id, text).select("doc_id", F.posexplode("toks").alias("pos", "word"))
 
 
 def build_index(tokens: DataFrame) -> DataFrame:
@@ -68,8 +73,43 @@ def phrase_search(tokens: DataFrame, phrases: DataFrame, phrase: str = "phrase",
     (or the first per document with ``first_only``).  Unlike the reference's
     single greedy scan, every true occurrence is found (Q17)."""
     pt = phrase_table(phrases, phrase, lower)
-    n_pt = pt.count()
-    pt_side = F.broadcast(pt) if n_pt <= MAX_BROADCAST_PHRASE_TOKENS else pt
+    # The phrase list is a query parameter: when it is small (checked with a
+    # bounded fetch) it is evaluated once and broadcast, so no token is
+    # shuffled for the join; a huge phrase list falls back to a shuffle join.
+    head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
+    if len(head) <= MAX_BROADCAST_PHRASE_TOKENS:
+        pt_side = F.broadcast(tokens.sparkSession.createDataFrame(head, pt.schema))
+    else:
+        pt_side = pt
+    hits = tokens.join(pt_side, "word").select("phrase", "n_tokens", "doc_id",
+                                              (F.col("pos") - F.col("offset")).alias("start"), "offset")
+    full = (hits.groupBy("phrase", "doc_id", "start", "n_tokens")
+                .agg(F.count_distinct("offset").alias("k"))
+                .where(F.col("k") == F.col("n_tokens")))
+    if first_only:
+        full = full.groupBy("phrase", "doc_id", "n_tokens").agg(F.min("start").alias("start"))
+    return full.select("phrase", "doc_id", "start", (F.col("start") + F.col("n_tokens") - 1).alias("end"))
+
+
+def phrase_search_docs(doc_toks: DataFrame, phrases: DataFrame, phrase: str = "phrase", first_only: bool = True,
+                       lower: bool = False) -> DataFrame:
+    """TXT-03 on per-document token arrays (``doc_tokens`` output).
+
+    Same result as ``phrase_search``.  When the phrase list is small (bounded
+    fetch), each document keeps only the positions of phrase words inside its
+    own array before anything is exploded, so the bulk of the corpus never
+    becomes rows; a large phrase list falls back to the token join."""
+    pt = phrase_table(phrases, phrase, lower)
+    head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
+    if len(head) > MAX_BROADCAST_PHRASE_TOKENS:
+        tokens = doc_toks.select("doc_id", F.posexplode("toks").alias("pos", "word"))
+        return phrase_search(tokens, phrases, phrase, first_only, lower)
+    vocab = F.array(*[F.lit(w) for w in sorted({r["word"] for r in head})]) if head else F.array().cast("array<string>")
+    marked = F.transform("toks", lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
+    kept = F.filter(marked, lambda x: F.array_contains(vocab, x["word"]))
+    tokens = doc_toks.select("doc_id", F.explode(kept).alias("t")).select("doc_id", "t.pos", "t.word")
+    spark = doc_toks.sparkSession
+    pt_side = F.broadcast(spark.createDataFrame(head, pt.schema))
     hits = tokens.join(pt_side, "word").select("phrase", "n_tokens", "doc_id",
                                               (F.col("pos") - F.col("offset")).alias("start"), "offset")
     full = (hits.groupBy("phrase", "doc_id", "start", "n_tokens")
@@ -94,13 +134,38 @@ def previous_position(positions, start):
     return F.array_max(F.filter(p, lambda x: x < s))
 
 
-def top_ngrams(tokens: DataFrame, n: int = 2, k: int = 5) -> DataFrame:
-    """The ``k`` most frequent n-grams of consecutive kept tokens (ties by
-    text): ``(phrase, freq)``.  A top-k report: the limit is the feature."""
-    grams = tokens.select("doc_id", "pos", "word")
-    for i in range(1, n):
-        nxt = tokens.select("doc_id", (F.col("pos") - i).alias("pos"), F.col("word").alias(f"w{i}"))
-        grams = grams.join(nxt, ["doc_id", "pos"])
-    text = F.concat_ws(" ", "word", *[f"w{i}" for i in range(1, n)])
-    return (grams.groupBy(text.alias("phrase")).agg(F.count(F.lit(1)).alias("freq"))
-                 .orderBy(F.desc("freq"), F.asc("phrase")).limit(k))
+def ngrams(doc_toks: DataFrame, n: int = 2) -> DataFrame:
+    """``(doc_id, pos, phrase)``: every run of ``n`` consecutive kept tokens,
+    built inside each document's token array (no join, no shuffle)."""
+    toks = F.col("toks")
+    size = F.size(toks)
+    grams = toks
+    for j in range(1, n):
+        length = F.greatest(size - j, F.lit(0))
+        grams = F.zip_with(F.slice(grams, F.lit(1), length), F.slice(toks, F.lit(j + 1), length),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
+    return doc_toks.select("doc_id", F.posexplode(grams).alias("pos", "phrase"))
+
+
+def top_ngrams(doc_toks: DataFrame, n: int = 2, k: int = 5) -> DataFrame:
+    """The ``k`` most frequent n-grams (ties by text): ``(phrase, freq)``.
+    Counting is a partial aggregate, so a very common n-gram is pre-reduced
+    map-side; the limit is the feature (a top-k report)."""
+    return (ngrams(doc_toks, n).groupBy("phrase").agg(F.count(F.lit(1)).alias("freq"))
+            .orderBy(F.desc("freq"), F.asc("phrase")).limit(k))
+
+
+def top_ngrams_multi(doc_toks: DataFrame, ks: dict[int, int]) -> DataFrame:
+    """Top-k n-grams for several n from one pass: ``(n, phrase, freq)``.
+    All n-gram lengths are counted in one aggregate; each top-k is a
+    ``limit`` over that shared aggregate."""
+    grams = None
+    for n in sorted(ks):
+        g = ngrams(doc_toks, n).select(F.lit(n).alias("n"), "phrase")
+        grams = g if grams is None else grams.unionByName(g)
+    counts = grams.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"))
+    out = None
+    for n, k in sorted(ks.items()):
+        top = counts.where(F.col("n") == n).orderBy(F.desc("freq"), F.asc("phrase")).limit(k)
+        out = top if out is None else out.unionByName(top)
+    return out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TOKEN_PATTERN, WHITESPACE_CLASS
 from ..operators import search as S
+from ..session import spread
 from ..sources.tables import Tables
 from .common import register
 
@@ -33,7 +34,7 @@ SELECT word, count(*) AS count FROM w GROUP BY word
 """)
 def word_count(t: Tables) -> DataFrame:
     """AGG-13: word count of all document lines, single-space JVM split."""
-    return S.word_count(S.text_lines(t.documents, "text"), "line", " ")
+    return S.word_count(S.text_lines(spread(t.documents), "text"), "line", " ")
 
 
 @register("inverted_index", f"""
@@ -43,7 +44,7 @@ FROM tokens GROUP BY word, doc_id
 """)
 def inverted_index(t: Tables) -> DataFrame:
     """TXT-01/02: positional postings per (word, document)."""
-    idx = S.build_index(S.tokenize(t.documents))
+    idx = S.build_index(S.tokenize(spread(t.documents)))
     return idx.select("word", "doc_id", F.array_join(F.transform("positions", lambda p: p.cast("string")), ",")
                       .alias("positions"))
 
@@ -68,10 +69,9 @@ FROM fullm GROUP BY phrase, doc_id, n
 def phrase_search(t: Tables) -> DataFrame:
     """TXT-03: first occurrence per document of the 5 most frequent bigrams
     and the 3 most frequent trigrams of the corpus."""
-    tokens = S.tokenize(t.documents)
-    phrases = (S.top_ngrams(tokens, 2, N_BIGRAMS).select("phrase")
-               .unionByName(S.top_ngrams(tokens, 3, N_TRIGRAMS).select("phrase")))
-    r = S.phrase_search(tokens, phrases, first_only=True)
+    doc_toks = S.doc_tokens(spread(t.documents))
+    phrases = S.top_ngrams_multi(doc_toks, {2: N_BIGRAMS, 3: N_TRIGRAMS}).select("phrase")
+    r = S.phrase_search_docs(doc_toks, phrases, first_only=True)
     return r.select("phrase", "doc_id", F.col("start").cast("bigint").alias("start"),
                     F.col("end").cast("bigint").alias("end"))
 
@@ -82,4 +82,4 @@ SELECT phrase, freq FROM {_ngram_sql(2, 20)}
 """)
 def top_bigrams(t: Tables) -> DataFrame:
     """The 20 most frequent bigrams (top-k report feeding phrase search)."""
-    return S.top_ngrams(S.tokenize(t.documents), 2, 20)
+    return S.top_ngrams(S.doc_tokens(spread(t.documents)), 2, 20)

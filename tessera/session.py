@@ -88,3 +88,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor loss) and return a DataFrame that reads it back."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give CPU-heavy per-row work (regex tokenising of long texts) at least
+    ``factor`` x the cluster's parallelism in partitions.
+
+    A large input already arrives in many splits and is returned unchanged
+    (no shuffle of the corpus); only an input with fewer partitions than
+    cores -- e.g. a file with a handful of row groups -- is spread with a
+    round-robin repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
