@@ -62,8 +62,10 @@ def _large_star(e: DataFrame) -> DataFrame:
             .unionByName(e.select(F.col("y").alias("u"), F.col("x").alias("v"))))
     m = sym.groupBy("u").agg(F.min("v").alias("mv"))
     m = m.select("u", F.least("u", "mv").alias("m"))
+    # no de-duplication here: the output is at most |sym| rows and the
+    # small-star step that follows removes duplicates in its final distinct
     return (sym.where(F.col("v") > F.col("u")).join(m, "u")
-               .select(F.col("v").alias("x"), F.col("m").alias("y")).distinct())
+               .select(F.col("v").alias("x"), F.col("m").alias("y")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip_upper
+from ..session import cut_lineage
 from ..sources.sinks import global_row_number
 
 
@@ -32,35 +33,66 @@ def min_max_count(df: DataFrame, col: str) -> DataFrame:
                   F.count(col).alias("non_null"))
 
 
-def ranked(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``rank`` (0-based, ascending ``col``) and ``n`` inside their
-    group; NULL values are left out.  Without groups, one constant group."""
+MAX_BROADCAST_GROUPS = 1_000_000
+
+
+def weighted_positions(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Distinct values with their rank interval inside their group:
+    ``(group..., _v, lo, hi, n)`` meaning ranks ``lo .. hi-1`` (0-based) of the
+    ascending order hold ``_v``; ``n`` = non-NULL values in the group.
+
+    Duplicates are folded first (``groupBy(group, value).count()`` -- partial
+    aggregation, so a column with few distinct values shrinks to a tiny
+    table).  The folded table is range-partitioned and sorted on (group,
+    value); cumulative counts come from a per-partition running sum plus
+    partition offsets (a table with one row per partition, broadcast), so no
+    group is ever sorted in a single task."""
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
-    v = src.where(F.col(col).isNotNull()).select(*g, F.col(col).alias("_v"))
-    numbered = global_row_number(v, [*g, "_v"], out="_rn")
-    stats = numbered.groupBy(*g).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("n"))
-    numbered = numbered.join(stats, g)
-    return numbered.select(*g, "_v", (F.col("_rn") - F.col("_start")).alias("rank"), "n")
+    folded = src.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    spark = df.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*g, "_v"]
+    ranged = (folded.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(ranged)  # range boundaries are re-sampled per evaluation: pin them once
+    run = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_cum", F.sum("_c").over(run))
+    totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))
+    offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    pos = (local.join(F.broadcast(offsets), "_pid")
+                .select(*g, "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_s"),
+                        (F.col("_off") + F.col("_cum")).alias("_e")))
+    starts = pos.groupBy(*g).agg(F.min("_s").alias("_gs"), F.max("_e").alias("_ge"))
+    return (pos.join(starts, g)
+               .select(*g, "_v", (F.col("_s") - F.col("_gs")).alias("lo"), (F.col("_e") - F.col("_gs")).alias("hi"),
+                       (F.col("_ge") - F.col("_gs")).alias("n")))
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: ``(group..., q, value)``."""
     g = list(group_cols) or ["_g"]
-    r = ranked(df, col, group_cols)
-    sizes = r.select(*g, "n").distinct()
-    pos = sizes.select(*g, "n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    pos = pos.select(*g, "q", ((F.col("n") - 1) * F.col("q")).alias("p"))
-    pos = pos.select(*g, "q", "p", F.floor("p").alias("lo"), F.ceil("p").alias("hi"))
-    need = (pos.select(*g, F.col("lo").alias("rank")).unionByName(pos.select(*g, F.col("hi").alias("rank")))
-               .distinct())
-    vals = r.join(need, [*g, "rank"]).select(*g, "rank", "_v")
-    lo = vals.select(*g, F.col("rank").alias("lo"), F.col("_v").alias("v_lo"))
-    hi = vals.select(*g, F.col("rank").alias("hi"), F.col("_v").alias("v_hi"))
-    out = pos.join(lo, [*g, "lo"]).join(hi, [*g, "hi"])
-    keep = list(group_cols)
-    return out.select(*keep, "q", (F.col("v_lo") + (F.col("p") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
-                      .alias("value"))
+    wp = cut_lineage(weighted_positions(df, col, group_cols))
+    sizes = wp.select(*g, "n").distinct()
+    need = sizes.select(*g, "n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
+    need = need.select(*g, "q", ((F.col("n") - 1) * F.col("q")).alias("p"))
+    need = need.select(*g, "q", "p", F.floor("p").alias("r_lo"), F.ceil("p").alias("r_hi"))
+    small = sizes.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
+
+    def value_at(rank_col: str, out: str) -> DataFrame:
+        side = need.select(*[F.col(c).alias(f"_k_{c}") for c in g], F.col("q").alias("_q"),
+                           F.col(rank_col).alias("_r"))
+        side = F.broadcast(side) if small else side
+        cond = [F.col(f"_k_{c}") == F.col(c) for c in g] + [F.col("lo") <= F.col("_r"), F.col("_r") < F.col("hi")]
+        return (wp.join(side, cond)
+                  .select(*[F.col(f"_k_{c}").alias(c) for c in g], F.col("_q").alias("q"), F.col("_v").alias(out)))
+
+    lo = value_at("r_lo", "v_lo")
+    hi = value_at("r_hi", "v_hi")
+    out = need.join(lo, [*g, "q"]).join(hi, [*g, "q"])
+    return out.select(*list(group_cols), "q",
+                      (F.col("v_lo") + (F.col("p") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> float | None:
@@ -71,19 +103,21 @@ def quantile_value(df: DataFrame, col: str, q: float) -> float | None:
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG-23: long-form describe, one row per column: count, mean, std
-    (sample), min, 25%, 50%, 75%, max (exact quantiles)."""
-    out = None
-    for c in cols:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-                      F.lit(0).alias("_g"))
-        qs = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        piv = qs.agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
-                       for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))], F.lit(0).alias("_g"))
-        row = base.join(piv, "_g", "left").select(F.lit(c).alias("column"), "count", "mean", "std", "min", "p25", "p50",
-                                         "p75", "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    (sample), min, 25%, 50%, 75%, max (exact quantiles).
+
+    The columns are stacked into ``(column, v)`` rows first, so all columns
+    share one aggregate and one distributed ranking."""
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                          for c in cols])).alias("s"))
+              .select("s.column", "s.v"))
+    base = long.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
+                                      F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
+                                      F.max("v").alias("max"))
+    qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"])
+    piv = qs.groupBy("column").agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
+                                     for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return base.join(piv, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75",
+                                                   "max")
 
 
 def five_number(df: DataFrame, group_cols: str | Sequence[str], col: str) -> DataFrame:
