@@ -176,13 +176,13 @@ def _family_keys(meta: DataFrame, tag_sep: str) -> DataFrame:
                 .select("app_name", F.col("f.fam").alias("fam"), F.col("f.key").alias("key")))
 
 
-def _family_map(entries: str, fam: str, key: str, value: str):
-    """Map of one family from a user's collected entries; NULL when the user
-    has none (as a left join would give)."""
-    picked = F.filter(F.col(entries), lambda e: e["fam"] == fam)
-    m = F.map_from_entries(F.array_sort(F.transform(picked, lambda e: F.struct(e[key].alias("k"),
-                                                                               e[value].alias("v")))))
-    return F.when(F.size(picked) > 0, m)
+def _family_map(fam: str, key: str, value: str):
+    """Aggregate expression: the map of one family from a user's rows (a
+    conditional ``collect_list`` -- NULL rows are skipped), NULL when the user
+    has no entry of that family (as a left join would give)."""
+    entries = F.array_sort(F.collect_list(F.when(F.col("fam") == fam,
+                                                 F.struct(F.col(key).alias("k"), F.col(value).alias("v")))))
+    return F.when(F.size(entries) > 0, F.map_from_entries(entries))
 
 
 def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, date_p: str,
@@ -209,13 +209,12 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
                                   F.lit(None).cast("string").alias("key"), "days", "times")
                  .unionByName(fam_open.select("guid", "fam", F.lit(None).cast(app_stats.schema["app_name"].dataType)
                                               .alias("app"), "key", "days", "times")))
-    opened = open_long.groupBy("guid").agg(F.collect_list(F.struct("fam", "app", "key", "days", "times")).alias("e"))
-    open_cols = [_family_map("e", "app", "app", "days").alias("open_app_days"),
-                 _family_map("e", "app", "app", "times").alias("open_app_times")]
+    open_cols = [_family_map("app", "app", "days").alias("open_app_days"),
+                 _family_map("app", "app", "times").alias("open_app_times")]
     for fam, prefix in (("category", "open_category"), ("sub_category", "open_subcategory"), ("tag", "open_tag")):
-        open_cols += [_family_map("e", fam, "key", "days").alias(f"{prefix}_days"),
-                      _family_map("e", fam, "key", "times").alias(f"{prefix}_times")]
-    opened = opened.select("guid", *open_cols)
+        open_cols += [_family_map(fam, "key", "days").alias(f"{prefix}_days"),
+                      _family_map(fam, "key", "times").alias(f"{prefix}_times")]
+    opened = open_long.groupBy("guid").agg(*open_cols)
 
     inst = installs if installs is not None else app_stats.select("guid", "app_name")
     inst_fam = (inst.join(fam_keys, "app_name")
@@ -225,13 +224,11 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
                              F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("count"))
                  .unionByName(inst_fam.select("guid", "fam", F.lit(None).cast(inst.schema["app_name"].dataType)
                                               .alias("app"), "key", "count")))
-    installed = inst_long.groupBy("guid").agg(F.collect_list(F.struct("fam", "app", "key", "count")).alias("e"))
-    apps = F.array_sort(F.transform(F.filter("e", lambda e: e["fam"] == "app"), lambda e: e["app"]))
-    inst_cols = [apps.alias("install_app")]
+    inst_cols = [F.array_sort(F.collect_list(F.when(F.col("fam") == "app", F.col("app")))).alias("install_app")]
     for fam, name in (("category", "install_category_count"), ("sub_category", "install_subcategory_count"),
                       ("tag", "install_tag_count")):
-        inst_cols.append(_family_map("e", fam, "key", "count").alias(name))
-    installed = installed.select("guid", *inst_cols)
+        inst_cols.append(_family_map(fam, "key", "count").alias(name))
+    installed = inst_long.groupBy("guid").agg(*inst_cols)
     out = installed.join(opened, "guid", "left")
     return out.withColumn("date_p", F.lit(str(date_p))).select(*PROFILE_COLUMNS)
 
