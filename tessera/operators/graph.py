@@ -182,7 +182,8 @@ def reduce_id_sets(pairs: DataFrame, uid: str = "uid", wifi: str = "wifi") -> Da
     ps = p.join(uids, "uid")
     linked = cooccurrence_edges(ps.where(F.col("wifi").isNotNull()), ["wifi"], "sid")
     comp = connected_components(uids.select(F.col("sid").alias("id")), linked, id_col="id")
-    ps = ps.join(comp.select(F.col("id").alias("sid"), F.col("component").alias("set_id")), "sid")
+    # read three times below (uids, wifis, merged ids): materialise once
+    ps = cut_lineage(ps.join(comp.select(F.col("id").alias("sid"), F.col("component").alias("set_id")), "sid"))
     members_uid = ps.select("set_id", F.lit("uid").alias("kind"), F.col("uid").cast("string").alias("member"))
     members_wifi = (ps.where(F.col("wifi").isNotNull())
                       .select("set_id", F.lit("wifi").alias("kind"), F.col("wifi").cast("string").alias("member")))
