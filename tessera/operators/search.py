@@ -41,9 +41,20 @@ def doc_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return docs.select(F.col(doc_id).alias("doc_id"), index_tokens(F.col(text)).alias("toks"))
 
 
+def _explode_rows(df: DataFrame, keep, arr, names) -> DataFrame:
+    """``posexplode`` that evaluates the array expression once.
+
+    For an inner explode Spark infers a ``size(arr) > 0`` filter and pushes
+    it below the projection, which re-runs an expensive array expression
+    (the tokeniser regex) up to three times per document.  The outer form
+    gets no inferred filter; empty arrays give one NULL row, dropped here."""
+    out = df.select(*keep, F.posexplode_outer(arr).alias(*names))
+    return out.where(F.col(names[1]).isNotNull())
+
+
 def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-01: ``(doc_id, pos, word)``; positions count kept tokens only."""
-    return doc_tokens(docs, doc_id, text).select("doc_id", F.posexplode("toks").alias("pos", "word"))
+    return _explode_rows(doc_tokens(docs, doc_id, text), ["doc_id"], F.col("toks"), ("pos", "word"))
 
 
 def build_index(tokens: DataFrame) -> DataFrame:
@@ -102,12 +113,13 @@ def phrase_search_docs(doc_toks: DataFrame, phrases: DataFrame, phrase: str = "p
     pt = phrase_table(phrases, phrase, lower)
     head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
     if len(head) > MAX_BROADCAST_PHRASE_TOKENS:
-        tokens = doc_toks.select("doc_id", F.posexplode("toks").alias("pos", "word"))
+        tokens = _explode_rows(doc_toks, ["doc_id"], F.col("toks"), ("pos", "word"))
         return phrase_search(tokens, phrases, phrase, first_only, lower)
     vocab = F.array(*[F.lit(w) for w in sorted({r["word"] for r in head})]) if head else F.array().cast("array<string>")
     marked = F.transform("toks", lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
     kept = F.filter(marked, lambda x: F.array_contains(vocab, x["word"]))
-    tokens = doc_toks.select("doc_id", F.explode(kept).alias("t")).select("doc_id", "t.pos", "t.word")
+    tokens = (doc_toks.select("doc_id", F.explode_outer(kept).alias("t")).where(F.col("t").isNotNull())
+                      .select("doc_id", "t.pos", "t.word"))
     spark = doc_toks.sparkSession
     pt_side = F.broadcast(spark.createDataFrame(head, pt.schema))
     hits = tokens.join(pt_side, "word").select("phrase", "n_tokens", "doc_id",
@@ -134,9 +146,9 @@ def previous_position(positions, start):
     return F.array_max(F.filter(p, lambda x: x < s))
 
 
-def ngrams(doc_toks: DataFrame, n: int = 2) -> DataFrame:
-    """``(doc_id, pos, phrase)``: every run of ``n`` consecutive kept tokens,
-    built inside each document's token array (no join, no shuffle)."""
+def _gram_array(n: int):
+    """Array of the n-grams of the ``toks`` column (consecutive kept tokens
+    joined by a space), built inside the array with ``zip_with``."""
     toks = F.col("toks")
     size = F.size(toks)
     grams = toks
@@ -144,7 +156,13 @@ def ngrams(doc_toks: DataFrame, n: int = 2) -> DataFrame:
         length = F.greatest(size - j, F.lit(0))
         grams = F.zip_with(F.slice(grams, F.lit(1), length), F.slice(toks, F.lit(j + 1), length),
                            lambda a, b: F.concat(a, F.lit(" "), b))
-    return doc_toks.select("doc_id", F.posexplode(grams).alias("pos", "phrase"))
+    return grams
+
+
+def ngrams(doc_toks: DataFrame, n: int = 2) -> DataFrame:
+    """``(doc_id, pos, phrase)``: every run of ``n`` consecutive kept tokens,
+    built inside each document's token array (no join, no shuffle)."""
+    return _explode_rows(doc_toks, ["doc_id"], _gram_array(n), ("pos", "phrase"))
 
 
 def top_ngrams(doc_toks: DataFrame, n: int = 2, k: int = 5) -> DataFrame:
@@ -157,13 +175,16 @@ def top_ngrams(doc_toks: DataFrame, n: int = 2, k: int = 5) -> DataFrame:
 
 def top_ngrams_multi(doc_toks: DataFrame, ks: dict[int, int]) -> DataFrame:
     """Top-k n-grams for several n from one pass: ``(n, phrase, freq)``.
-    All n-gram lengths are counted in one aggregate; each top-k is a
-    ``limit`` over that shared aggregate."""
-    grams = None
-    for n in sorted(ks):
-        g = ngrams(doc_toks, n).select(F.lit(n).alias("n"), "phrase")
-        grams = g if grams is None else grams.unionByName(g)
-    counts = grams.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"))
+    Each document's n-grams of all lengths go into one array, exploded once;
+    one aggregate counts them; each top-k is a ``limit`` over that aggregate."""
+    def tag(n: int):
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("phrase"))
+
+    tagged = [F.transform(_gram_array(n), tag(n)) for n in sorted(ks)]
+    allg = F.concat(*tagged) if len(tagged) > 1 else tagged[0]
+    rows = (doc_toks.select(F.explode_outer(allg).alias("g")).where(F.col("g").isNotNull())
+                    .select("g.n", "g.phrase"))
+    counts = rows.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"))
     out = None
     for n, k in sorted(ks.items()):
         top = counts.where(F.col("n") == n).orderBy(F.desc("freq"), F.asc("phrase")).limit(k)
