@@ -186,7 +186,7 @@ def _family_map(fam: str, key: str, value: str):
 
 
 def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, date_p: str,
-                tag_sep: str = ",") -> DataFrame:
+                tag_sep: str = ",", dedupe_meta: bool = False) -> DataFrame:
     """PRO-04: installed users left-joined with their open features, plus the
     partition column.  Users with opens but no installs are not in the output
     (the reference drives from installs, Q10).
@@ -196,9 +196,12 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
     aggregate builds all maps of a side, so the two sides arrive partitioned
     by user and the final join needs no further shuffle.  ``installs=None``
     derives installs from the opens (distinct user/app pairs) and reuses the
-    same shuffle.
+    same shuffle.  ``dedupe_meta`` removes duplicate metadata rows (the
+    reference multiplies open times when an app is listed twice, Q7).
     """
     fam_keys = _family_keys(meta, tag_sep)
+    if dedupe_meta:  # Q7 option: an app listed twice no longer multiplies its opens
+        fam_keys = fam_keys.distinct()
     daily = daily_opens(opens)
     app_stats = (daily.where(non_blank(F.col("app_name").cast("string")))
                  .groupBy("guid", "app_name").agg(F.count("day").alias("days"), F.sum("n").alias("times")))

@@ -55,8 +55,20 @@ def bars_from_ticks(ticks: DataFrame, symbol: str, ts: str, price: str, tie: str
                       F.count(F.lit(1)).alias("volume")))
 
 
+PRICE_COLUMNS = ("open_pr", "high_pr", "low_pr", "close_pr")
+
+
+def nan_to_null(df: DataFrame, cols=PRICE_COLUMNS) -> DataFrame:
+    """Q14: NaN prices become NULL, so comparisons with them are missing
+    (False after the flag coalesce), as in pandas; Spark would otherwise
+    order NaN above every number."""
+    return df.withColumns({c: F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(F.col(c))
+                           for c in cols if c in df.columns})
+
+
 def add_indicators(bars: DataFrame, key: str = "symbol", order: str = "t") -> DataFrame:
     """TS-01/02/04 + WIN-01/03: lags, volatility, rolling means, amplitude."""
+    bars = nan_to_null(bars)
     w = _w(key, order)
     c = F.col("close_pr")
     vol = F.abs(pct_change(c, w, 1))
