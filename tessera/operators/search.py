@@ -20,6 +20,7 @@ from ..functions.text import index_tokens, whitespace_tokens
 # Line terminators of a text file reader.
 LINE_BREAK = "\\r\\n|\\r|\\n"
 MAX_BROADCAST_PHRASE_TOKENS = 100_000
+MAX_INLINE_PHRASE_WORDS = 10_000  # phrase vocabulary inlined as a literal array
 
 
 def text_lines(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
@@ -112,10 +113,11 @@ def phrase_search_docs(doc_toks: DataFrame, phrases: DataFrame, phrase: str = "p
     becomes rows; a large phrase list falls back to the token join."""
     pt = phrase_table(phrases, phrase, lower)
     head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
-    if len(head) > MAX_BROADCAST_PHRASE_TOKENS:
+    words = sorted({r["word"] for r in head})
+    if len(head) > MAX_BROADCAST_PHRASE_TOKENS or len(words) > MAX_INLINE_PHRASE_WORDS:
         tokens = _explode_rows(doc_toks, ["doc_id"], F.col("toks"), ("pos", "word"))
         return phrase_search(tokens, phrases, phrase, first_only, lower)
-    vocab = F.array(*[F.lit(w) for w in sorted({r["word"] for r in head})]) if head else F.array().cast("array<string>")
+    vocab = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
     marked = F.transform("toks", lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
     kept = F.filter(marked, lambda x: F.array_contains(vocab, x["word"]))
     tokens = (doc_toks.select("doc_id", F.explode_outer(kept).alias("t")).where(F.col("t").isNotNull())

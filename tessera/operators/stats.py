@@ -33,7 +33,7 @@ def min_max_count(df: DataFrame, col: str) -> DataFrame:
                   F.count(col).alias("non_null"))
 
 
-MAX_BROADCAST_GROUPS = 1_000_000
+MAX_BROADCAST_GROUPS = 100_000  # position rows = groups x 2 x quantiles, a few MB
 
 
 def weighted_positions(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
