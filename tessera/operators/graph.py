@@ -88,7 +88,9 @@ def _is_star_forest(e: DataFrame) -> bool:
 def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Parent pointers ``(x, y)``: every non-root vertex that has an edge ->
     smallest id of its component (roots do not appear as ``x``)."""
-    e = cut_lineage(undirected(edges, src, dst))
+    # the de-duplicated input is read through one (reused) exchange by the
+    # first round, whose output is the first checkpoint
+    e = undirected(edges, src, dst)
     for _ in range(MAX_ROUNDS):
         e = cut_lineage(_small_star(_large_star(e)))
         if _is_star_forest(e):
