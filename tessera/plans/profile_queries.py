@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maps import merge_map
 from ..operators import profile as P
+from ..session import spread
 from ..sources.tables import Tables
 from .common import array_text, map_text, register
 
@@ -21,7 +22,7 @@ TAG_SEP = " "
 
 def opens(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    li = t.lineitem.select("l_orderkey", "l_partkey")
+    li = spread(t.lineitem.select("l_orderkey", "l_partkey"))
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .select(F.col("o_custkey").alias("guid"), F.col("l_partkey").alias("app_name"),
                       F.date_format("o_orderdate", "yyyyMMdd").alias("day")))
