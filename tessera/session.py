@@ -98,7 +98,11 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     (no shuffle of the corpus); only an input with fewer partitions than
     cores -- e.g. a file with a handful of row groups -- is spread with a
     round-robin repartition."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
