@@ -65,9 +65,20 @@ def test_safe_div(spark):
     assert [r[0] for r in df.select(safe_div("x")).collect()] == [0, 14, -14]
 
 
+def uuid3_msb(s: str) -> int:
+    """Definition: MD5 of the bytes, version 3 and IETF variant bits set,
+    most significant 64 bits as a signed long."""
+    import hashlib
+    d = bytearray(hashlib.md5(s.encode()).digest())
+    d[6] = (d[6] & 0x0F) | 0x30
+    d[8] = (d[8] & 0x3F) | 0x80
+    return int.from_bytes(bytes(d[:8]), "big", signed=True)
+
+
 def test_name_id(spark):
-    df = spark.createDataFrame([("Meitu.com211.97.131.100",)], "s string")
-    assert df.select(name_id("s")).first()[0] == 1395417934664974102
+    names = ["CafeNet211.97.131.100", "x", "", "ünïcode-名前"]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    assert [r[0] for r in df.select(name_id("s")).collect()] == [uuid3_msb(n) for n in names]
 
 
 @pytest.mark.parametrize("line,expected", [("a b  ", ["a", "b"]), ("", [""]), (" ", []), ("a  b", ["a", "", "b"])])

@@ -10,11 +10,11 @@ FOLLOWERS = [(2, 1), (4, 1), (1, 2), (6, 3), (7, 3), (7, 6), (6, 7), (3, 7)]
 USERS = [(1, "BarackObama"), (2, "ladygaga"), (3, "jeresig"), (4, "justinbieber"), (6, "matei_zaharia"),
          (7, "odersky"), (8, "anonsys")]
 WIFI_LOG = [
-    (1003318, "Meitu.com", "wsk534", "211.97.131.100", 1),
-    (1003318, "Meitu.com", "wz24b4", "211.97.131.101", 1),
-    (1004659, "Meitu.com", "wssu71", "211.97.131.101", 5),
-    (1004659, "Meitu.com", "wssu62", "211.97.131.89", 1),
-    (1004892, "Meitu.com", "wxnzm6", "211.97.131.89", 2),
+    (1003318, "CafeNet", "wsk534", "211.97.131.100", 1),
+    (1003318, "CafeNet", "wz24b4", "211.97.131.101", 1),
+    (1004659, "CafeNet", "wssu71", "211.97.131.101", 5),
+    (1004659, "CafeNet", "wssu62", "211.97.131.89", 1),
+    (1004892, "CafeNet", "wxnzm6", "211.97.131.89", 2),
     (2004892, "NHTZ-1809", "wm7dd3", "180.172.139.15", 1),
     (2004892, "NHTZ-1809", None, "60.181.37.100", 2),
     (2002343, "NHTZ-1809", None, "60.181.37.100", 3),
@@ -141,7 +141,7 @@ def test_map_wifi_ids_fixture(spark):
     for r in out.collect():
         clusters.setdefault(r["vertex_id"], set()).add((r["wifi_name"], r["ip"]))
     assert sorted(sorted(c) for c in clusters.values()) == sorted([
-        sorted({("Meitu.com", "211.97.131.100"), ("Meitu.com", "211.97.131.101"), ("Meitu.com", "211.97.131.89")}),
+        sorted({("CafeNet", "211.97.131.100"), ("CafeNet", "211.97.131.101"), ("CafeNet", "211.97.131.89")}),
         sorted({("NHTZ-1809", "180.172.139.15"), ("NHTZ-1809", "60.181.37.100")}),
         [("Innersect-5G", "116.236.211.114")],
     ])

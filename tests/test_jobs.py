@@ -54,9 +54,9 @@ def test_app_profile_job(spark, tmp_path):
 
 def test_wifi_recognize_job_from_path(spark, tmp_path):
     p = tmp_path / "wf.tsv"
-    p.write_text("1003318\tMeitu.com\twsk534\t211.97.131.100\t1\t\\N\n"
-                 "1003318\tMeitu.com\twz24b4\t211.97.131.101\t1\t\\N\n"
-                 "1004659\tMeitu.com\twssu71\t211.97.131.101\t5\tab\n")
+    p.write_text("1003318\tCafeNet\twsk534\t211.97.131.100\t1\t\\N\n"
+                 "1003318\tCafeNet\twz24b4\t211.97.131.101\t1\t\\N\n"
+                 "1004659\tCafeNet\twssu71\t211.97.131.101\t5\tab\n")
     a = jobs.parser().parse_args(["wifi-recognize", "--date-p", "20181210", "--source-path", str(p)])
     out = jobs.run_wifi_recognize(spark, a).collect()
     ids = {(r["ip"], r["bssid"]): r["wifi_id"] for r in out}
