@@ -37,6 +37,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    # Static settings (only when this function creates the context): the
+    # per-round checkpoints of the iterative jobs are deleted once their
+    # DataFrames are garbage collected, so a long loop does not fill the
+    # shared folder; the UI is off.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
