@@ -15,13 +15,13 @@ N_BIGRAMS = 5
 N_TRIGRAMS = 3
 
 _TOKENS_SQL = f"""
-toks AS (
+toks AS MATERIALIZED (
   SELECT doc_id, list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), '{WHITESPACE_CLASS}+'),
                                                         lambda x: x <> ''),
                                             lambda x: regexp_extract(x, '{TOKEN_PATTERN}', 1)),
                              lambda x: x <> '') AS t
   FROM documents),
-tokens AS (SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS word FROM toks)"""
+tokens AS MATERIALIZED (SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS word FROM toks)"""
 
 
 @register("word_count", """
