@@ -98,6 +98,18 @@ def partitioned_paths(spark: SparkSession, template: str, dates: Iterable[str],
     return out
 
 
+def read_dated(spark: SparkSession, base: str, dates: Iterable[str], fmt: str = "parquet",
+               schema: T.StructType | str | None = None, column: str = "date_p") -> DataFrame:
+    """SRC-05 (preferred form): a ``<base>/<column>=<date>/...`` dataset read
+    with ``column IN (dates)``; partition discovery turns the filter into
+    partition pruning, so only the listed directories are scanned (no
+    driver-side existence probing)."""
+    r = spark.read.format(fmt).option("basePath", base)
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load(base).where(F.col(column).cast("string").isin([str(d) for d in dates]))
+
+
 def read_partition(spark: SparkSession, table: str, date_p, column: str = "date_p") -> DataFrame:
     """SRC-06: one partition of a catalog table (typed partition filter, pruned)."""
     return spark.table(table).where(F.col(column) == F.lit(str(date_p)))

@@ -112,3 +112,17 @@ def test_cached_context(spark):
     with sinks.cached(df) as c:
         assert c.is_cached
     assert not df.is_cached
+
+
+def test_read_dated_prunes_partitions(spark, tmp_path):
+    import contextlib
+    import io
+    base = str(tmp_path / "events")
+    df = spark.createDataFrame([(i, f"2018121{i % 3}") for i in range(30)], "x int, date_p string")
+    df.write.partitionBy("date_p").parquet(base)
+    out = files.read_dated(spark, base, ["20181210", "20181212"])
+    assert out.count() == 20
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "PartitionFilters: [cast(date_p" in buf.getvalue() and "IN (20181210,20181212)" in buf.getvalue()
