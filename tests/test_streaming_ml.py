@@ -59,3 +59,14 @@ def test_hash_split_and_folds_are_stable(spark):
     f1 = {r["k"]: r["fold"] for r in M.add_fold(df, "k", 5).collect()}
     f2 = {r["k"]: r["fold"] for r in M.add_fold(df.repartition(7), "k", 5).collect()}
     assert f1 == f2 and set(f1.values()) == {0, 1, 2, 3, 4}
+
+
+def test_bag_of_words_pipeline(spark):
+    from pyspark.ml import Pipeline
+    docs = spark.createDataFrame([(1, "The cat and the dog, a cat!"), (2, "Dog days of summer; I x y")],
+                                 "id bigint, text string")
+    model = Pipeline(stages=M.bag_of_words("text", "bow", vocab=3)).fit(docs)
+    vocab = model.stages[-1].vocabulary
+    assert set(vocab) <= {"cat", "dog", "days", "summer"} and vocab[0] in ("cat", "dog") and len(vocab) == 3
+    out = model.transform(docs).select("id", "bow").orderBy("id").collect()
+    assert out[0]["bow"].size == 3 and out[0]["bow"].toArray().sum() >= 3
