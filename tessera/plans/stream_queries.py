@@ -22,11 +22,11 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 def _windowed(t: Tables, window: str, name: str) -> DataFrame:
     stream = (t.spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
               .parquet(t.sf_dir.rstrip("/")))
-    rows = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("word"))
+    rows = stream.select(W.ntz_as_utc_instant("ts").alias("ts"), F.col("event_type").alias("word"))
     out = W.run_available(W.tumbling_word_count(rows, "ts", window, "0 seconds"), "append", name)
     fmt = "yyyy-MM-dd HH:mm:ss"
-    return out.select(F.date_format("window_start", fmt).alias("window_start"),
-                      F.date_format("window_end", fmt).alias("window_end"), "word", "count")
+    return out.select(F.date_format(W.instant_as_utc_ntz("window_start"), fmt).alias("window_start"),
+                      F.date_format(W.instant_as_utc_ntz("window_end"), fmt).alias("window_end"), "word", "count")
 
 
 def _oracle(interval: str) -> str:

@@ -22,6 +22,20 @@ from ..functions.scalar import jvm_split
 from ..session import checkpoint_dir
 
 
+def ntz_as_utc_instant(c):
+    """A ``timestamp_ntz`` wall clock read as UTC, as an event-time
+    ``timestamp`` (watermarks need that type) -- independent of the session
+    time zone."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast("timestamp")
+
+
+def instant_as_utc_ntz(c):
+    """Inverse of ``ntz_as_utc_instant``: the UTC wall clock of an instant."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
+
+
 def with_processing_time(lines: DataFrame, col: str = "ts") -> DataFrame:
     """STM-02: stamp each row with the processing (micro-batch) time."""
     return lines.withColumn(col, F.current_timestamp())
