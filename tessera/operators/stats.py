@@ -50,10 +50,8 @@ def weighted_positions(df: DataFrame, col: str, group_cols: Sequence[str] = ())
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     folded = src.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*g, "_v"]
-    ranged = (folded.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    ranged = (folded.repartitionByRange(*order).sortWithinPartitions(*order)
                     .withColumn("_pid", F.spark_partition_id()))
     ranged = cut_lineage(ranged)  # range boundaries are re-sampled per evaluation: pin them once
     run = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

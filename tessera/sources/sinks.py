@@ -88,9 +88,11 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "row_
     counts into offsets, and add them back with a broadcast join whose size is
     bounded by the number of partitions.  ``order_cols`` must be unique.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may merge adjacent range partitions (their
+    # order is kept), so small inputs do not pay for hundreds of tiny tasks.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ranged = (ranged.sortWithinPartitions(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
                     .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), 33) + 1))
