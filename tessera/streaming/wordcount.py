@@ -59,15 +59,27 @@ def tumbling_word_count(word_rows: DataFrame, ts: str = "ts", window: str = "3 s
 
 
 def run_available(stream: DataFrame, mode: str = "append", name: str | None = None,
-                  out_dir: str | None = None) -> DataFrame:
+                  out_dir: str | None = None, state_partitions: int | None = None) -> DataFrame:
     """Run a streaming DataFrame over all available input (availableNow) into
     a parquet sink in the shared checkpoint folder and return the result as
-    a batch DataFrame (nothing passes through the driver)."""
+    a batch DataFrame (nothing passes through the driver).
+
+    ``state_partitions`` fixes the number of state-store partitions of this
+    query (a streaming aggregation keeps one store per shuffle partition and
+    AQE does not coalesce them); the stream clones the session settings when
+    it starts, so the session's own value is restored right after."""
     spark = stream.sparkSession
     base = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name or 'stream'}-{uuid.uuid4().hex}"
-    q = (stream.writeStream.format("parquet").outputMode(mode)
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk")
-         .trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(mode)
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
