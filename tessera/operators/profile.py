@@ -219,7 +219,11 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
                       _family_map(fam, "key", "times").alias(f"{prefix}_times")]
     opened = open_long.groupBy("guid").agg(*open_cols)
 
-    inst = installs if installs is not None else app_stats.select("guid", "app_name")
+    # Installs derived from the opens read the same per-(user, app) aggregate
+    # as the open side.  The always-true filter on the summed count keeps
+    # the optimizer from collapsing the nested aggregates (which would prune
+    # the day column and re-scan and re-shuffle the open log for this side).
+    inst = installs if installs is not None else app_stats.where(F.col("times") >= 0).select("guid", "app_name")
     inst_fam = (inst.join(fam_keys, "app_name")
                 .groupBy("guid", "fam", "key").agg(F.count_distinct("app_name").alias("count"))
                 .withColumn("count", F.when(F.col("fam") == "tag", F.lit(1).cast("bigint")).otherwise(F.col("count"))))
