@@ -134,7 +134,7 @@ def last_n(df: DataFrame, n: int, key: str = "symbol", order: str = "t") -> Data
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def signal_text(df: DataFrame, key: str = "symbol", order: str = "t", label_fmt: str = "yyyy-MM-dd HH:mm",
+def signal_text(df: DataFrame, key: str = "symbol", order: str = "t", label_fmt: str = "yyyy-MM-dd",
                 out: str = "msg") -> DataFrame:
     """STR-09 / AGG-29: ``label(price$)`` entries in time order joined by
     ``,\\n`` (price rounded to 2 decimals)."""
@@ -145,13 +145,15 @@ def signal_text(df: DataFrame, key: str = "symbol", order: str = "t", label_fmt:
 
 
 def signal_report(sig: DataFrame, as_of, days: int = 30, n: int = 2, reversal: str = "reversal_b",
-                  key: str = "symbol", order: str = "t") -> DataFrame:
+                  key: str = "symbol", order: str = "t", label_fmt: str = "yyyy-MM-dd") -> DataFrame:
     """TS-09: per symbol the last ``n`` panic-sell and reversal signals in the
-    last ``days`` days, as text (empty text when there is none)."""
+    last ``days`` days, as text (empty text when there is none).  Entries are
+    ``<date>(<close rounded to 2>$)``; ``label_fmt`` formats the bar time
+    (daily bars by default, e.g. ``yyyy-MM-dd HH:mm`` for hourly bars)."""
     rec = recent(sig, as_of, days, order)
     symbols = sig.select(key).distinct()
-    panic = signal_text(last_n(rec.where("panic_sell"), n, key, order), key, order, out="panic_sell")
-    rev = signal_text(last_n(rec.where(F.col(reversal)), n, key, order), key, order, out="reversal")
+    panic = signal_text(last_n(rec.where("panic_sell"), n, key, order), key, order, label_fmt, out="panic_sell")
+    rev = signal_text(last_n(rec.where(F.col(reversal)), n, key, order), key, order, label_fmt, out="reversal")
     return (symbols.join(panic, key, "left").join(rev, key, "left")
                    .select(key, F.coalesce("panic_sell", F.lit("")).alias("panic_sell"),
                            F.coalesce("reversal", F.lit("")).alias("reversal")))

@@ -136,7 +136,7 @@ FROM (SELECT DISTINCT symbol FROM flags) s LEFT JOIN p ON p.symbol = s.symbol LE
 """)
 def signal_report(t: Tables) -> DataFrame:
     """TS-09: last two panic and reversal signals per symbol in the last 7 days."""
-    return TS.signal_report(TS.signals(bars(t)), AS_OF, REPORT_DAYS, 2)
+    return TS.signal_report(TS.signals(bars(t)), AS_OF, REPORT_DAYS, 2, label_fmt="yyyy-MM-dd HH:mm")
 
 
 @register("recent_alerts", f"""
