@@ -52,7 +52,9 @@ def main() -> None:
     checkpoint_dir(spark)
     lines = ["# Physical plans of the registered queries", "",
              f"Generated by `scripts/plan_report.py` on `{sf_dir}` (AQE initial plans; iterative graph jobs show",
-             "the plan of their last step, earlier rounds are checkpointed).", "",
+             "the plan of their last step, earlier rounds are checkpointed). Counts are operator nodes in the",
+             "plan tree: a subtree used twice is listed twice, and identical exchanges are reused at run time.",
+             "",
              "| query | shuffles | broadcasts | BHJ | SMJ | BNLJ/cartesian | windows | aggregates |",
              "| --- | --- | --- | --- | --- | --- | --- | --- |"]
     scan_lines = ["", "## Scans (columns read, filters pushed to parquet)", "",
