@@ -25,3 +25,11 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     for name, body in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
     return sorted(SQL_FUNCTIONS)
+
+
+def register_views(views: dict) -> list[str]:
+    """TBL-07: expose DataFrames to SQL users as session temp views
+    (``{"dm_category": df, ...}``); the operators themselves never need them."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

@@ -33,3 +33,9 @@ def test_sql_functions(spark):
                   "clean_sentinel('\\\\N') f, name_id('CafeNet211.97.131.100') g").first()
     from tests.test_functions import uuid3_msb
     assert tuple(r) == ("hello , world", False, None, 14, 0, None, uuid3_msb("CafeNet211.97.131.100"))
+
+
+def test_register_views(spark):
+    from tessera.functions.sql import register_views
+    register_views({"tv_nums": spark.range(5)})
+    assert spark.sql("SELECT count(*) AS n FROM tv_nums").first()["n"] == 5
