@@ -49,3 +49,9 @@ def test_every_query_has_a_builder_and_most_have_an_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "guid" in df.columns
+
+
+def test_streaming_query_leaves_session_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    E.queries()["tumbling_word_count_3s"](spark, SF).count()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
