@@ -6,6 +6,9 @@ nothing is collected to the driver).  Before timing, a few registered
 queries run once on the smallest tables (``$BENCH_WARMUP_DIR``, default
 sf0.001 -- different files, nothing is cached for the timed runs) so JVM
 class loading and JIT warm-up are not charged to the first timed queries.
+The shuffle width is one partition per local core, and checkpoint cleaning
+(on by default in ``build_session`` for long jobs on a shared folder) is off
+for this short run, whose checkpoint folder is a fresh scratch directory.
 """
 
 from __future__ import annotations
@@ -36,8 +39,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", int(cpus) * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))  # one shuffle partition per local core
+    spark = build_session(f"local[{cpus}]", parts,
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 # a short run with a fresh scratch checkpoint folder: no
+                                 # background deletion of finished rounds while timing
+                                 "spark.cleaner.referenceTracking.cleanCheckpoints": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
