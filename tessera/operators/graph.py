@@ -11,7 +11,8 @@ Scale notes
   O(log^2 n) rounds on any graph, where plain label propagation needs as many
   rounds as the diameter.  Each round is two ``groupBy(min)`` (partial
   aggregation, so a hub vertex is pre-reduced map-side) and two joins on the
-  vertex id (AQE splits a skewed hub partition).  The edge set never grows:
+  vertex id in which the few vertices above |E| / partitions are looked up by
+  broadcast (see ``skew``), so a hub's rows stay where they are.  The edge set never grows:
   both steps only re-point edges, so the work per round is O(|E|).
 * Every round's edges are written with ``checkpoint()`` to the shared folder
   named by ``spark.checkpoint.dir``: lineage stays one round deep and a lost
@@ -32,11 +33,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import name_id
 from ..session import cut_lineage
+from .skew import join_counted
 from ..sources.sinks import global_row_number
 
-MAX_ROUNDS = 200  # safety net only; the loop stops on convergence long before
-
-
 # ---------------------------------------------------------------- basics ---
 
 def graph(vertices: DataFrame, edges: DataFrame, default=None, attr: str = "attr") -> DataFrame:
@@ -57,21 +56,21 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
                  .where(F.col("x") != F.col("y")).distinct())
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, n: int) -> DataFrame:
     sym = (e.select(F.col("x").alias("u"), F.col("y").alias("v"))
             .unionByName(e.select(F.col("y").alias("u"), F.col("x").alias("v"))))
-    m = sym.groupBy("u").agg(F.min("v").alias("mv"))
-    m = m.select("u", F.least("u", "mv").alias("m"))
+    m = sym.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
+    m = m.select("u", F.least("u", "mv").alias("m"), "deg")
     # no de-duplication here: the output is at most |sym| rows and the
     # small-star step that follows removes duplicates in its final distinct
-    return (sym.where(F.col("v") > F.col("u")).join(m, "u")
-               .select(F.col("v").alias("x"), F.col("m").alias("y")))
+    return (join_counted(sym.where(F.col("v") > F.col("u")), m, "u", "deg", 2 * n)
+            .select(F.col("v").alias("x"), F.col("m").alias("y")))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    m = e.groupBy("x").agg(F.min("y").alias("m"))
-    moved = (e.join(m, "x").where(F.col("y") != F.col("m"))
-              .select(F.col("y").alias("x"), F.col("m").alias("y")))
+def _small_star(e: DataFrame, n: int) -> DataFrame:
+    m = e.groupBy("x").agg(F.min("y").alias("m"), F.count(F.lit(1)).alias("deg"))
+    moved = (join_counted(e, m, "x", "deg", n).where(F.col("y") != F.col("m"))
+             .select(F.col("y").alias("x"), F.col("m").alias("y")))
     return moved.unionByName(m.select("x", F.col("m").alias("y"))).distinct()
 
 
@@ -87,26 +86,27 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Parent pointers ``(x, y)``: every non-root vertex that has an edge ->
-    smallest id of its component (roots do not appear as ``x``)."""
-    # the de-duplicated input is read through one (reused) exchange by the
-    # first round, whose output is the first checkpoint
-    e = undirected(edges, src, dst)
-    for _ in range(MAX_ROUNDS):
-        e = cut_lineage(_small_star(_large_star(e)))
-        if _is_star_forest(e):
-            return e
-    raise RuntimeError("connected components did not converge")
+    smallest id of its component (roots do not appear as ``x``).  Edges with
+    a NULL end link nothing.  Loops until nothing moves; the potential (sum of
+    pointers) falls every round, so it always ends."""
+    e = cut_lineage(undirected(edges, src, dst))
+    n = e.count()
+    while not _is_star_forest(e):
+        ls = cut_lineage(_large_star(e, n))
+        e = cut_lineage(_small_star(ls, n))
+    return e
 
 
 def connected_components(vertices: DataFrame | None, edges: DataFrame, src: str = "src",
                          dst: str = "dst", id_col: str = "id") -> DataFrame:
     """GRF-02: ``(id, component)``, component = smallest id reachable.
-    Vertices without edges keep their own id."""
+    Vertices without edges keep their own id; an edge with a NULL end
+    contributes its other end only."""
     parents = component_edges(edges, src, dst)
     ids = (edges.select(F.col(src).alias("id")).unionByName(edges.select(F.col(dst).alias("id"))))
     if vertices is not None:
         ids = ids.unionByName(vertices.select(F.col(id_col).alias("id")))
-    ids = ids.distinct()
+    ids = ids.where(F.col("id").isNotNull()).distinct()
     return (ids.join(parents.select(F.col("x").alias("id"), F.col("y").alias("p")), "id", "left")
                .select("id", F.coalesce("p", "id").alias("component")))
 
@@ -141,10 +141,13 @@ def bounded_group_components(nodes: DataFrame, membership: DataFrame, max_iter:
     ``(node, component)``.
     """
     mem = cut_lineage(membership.select("node", "grp").distinct())
+    n = mem.count()
     lab = cut_lineage(nodes.select("node").distinct().select("node", F.col("node").alias("component")))
+    deg = cut_lineage(mem.groupBy("node").agg(F.count(F.lit(1)).alias("deg")))
     for _ in range(max_iter):
-        gmin = mem.join(lab, "node").groupBy("grp").agg(F.min("component").alias("g"))
-        nmin = mem.join(gmin, "grp").groupBy("node").agg(F.min("g").alias("nl"))
+        here = join_counted(mem, lab.join(deg, "node"), "node", "deg", n)
+        gmin = here.groupBy("grp").agg(F.min("component").alias("g"), F.count(F.lit(1)).alias("size"))
+        nmin = join_counted(mem, cut_lineage(gmin), "grp", "size", n).groupBy("node").agg(F.min("g").alias("nl"))
         lab = cut_lineage(lab.join(nmin, "node", "left")
                              .select("node", F.least("component", F.coalesce("nl", "component")).alias("component")))
     return lab
@@ -162,9 +165,10 @@ def cooccurrence_edges(df: DataFrame, group_cols: Sequence[str], id_col: str) ->
     """
     g = list(group_cols)
     ids = df.where(F.col(id_col).isNotNull()).select(*g, F.col(id_col).alias("dst")).distinct()
-    mins = ids.groupBy(*g).agg(F.min("dst").alias("src"))
-    return (ids.join(mins, g).where(F.col("dst") != F.col("src"))
-               .select(*g, "src", "dst"))
+    ids = cut_lineage(ids)
+    mins = ids.groupBy(*g).agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("_n"))
+    return (join_counted(ids, mins, g, "_n", ids.count()).where(F.col("dst") != F.col("src"))
+            .select(*g, "src", "dst"))
 
 
 # --------------------------------------------------------- id sets ---
