@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import name_id
 from ..session import cut_lineage
-from .skew import join_counted
+from .skew import join_counted, width
 from ..sources.sinks import global_row_number
 
 # ---------------------------------------------------------------- basics ---
@@ -56,32 +56,40 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
                  .where(F.col("x") != F.col("y")).distinct())
 
 
-def _large_star(e: DataFrame, n: int) -> DataFrame:
+def _pointed(rows: DataFrame, lookup: DataFrame, key: str, n: int, hubs: bool) -> DataFrame:
+    """Rows joined with the minimum of their key; ``hubs``: some key may hold
+    more than a partition's share."""
+    return join_counted(rows, lookup, key, "deg", n) if hubs else rows.join(lookup, key)
+
+
+def _large_star(e: DataFrame, n: int, hubs: bool) -> DataFrame:
     sym = (e.select(F.col("x").alias("u"), F.col("y").alias("v"))
             .unionByName(e.select(F.col("y").alias("u"), F.col("x").alias("v"))))
     m = sym.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
     m = m.select("u", F.least("u", "mv").alias("m"), "deg")
     # no de-duplication here: the output is at most |sym| rows and the
     # small-star step that follows removes duplicates in its final distinct
-    return (join_counted(sym.where(F.col("v") > F.col("u")), m, "u", "deg", 2 * n)
+    return (_pointed(sym.where(F.col("v") > F.col("u")), m, "u", 2 * n, hubs)
             .select(F.col("v").alias("x"), F.col("m").alias("y")))
 
 
-def _small_star(e: DataFrame, n: int) -> DataFrame:
+def _small_star(e: DataFrame, n: int, hubs: bool) -> DataFrame:
     m = e.groupBy("x").agg(F.min("y").alias("m"), F.count(F.lit(1)).alias("deg"))
-    moved = (join_counted(e, m, "x", "deg", n).where(F.col("y") != F.col("m"))
+    moved = (_pointed(e, m, "x", n, hubs).where(F.col("y") != F.col("m"))
              .select(F.col("y").alias("x"), F.col("m").alias("y")))
     return moved.unionByName(m.select("x", F.col("m").alias("y"))).distinct()
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """Every child has one parent and no parent is a child: then each star is
-    a component whose centre is its smallest id."""
+def _state(e: DataFrame) -> tuple[bool, int]:
+    """Whether ``e`` is a star forest (every child has one parent and no
+    parent is a child: then each star is a component whose centre is its
+    smallest id), and the largest degree."""
     roles = (e.select(F.col("x").alias("n"), F.lit(1).alias("c"), F.lit(0).alias("p"))
               .unionByName(e.select(F.col("y").alias("n"), F.lit(0).alias("c"), F.lit(1).alias("p"))))
-    bad = (roles.groupBy("n").agg(F.sum("c").alias("c"), F.max("p").alias("p"))
-                .where((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))))
-    return bad.limit(1).count() == 0
+    each = roles.groupBy("n").agg(F.sum("c").alias("c"), F.max("p").alias("p"), F.count(F.lit(1)).alias("deg"))
+    bad = (F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))
+    r = each.agg(F.max(bad.cast("int")), F.max("deg")).first()
+    return not r[0], r[1] or 0
 
 
 def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -91,9 +99,11 @@ def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     pointers) falls every round, so it always ends."""
     e = cut_lineage(undirected(edges, src, dst))
     n = e.count()
-    while not _is_star_forest(e):
-        ls = cut_lineage(_large_star(e, n))
-        e = cut_lineage(_small_star(ls, n))
+    done, top = _state(e)
+    while not done:
+        hubs = top > n // width(e)
+        e = cut_lineage(_small_star(cut_lineage(_large_star(e, n, hubs)), n, hubs))
+        done, top = _state(e)
     return e
 
 
