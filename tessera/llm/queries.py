@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import exact_dedup, mixing, pieces, quality, secrets, simhash, substring_dedup
+from . import (embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, pieces, quality, secrets, simhash,
+               substring_dedup)
 
 #: Where the tokenizers' vocabulary files lie.
 TOKENIZERS = os.environ.get("TESSERA_TOKENIZERS", "/opt/tokenizers")
@@ -28,6 +29,11 @@ def _spans(column: str) -> Column:
                                                                   s["end"].cast("string"))), ",")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the counts of all documents."""
+    return lm_score.lm_score(table(spark, sf_dir, "documents"), order=3, min_count=2)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -39,12 +45,23 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_spans("base"), 256).alias("base_sha256"), _spans("spans").alias("spans"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of one label with cosine 0.98 or more."""
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, with a check that decoding returns its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_and_check(docs, PIECES)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are within one edit of an earlier line."""
+    cut = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_chars=20)
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -81,8 +98,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, LlmQuery] = {
+    "op1_lm_score": LlmQuery(op1_lm_score),
     "op2_secret_scan": LlmQuery(op2_secret_scan),
+    "op3_embedding_dedup": LlmQuery(op3_embedding_dedup),
     "op4_sentencepiece": LlmQuery(op4_sentencepiece),
+    "op5_line_dedup": LlmQuery(op5_line_dedup),
     "op6_exact_dedup": LlmQuery(op6_exact_dedup, OP6_SQL),
     "op7_simhash_dedup": LlmQuery(op7_simhash_dedup),
     "op8_quality": LlmQuery(op8_quality),

@@ -263,7 +263,7 @@ def _block_links(members: DataFrame, max_bits: int, block: int) -> DataFrame:
     pairs = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "fp"))
 
-    def compare(key, table: pa.Table) -> pa.Table:
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         fp = table.column("fp").to_numpy().view(U64)
         mine = table.column("mine").to_numpy()
         a, b = _forest(fp, max_bits, None if key[1].as_py() == key[2].as_py() else mine)
