@@ -58,14 +58,14 @@ def sliding_entropy(s: str, window: int) -> list[float]:
     total = 0.0
     top, out = math.log2(window), []
     for i, ch in enumerate(s):
-        c = counts.get(ch, 0)
-        total += term[c + 1] - term[c]
-        counts[ch] = c + 1
         if i >= window:
             old = s[i - window]
             c = counts[old]
             total += term[c - 1] - term[c]
             counts[old] = c - 1
+        c = counts.get(ch, 0)
+        total += term[c + 1] - term[c]
+        counts[ch] = c + 1
         if i >= window - 1:
             out.append(top - total / window)
     return out
