@@ -66,7 +66,7 @@ def test_entropy_spans(spark):
     found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in X.find_secrets(frame(spark, rows)).collect()}
     assert "entropy_base64" in found[14]  # a bare random token
     assert "entropy_hex" in found[15]
-    assert found[16] == [] and found[17] == []  # allow-listed; no entropy
+    assert found[16] == [] and found[17] == ["hex"]  # allow-listed; no entropy, but 80 hex digits
 
 
 def test_edges(spark):
