@@ -3,7 +3,7 @@ DataFrame / Structured Streaming operators.
 
 Modules
 -------
-session            session defaults, shared checkpoint folder, ``cut_lineage``, ``spread``
+session            session defaults, shared checkpoint folder, ``cut_lineage``
 functions          column helpers (strings, dates, math, arrays, maps, geohash, tokeniser,
                    map-valued aggregates, SQL-registered functions)
 operators          profile, graph, timeseries, search, stats, frames, ml

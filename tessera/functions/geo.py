@@ -1,4 +1,4 @@
-"""GEO-01/02/03: geohash as a pure Catalyst expression.
+"""GEO-01/02: geohash as a pure Catalyst expression.
 
 A geohash of n characters is the first 5n bits of a bisection code that
 alternates longitude and latitude bits (longitude first); ``value >= mid``
@@ -7,6 +7,9 @@ prefix of the 12-character hash, so one 60-bit computation serves every
 precision.  The cell index along each axis is found by floor-scaling and then
 corrected against the exact cell edges (edges are dyadic, exact in doubles),
 which reproduces the bisection exactly even just below an edge.
+
+GEO-03: the alphabet is in ASCII order and a prefix sorts before its
+extensions, so ``orderBy`` on the text is the order of the cells.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# The SQL bodies mirror the Column helpers in scalar.py.
+# The SQL bodies of the Column helpers in scalar.py and geo.py.
 SQL_FUNCTIONS = {
     "say_hello": "(name STRING) RETURNS STRING RETURN concat('hello , ', name)",
     "list_contains": ("(lst ARRAY<STRING>, s STRING) RETURNS BOOLEAN RETURN "
@@ -17,6 +17,18 @@ SQL_FUNCTIONS = {
                        "CASE WHEN lower(s) IN ('null', '\\\\n') THEN NULL ELSE s END"),
     "name_id": ("(s STRING) RETURNS BIGINT RETURN "
                 "CAST(conv(concat(substr(md5(s), 1, 12), '3', substr(md5(s), 14, 3)), 16, -10) AS BIGINT)"),
+    # bisection, one bit a step, longitude first; NULL outside the globe
+    "geohash": ("(lat DOUBLE, lon DOUBLE, n INT) RETURNS STRING RETURN "
+                "CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN "
+                "substr(aggregate(sequence(0, 59), named_struct('x', -180D, 'w', 360D, 'y', -90D, 'h', 180D, 'code', 0L), "
+                "(s, i) -> if(i % 2 = 0, "
+                "named_struct('x', if(lon >= s.x + s.w / 2, s.x + s.w / 2, s.x), 'w', s.w / 2, 'y', s.y, 'h', s.h, "
+                "'code', s.code * 2 + if(lon >= s.x + s.w / 2, 1L, 0L)), "
+                "named_struct('x', s.x, 'w', s.w, 'y', if(lat >= s.y + s.h / 2, s.y + s.h / 2, s.y), 'h', s.h / 2, "
+                "'code', s.code * 2 + if(lat >= s.y + s.h / 2, 1L, 0L))), "
+                "s -> array_join(transform(sequence(0, 11), c -> "
+                "substr('0123456789bcdefghjkmnpqrstuvwxyz', 1 + CAST(shiftright(s.code, 55 - 5 * c) & 31 AS INT), 1)), '')), "
+                "1, greatest(1, least(12, n))) END"),
 }
 
 

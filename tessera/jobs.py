@@ -25,7 +25,7 @@ from .functions.scalar import clean_sentinel
 from .operators import graph as G
 from .operators import profile as P
 from .operators import timeseries as TS
-from .session import build_session
+from .session import build_session, cut_lineage
 from .sources import files, sinks
 from .streaming import wordcount as W
 
@@ -62,18 +62,18 @@ def day_list(date: str, days: int) -> list[str]:
     return [(d - datetime.timedelta(days=i)).strftime("%Y%m%d") for i in range(days + 1)]
 
 
-def _expand(spark: SparkSession, template: str, dates: list[str]) -> list[str]:
-    if "{date}" not in template:
+def _expand(spark: SparkSession, template: str, dates: list[str], keys: list[str], types: list[str]) -> list[str]:
+    """The paths of a template that exist, wildcards included."""
+    if not any(x in template for x in ("{date}", "{key}", "{type}")):
         return [template]
-    return files.partitioned_paths(spark, template, dates, [""], [""]) if "*" not in template else \
-        [template.format(date=d, key="", type="") for d in dates]
+    return files.partitioned_paths(spark, template, dates, keys, types)
 
 
 def run_app_profile(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     dates = day_list(a.date, a.days)
     meta = files.read_app_meta(spark, a.meta)
-    open_paths = _expand(spark, a.open_events, dates)
-    install_paths = _expand(spark, a.install_events, dates)
+    open_paths = _expand(spark, a.open_events, dates, a.keys, a.types)
+    install_paths = _expand(spark, a.install_events, dates, a.keys, a.types)
     if not open_paths or not install_paths:
         raise SystemExit("no input paths exist for the requested dates")
     opens = P.open_actions_from_events(files.read_app_events(spark, open_paths, files.OPEN_EVENT_SCHEMA))
@@ -92,6 +92,7 @@ def run_wifi_recognize(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         actions = src.withColumn("vid", F.monotonically_increasing_id())
     else:
         actions = files.read_wifi_log(spark, a.source_path, "\t", with_row_id=True)
+    actions = cut_lineage(actions)  # several branches read the row ids: fixed once
     out = G.recognize_wifi(actions, a.date_p, a.max_iter)
     if a.target_table:
         sinks.overwrite_partitions(out, a.target_table)
@@ -101,7 +102,7 @@ def run_wifi_recognize(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 def run_word_count_stream(spark: SparkSession, a: argparse.Namespace):
     lines = files.stream_lines(spark, "text", a.source)
     stamped = W.with_processing_time(lines) if a.time == "processing" else lines
-    counts = W.tumbling_word_count(W.words(stamped, "value", "\\s"), "ts", a.window, "0 seconds",
+    counts = W.tumbling_word_count(W.words(stamped, "value", "\\s"), "ts", a.window, a.lateness,
                                    keep_window=not a.drop_window)
     w = (counts.writeStream.outputMode("append").format(a.format)
          .option("checkpointLocation", a.checkpoint or f"{a.out}/_checkpoint"))
@@ -113,11 +114,13 @@ def run_word_count_stream(spark: SparkSession, a: argparse.Namespace):
 
 
 def run_signal_report(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    bars = spark.table(a.bars_table)
-    if "t" not in bars.columns and "t_date" in bars.columns:
+    # indicators warm up inside the range; the bounds are compared with the stored column
+    start = datetime.date.fromisoformat(a.as_of) - datetime.timedelta(days=a.warmup_days)
+    if "t_date" in spark.table(a.bars_table).columns:
+        bars = sinks.read_bars(spark, a.bars_table, int(start.strftime("%Y%m%d")), int(a.as_of.replace("-", "")))
         bars = bars.withColumn("t", F.to_timestamp(F.col("t_date").cast("string"), "yyyyMMdd"))
-    start = (datetime.date.fromisoformat(a.as_of) - datetime.timedelta(days=a.warmup_days)).isoformat()
-    bars = bars.where(F.col("t") >= F.lit(start).cast("timestamp"))  # indicators warm up inside the range
+    else:
+        bars = spark.table(a.bars_table).where(F.col("t") >= F.lit(start.isoformat()).cast("timestamp"))
     return TS.signal_report(TS.signals(bars), f"{a.as_of} 00:00:00", a.days, a.points)
 
 
@@ -127,8 +130,10 @@ def parser() -> argparse.ArgumentParser:
 
     ap = sub.add_parser("app-profile", help="per-user install/open feature table")
     ap.add_argument("--meta", required=True, help="app metadata TSV (columns 2,3,5,7,10 used)")
-    ap.add_argument("--open-events", required=True, help="path or template with {date}")
-    ap.add_argument("--install-events", required=True, help="path or template with {date}")
+    ap.add_argument("--open-events", required=True, help="path or template with {date}, {key}, {type}")
+    ap.add_argument("--install-events", required=True, help="path or template with {date}, {key}, {type}")
+    ap.add_argument("--keys", nargs="*", default=[""], help="values of {key}")
+    ap.add_argument("--types", nargs="*", default=[""], help="values of {type}")
     ap.add_argument("--date", required=True, type=_yyyymmdd)
     ap.add_argument("--days", type=_non_negative, default=0, help="also read the N days before --date")
     ap.add_argument("--table", help="target partitioned table (else only shown)")
@@ -147,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
     wc = sub.add_parser("word-count-stream", help="tumbling-window word count of a line stream")
     wc.add_argument("--source", required=True, help="directory receiving text files")
     wc.add_argument("--window", default="3 seconds")
+    wc.add_argument("--lateness", default="10 seconds", help="rows older than the newest by more are dropped")
     wc.add_argument("--time", choices=["processing"], default="processing")
     wc.add_argument("--out", required=True)
     wc.add_argument("--checkpoint")

@@ -207,36 +207,18 @@ def reduce_id_sets(pairs: DataFrame, uid: str = "uid", wifi: str = "wifi") -> Da
     return members_uid.unionByName(members_wifi).unionByName(merged).distinct()
 
 
-def id_sets_as_arrays(long: DataFrame, max_members: int = 100_000) -> DataFrame:
-    """Fold the long form into ``(set_id, uids, wifis, merged)`` arrays for
-    small outputs.  Refuses (instead of truncating) when a set is larger than
-    ``max_members``: one giant set would otherwise land in a single task."""
-    biggest = long.groupBy("set_id", "kind").count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_members:
-        raise ValueError(f"a set has {biggest} members; keep the long form")
-    piv = long.groupBy("set_id").agg(
-        *[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("member")))).alias(a)
-          for k, a in (("uid", "uids"), ("wifi", "wifis"), ("merged", "merged"))])
-    return piv
-
-
 def component_members(components: DataFrame, names: DataFrame | None = None, id_col: str = "id",
-                      name_col: str = "name", max_members: int = 100_000) -> DataFrame:
-    """GRF-06 / AGG-14: ``(component, size, members)`` with members as
-    sorted, comma-joined text.  Refuses components above ``max_members``
-    rather than collecting them into one task."""
+                      name_col: str = "name") -> DataFrame:
+    """GRF-06 / AGG-14 / AGG-27: ``(component, size, member)``, one row per
+    member, so a giant component stays spread over many tasks."""
     c = components
     if names is not None:
-        c = c.join(names.select(F.col(id_col).alias("id"), F.col(name_col).alias("_n")), "id", "left")
+        c = c.join(names.select(F.col(id_col).alias("id"), F.col(name_col).cast("string").alias("member")), "id", "left")
     else:
-        c = c.withColumn("_n", F.col("id").cast("string"))
+        c = c.withColumn("member", F.col("id").cast("string"))
+    c = cut_lineage(c.select("component", "member"))
     sizes = c.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    biggest = sizes.agg(F.max("size")).first()[0] or 0
-    if biggest > max_members:
-        raise ValueError(f"a component has {biggest} members; use the long form")
-    return (c.groupBy("component")
-             .agg(F.count(F.lit(1)).alias("size"),
-                  F.array_join(F.array_sort(F.collect_list(F.col("_n").cast("string"))), ",").alias("members")))
+    return join_counted(c, sizes, "component", "size", c.count()).select("component", "size", "member")
 
 
 # ------------------------------------------------------ neighbourhoods ---

@@ -3,24 +3,25 @@
 Whole texts are processed: a document becomes an array of kept tokens
 (bounded by that document's length) and ``posexplode`` turns it into
 ``(doc_id, pos, word)`` rows, so the corpus is spread over tasks by
-document.  Phrase search joins the token rows with the (small, counted)
-phrase-token table: a broadcast, so a very frequent word such as "the" never
-lands in one shuffle partition, and matches are grouped by
+document.  Phrase search joins the token rows with the phrase-token table;
+whether that side is broadcast is left to Spark's own size check; beyond it
+AQE splits the partition of a frequent word, as both sides are plain shuffles
+of stored rows.  Matches are grouped by
 ``(phrase, doc, pos - offset)`` -- a partial aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import jvm_split
+from ..functions.scalar import code_map, jvm_split
 from ..functions.text import index_tokens, whitespace_tokens
+from ..session import cut_lineage
+from .skew import width
 
 # Line terminators of a text file reader.
 LINE_BREAK = "\\r\\n|\\r|\\n"
-MAX_BROADCAST_PHRASE_TOKENS = 100_000
-MAX_INLINE_PHRASE_WORDS = 10_000  # phrase vocabulary inlined as a literal array
 
 
 def text_lines(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
@@ -53,9 +54,14 @@ def _explode_rows(df: DataFrame, keep, arr, names) -> DataFrame:
     return out.where(F.col(names[1]).isNotNull())
 
 
+def token_rows(doc_toks: DataFrame) -> DataFrame:
+    """Token arrays -> ``(doc_id, pos, word)``."""
+    return _explode_rows(doc_toks, ["doc_id"], F.col("toks"), ("pos", "word"))
+
+
 def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-01: ``(doc_id, pos, word)``; positions count kept tokens only."""
-    return _explode_rows(doc_tokens(docs, doc_id, text), ["doc_id"], F.col("toks"), ("pos", "word"))
+    return token_rows(doc_tokens(docs, doc_id, text))
 
 
 def build_index(tokens: DataFrame) -> DataFrame:
@@ -66,9 +72,17 @@ def build_index(tokens: DataFrame) -> DataFrame:
 
 def write_index(index: DataFrame, path: str, buckets: int = 64) -> None:
     """Store the index partitioned by a hash bucket of the word, so a lookup
-    reads one bucket directory."""
+    reads one bucket directory.  Rows are dealt by bucket first: each bucket is
+    written by one task instead of every task opening all buckets."""
     (index.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-          .write.mode("overwrite").partitionBy("bucket").parquet(path))
+          .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def read_index(spark, path: str, words: DataFrame, buckets: int = 64) -> DataFrame:
+    """Postings of ``words`` (column ``word``) from a stored index; dynamic
+    partition pruning leaves the other buckets unread."""
+    wanted = words.select("word", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("bucket")).distinct()
+    return spark.read.parquet(path).join(wanted, ["bucket", "word"]).drop("bucket")
 
 
 def phrase_table(phrases: DataFrame, phrase: str = "phrase", lower: bool = False) -> DataFrame:
@@ -84,48 +98,9 @@ def phrase_search(tokens: DataFrame, phrases: DataFrame, phrase: str = "phrase",
     """TXT-03 / JOI-12: ``(phrase, doc_id, start, end)`` for every occurrence
     (or the first per document with ``first_only``).  Unlike the reference's
     single greedy scan, every true occurrence is found (Q17)."""
-    pt = phrase_table(phrases, phrase, lower)
-    # The phrase list is a query parameter: when it is small (checked with a
-    # bounded fetch) it is evaluated once and broadcast, so no token is
-    # shuffled for the join; a huge phrase list falls back to a shuffle join.
-    head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
-    if len(head) <= MAX_BROADCAST_PHRASE_TOKENS:
-        pt_side = F.broadcast(tokens.sparkSession.createDataFrame(head, pt.schema))
-    else:
-        pt_side = pt
-    hits = tokens.join(pt_side, "word").select("phrase", "n_tokens", "doc_id",
-                                              (F.col("pos") - F.col("offset")).alias("start"), "offset")
-    full = (hits.groupBy("phrase", "doc_id", "start", "n_tokens")
-                .agg(F.count_distinct("offset").alias("k"))
-                .where(F.col("k") == F.col("n_tokens")))
-    if first_only:
-        full = full.groupBy("phrase", "doc_id", "n_tokens").agg(F.min("start").alias("start"))
-    return full.select("phrase", "doc_id", "start", (F.col("start") + F.col("n_tokens") - 1).alias("end"))
-
-
-def phrase_search_docs(doc_toks: DataFrame, phrases: DataFrame, phrase: str = "phrase", first_only: bool = True,
-                       lower: bool = False) -> DataFrame:
-    """TXT-03 on per-document token arrays (``doc_tokens`` output).
-
-    Same result as ``phrase_search``.  When the phrase list is small (bounded
-    fetch), each document keeps only the positions of phrase words inside its
-    own array before anything is exploded, so the bulk of the corpus never
-    becomes rows; a large phrase list falls back to the token join."""
-    pt = phrase_table(phrases, phrase, lower)
-    head = pt.limit(MAX_BROADCAST_PHRASE_TOKENS + 1).collect()
-    words = sorted({r["word"] for r in head})
-    if len(head) > MAX_BROADCAST_PHRASE_TOKENS or len(words) > MAX_INLINE_PHRASE_WORDS:
-        tokens = _explode_rows(doc_toks, ["doc_id"], F.col("toks"), ("pos", "word"))
-        return phrase_search(tokens, phrases, phrase, first_only, lower)
-    vocab = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    marked = F.transform("toks", lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
-    kept = F.filter(marked, lambda x: F.array_contains(vocab, x["word"]))
-    tokens = (doc_toks.select("doc_id", F.explode_outer(kept).alias("t")).where(F.col("t").isNotNull())
-                      .select("doc_id", "t.pos", "t.word"))
-    spark = doc_toks.sparkSession
-    pt_side = F.broadcast(spark.createDataFrame(head, pt.schema))
-    hits = tokens.join(pt_side, "word").select("phrase", "n_tokens", "doc_id",
-                                              (F.col("pos") - F.col("offset")).alias("start"), "offset")
+    pt = cut_lineage(phrase_table(phrases, phrase, lower))
+    hits = tokens.join(pt, "word").select("phrase", "n_tokens", "doc_id",
+                                          (F.col("pos") - F.col("offset")).alias("start"), "offset")
     full = (hits.groupBy("phrase", "doc_id", "start", "n_tokens")
                 .agg(F.count_distinct("offset").alias("k"))
                 .where(F.col("k") == F.col("n_tokens")))
@@ -176,9 +151,11 @@ def top_ngrams(doc_toks: DataFrame, n: int = 2, k: int = 5) -> DataFrame:
 
 
 def top_ngrams_multi(doc_toks: DataFrame, ks: dict[int, int]) -> DataFrame:
-    """Top-k n-grams for several n from one pass: ``(n, phrase, freq)``.
-    Each document's n-grams of all lengths go into one array, exploded once;
-    one aggregate counts them; each top-k is a ``limit`` over that aggregate."""
+    """Top-k n-grams for several n: ``(n, phrase, freq)``, ties by text.
+    Each document's n-grams of all lengths go into one array, exploded once, and
+    one aggregate counts them.  The best of each n are picked in two steps --
+    within salts, then among the salts' winners -- so no window sees more than
+    a salt's share of the n-grams."""
     def tag(n: int):
         return lambda g: F.struct(F.lit(n).alias("n"), g.alias("phrase"))
 
@@ -187,8 +164,9 @@ def top_ngrams_multi(doc_toks: DataFrame, ks: dict[int, int]) -> DataFrame:
     rows = (doc_toks.select(F.explode_outer(allg).alias("g")).where(F.col("g").isNotNull())
                     .select("g.n", "g.phrase"))
     counts = rows.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"))
-    out = None
-    for n, k in sorted(ks.items()):
-        top = counts.where(F.col("n") == n).orderBy(F.desc("freq"), F.asc("phrase")).limit(k)
-        out = top if out is None else out.unionByName(top)
-    return out
+    k = code_map("n", ks)
+    best = [F.desc("freq"), F.asc("phrase")]
+    salted = counts.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(width(doc_toks))))
+    local = salted.withColumn("r", F.row_number().over(Window.partitionBy("n", "salt").orderBy(*best))).where(F.col("r") <= k)
+    top = local.withColumn("r", F.row_number().over(Window.partitionBy("n").orderBy(*best))).where(F.col("r") <= k)
+    return top.select("n", "phrase", "freq")

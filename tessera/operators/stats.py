@@ -2,10 +2,9 @@
 FLT-07/08, MTH-03).
 
 Exact percentiles (linear interpolation, the numpy/pandas default) are
-computed from a distributed rank: the data is range-partitioned and sorted on
-(group, value), every row gets its rank inside its group from per-partition
-counts, and only the two ranks around each requested position are read back
-with a join.  No group's values are ever collected into one buffer, which
+computed from a distributed rank: the data is range-partitioned on (group,
+value), per-partition counts tell where the two ranks around each requested
+position lie, and only those partitions are ranked.  No group's values are ever collected into one buffer, which
 the built-in exact ``percentile`` aggregate would do.
 """
 
@@ -33,64 +32,32 @@ def min_max_count(df: DataFrame, col: str) -> DataFrame:
                   F.count(col).alias("non_null"))
 
 
-MAX_BROADCAST_GROUPS = 100_000  # position rows = groups x 2 x quantiles, a few MB
-
-
-def weighted_positions(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with their rank interval inside their group:
-    ``(group..., _v, lo, hi, n)`` meaning ranks ``lo .. hi-1`` (0-based) of the
-    ascending order hold ``_v``; ``n`` = non-NULL values in the group.
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation: ``(group..., q, value)``.
 
-    Duplicates are folded first (``groupBy(group, value).count()`` -- partial
-    aggregation, so a column with few distinct values shrinks to a tiny
-    table).  The folded table is range-partitioned and sorted on (group,
-    value); cumulative counts come from a per-partition running sum plus
-    partition offsets (a table with one row per partition, broadcast), so no
-    group is ever sorted in a single task."""
+    Equal values are folded first (partial aggregation).  One range exchange on
+    (group, value) then fixes which partition holds which ranks: the row counts
+    of each (group, partition) tell, for every requested rank, the one partition
+    to look in.  Only those partitions are ranked inside, each on its own."""
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     folded = src.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    order = [*g, "_v"]
-    ranged = (folded.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("_pid", F.spark_partition_id()))
-    ranged = cut_lineage(ranged)  # range boundaries are re-sampled per evaluation: pin them once
-    run = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_cum", F.sum("_c").over(run))
-    totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))
-    offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = (local.join(F.broadcast(offsets), "_pid")
-                .select(*g, "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_s"),
-                        (F.col("_off") + F.col("_cum")).alias("_e")))
-    starts = pos.groupBy(*g).agg(F.min("_s").alias("_gs"), F.max("_e").alias("_ge"))
-    return (pos.join(starts, g)
-               .select(*g, "_v", (F.col("_s") - F.col("_gs")).alias("lo"), (F.col("_e") - F.col("_gs")).alias("hi"),
-                       (F.col("_ge") - F.col("_gs")).alias("n")))
-
-
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation: ``(group..., q, value)``."""
-    g = list(group_cols) or ["_g"]
-    wp = cut_lineage(weighted_positions(df, col, group_cols))
-    sizes = wp.select(*g, "n").distinct()
-    need = sizes.select(*g, "n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    need = need.select(*g, "q", ((F.col("n") - 1) * F.col("q")).alias("p"))
-    need = need.select(*g, "q", "p", F.floor("p").alias("r_lo"), F.ceil("p").alias("r_hi"))
-    small = sizes.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
-
-    def value_at(rank_col: str, out: str) -> DataFrame:
-        side = need.select(*[F.col(c).alias(f"_k_{c}") for c in g], F.col("q").alias("_q"),
-                           F.col(rank_col).alias("_r"))
-        side = F.broadcast(side) if small else side
-        cond = [F.col(f"_k_{c}") == F.col(c) for c in g] + [F.col("lo") <= F.col("_r"), F.col("_r") < F.col("hi")]
-        return (wp.join(side, cond)
-                  .select(*[F.col(f"_k_{c}").alias(c) for c in g], F.col("_q").alias("q"), F.col("_v").alias(out)))
-
-    lo = value_at("r_lo", "v_lo")
-    hi = value_at("r_hi", "v_hi")
-    out = need.join(lo, [*g, "q"]).join(hi, [*g, "q"])
-    return out.select(*list(group_cols), "q",
-                      (F.col("v_lo") + (F.col("p") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+    ranged = cut_lineage(folded.repartitionByRange(*g, "_v").withColumn("_pid", F.spark_partition_id()))
+    # at most (partitions + groups) rows; a group's windows see at most one row per partition
+    parts = cut_lineage(ranged.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n")))
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_off", F.sum("_n").over(before) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy(*g)))
+    at = parts.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs]))).withColumn("_p", (F.col("_all") - 1) * F.col("q"))
+    at = at.withColumn("_r", F.explode(F.array(F.floor("_p"), F.ceil("_p"))))
+    at = at.where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_n")))
+    wanted = cut_lineage(at.select(*g, "_pid", "q", "_p", "_r", (F.col("_r") - F.col("_off")).alias("_k")).distinct())
+    inside = ranged.join(wanted.select(*g, "_pid").distinct(), [*g, "_pid"], "left_semi")
+    run = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_hi", F.sum("_c").over(run)).withColumn("_lo", F.col("_hi") - F.col("_c"))
+    found = ranked.join(wanted, [*g, "_pid"]).where((F.col("_lo") <= F.col("_k")) & (F.col("_k") < F.col("_hi")))
+    # the values at the ranks below and above the position; one and the same if it is whole
+    ends = found.groupBy(*g, "q", "_p").agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+    return ends.select(*list(group_cols), "q", (F.col("_a") + (F.col("_p") - F.floor("_p")) * (F.col("_b") - F.col("_a"))).alias("value"))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> float | None:

@@ -9,12 +9,16 @@ sides hash the same way.
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+from ..sources.sinks import remove_path
 from ..sources.tables import Tables
 
 
@@ -60,3 +64,28 @@ def array_text(a, sep: str = ",") -> Column:
     """array -> sorted text; NULL array stays NULL."""
     a = F.col(a) if isinstance(a, str) else a
     return F.array_join(F.transform(F.array_sort(a), lambda x: x.cast("string")), sep)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A path in the shared checkpoint folder, removed at the end of the block:
+    what is read from it must have been checkpointed by then."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+
+
+@contextlib.contextmanager
+def scratch_table(spark: SparkSession, ddl: str, partition: str, create=None):
+    """A new partitioned table of the warehouse, dropped at the end of the block."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    if create:
+        create(spark, name)
+    else:
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY ({partition})")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -255,13 +255,11 @@ e AS (SELECT DISTINCT mem.node AS a, m.mn AS b FROM mem JOIN m ON mem.uid = m.ui
 s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 v AS (SELECT node AS id FROM nodes WHERE node IS NOT NULL),
 {_CC_SQL.strip()}
-SELECT cc.lab AS component, count(*) AS size,
-       string_agg(n.wifi_name || '@' || n.ip, ',' ORDER BY n.wifi_name || '@' || n.ip) AS members
-FROM cc JOIN nodes n ON n.node = cc.node GROUP BY cc.lab
+SELECT cc.lab AS component, count(*) OVER (PARTITION BY cc.lab) AS size, n.wifi_name || '@' || n.ip AS member
+FROM cc JOIN nodes n ON n.node = cc.node
 """)
 def component_members(t: Tables) -> DataFrame:
-    """GRF-06 / AGG-14: members of every WiFi cluster as sorted text (the
-    helper refuses clusters above its size limit instead of collecting them)."""
+    """GRF-06 / AGG-14 / AGG-27: the members of every WiFi cluster, one row each."""
     acts = wifi_actions(t).drop("bssid", "vid")
     key = F.concat(F.col("wifi_name"), F.col("ip"))
     nodes = acts.select("wifi_name", "ip").distinct().withColumn("node", name_id(key))

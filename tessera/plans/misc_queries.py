@@ -224,65 +224,56 @@ def jvm_split_words(t: Tables) -> DataFrame:
 
 # --------------------------------------------------------------- geohash ---
 
-def _points(t: Tables) -> DataFrame:
+def points(t: Tables) -> DataFrame:
     c = t.customer
     lat = (F.col("c_custkey") * 7919 % 18001).cast("double") / F.lit(100.0) - F.lit(90.0)
     lon = (F.col("c_custkey") * 104729 % 36001).cast("double") / F.lit(100.0) - F.lit(180.0)
     return c.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
 
 
-_AXIS_SQL = """
-least(greatest(CAST(floor(({v} - CAST({lo} AS DOUBLE)) / CAST({span} AS DOUBLE) * CAST(1073741824 AS DOUBLE)) AS BIGINT), 0),
-      1073741823)"""
-
-
-def _fix_sql(k: str, v: str, lo: float, width: str) -> str:
-    a = f"(CASE WHEN CAST({lo} AS DOUBLE) + CAST({k} AS DOUBLE) * {width} > {v} THEN {k} - 1 ELSE {k} END)"
-    b = (f"(CASE WHEN CAST({lo} AS DOUBLE) + CAST({a} + 1 AS DOUBLE) * {width} <= {v} AND {a} < 1073741823 "
-         f"THEN {a} + 1 ELSE {a} END)")
-    return f"least(greatest({b}, 0), 1073741823)"
-
-
-_GEO_BASE_SQL = f"""
+# Plain bisection: 60 halvings, longitude first; a value at the middle goes up.
+BISECTION_SQL = """
 pts AS (SELECT c_custkey, CAST((c_custkey * 7919) % 18001 AS DOUBLE) / CAST(100 AS DOUBLE) - CAST(90 AS DOUBLE) AS lat,
                CAST((c_custkey * 104729) % 36001 AS DOUBLE) / CAST(100 AS DOUBLE) - CAST(180 AS DOUBLE) AS lon
         FROM customer),
-k0 AS (SELECT *, {_AXIS_SQL.format(v='lon', lo=-180.0, span=360.0)} AS klon0,
-                 {_AXIS_SQL.format(v='lat', lo=-90.0, span=180.0)} AS klat0 FROM pts),
-k AS (SELECT *, {_fix_sql('klon0', 'lon', -180.0, '(CAST(360 AS DOUBLE) / CAST(1073741824 AS DOUBLE))')} AS klon,
-                {_fix_sql('klat0', 'lat', -90.0, '(CAST(180 AS DOUBLE) / CAST(1073741824 AS DOUBLE))')} AS klat FROM k0),
-g AS (SELECT *, array_to_string(list_transform(range(12), lambda c:
-        substr('0123456789bcdefghjkmnpqrstuvwxyz', 1 + CAST(
-          {' + '.join(f"(CASE WHEN (5 * c + {tt}) % 2 = 0 THEN (klon >> (29 - (5 * c + {tt}) // 2)) & 1 "
-                      f"ELSE (klat >> (29 - (5 * c + {tt}) // 2)) & 1 END) * {16 >> tt}" for tt in range(5))}
-        AS INTEGER), 1)), '') AS gh12 FROM k)"""
+b AS (SELECT c_custkey, lat, lon, 0 AS i, CAST(-180 AS DOUBLE) AS x0, CAST(180 AS DOUBLE) AS x1, CAST(-90 AS DOUBLE) AS y0,
+             CAST(90 AS DOUBLE) AS y1, CAST(0 AS BIGINT) AS code FROM pts
+      UNION ALL
+      SELECT c_custkey, lat, lon, i + 1,
+             CASE WHEN i % 2 = 0 AND lon >= (x0 + x1) / 2 THEN (x0 + x1) / 2 ELSE x0 END,
+             CASE WHEN i % 2 = 0 AND lon < (x0 + x1) / 2 THEN (x0 + x1) / 2 ELSE x1 END,
+             CASE WHEN i % 2 = 1 AND lat >= (y0 + y1) / 2 THEN (y0 + y1) / 2 ELSE y0 END,
+             CASE WHEN i % 2 = 1 AND lat < (y0 + y1) / 2 THEN (y0 + y1) / 2 ELSE y1 END,
+             code * 2 + CASE WHEN i % 2 = 0 THEN CASE WHEN lon >= (x0 + x1) / 2 THEN 1 ELSE 0 END
+                             ELSE CASE WHEN lat >= (y0 + y1) / 2 THEN 1 ELSE 0 END END
+      FROM b WHERE i < 60),
+g AS (SELECT c_custkey, array_to_string(list_transform(range(12), lambda c:
+        substr('0123456789bcdefghjkmnpqrstuvwxyz', 1 + CAST((code >> (55 - 5 * c)) & 31 AS INTEGER), 1)), '') AS gh12
+      FROM b WHERE i = 60)"""
 
 
 @register("geohash_points", f"""
-WITH {_GEO_BASE_SQL}
-SELECT c_custkey, gh12, substr(gh12, 1, 5) AS gh5,
-       round(-90.0 + floor(klat / 262144.0) * (180.0 / 4096.0), 6) AS min_lat,
-       round(-90.0 + (floor(klat / 262144.0) + 1) * (180.0 / 4096.0), 6) AS max_lat,
-       round(-180.0 + floor(klon / 131072.0) * (360.0 / 8192.0), 6) AS min_lon,
-       round(-180.0 + (floor(klon / 131072.0) + 1) * (360.0 / 8192.0), 6) AS max_lon
-FROM g
+WITH RECURSIVE {BISECTION_SQL}
+SELECT g.c_custkey, gh12, substr(gh12, 1, 5) AS gh5, round(y0, 6) AS min_lat, round(y1, 6) AS max_lat,
+       round(x0, 6) AS min_lon, round(x1, 6) AS max_lon
+FROM g JOIN b ON b.c_custkey = g.c_custkey AND b.i = 25
 """)
 def geohash_points(t: Tables) -> DataFrame:
     """GEO-01/02: 12- and 5-character geohashes and the 5-character cell
     bounds of a point per customer (points from fixed arithmetic on the key)."""
-    p = _points(t)
+    p = points(t)
     b = geo.geohash_bounds("lat", "lon", 5)
     return p.select("c_custkey", geo.geohash("lat", "lon", 12).alias("gh12"), geo.geohash("lat", "lon", 5).alias("gh5"),
                     *[r6(b[k]).alias(k) for k in ("min_lat", "max_lat", "min_lon", "max_lon")])
 
 
 @register("geohash_cells", f"""
-WITH {_GEO_BASE_SQL}
+WITH RECURSIVE {BISECTION_SQL}
 SELECT substr(gh12, 1, 3) AS cell, count(*) AS n FROM g GROUP BY 1
 """)
 def geohash_cells(t: Tables) -> DataFrame:
     """GEO-04: points per 3-character geohash cell."""
-    p = _points(t)
+    p = points(t)
     return p.groupBy(geo.geohash("lat", "lon", 3).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -9,6 +9,7 @@ and locate the shared checkpoint folder used by the iterative graph jobs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,8 +79,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    master = sc.master or ""
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative jobs need a shared "
             "folder (HDFS/S3/...) visible to every executor")
@@ -93,21 +93,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor loss) and return a DataFrame that reads it back."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give CPU-heavy per-row work (regex tokenising of long texts) at least
-    ``factor`` x the cluster's parallelism in partitions.
-
-    A large input already arrives in many splits and is returned unchanged
-    (no shuffle of the corpus); only an input with fewer partitions than
-    cores -- e.g. a file with a handful of row groups -- is spread with a
-    round-robin repartition."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * factor
-        current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)

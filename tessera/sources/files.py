@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import clean_sentinel
 
-# Positional layout of the WiFi connection log (FX-01/FX-02).
+# Positional layout of the WiFi connection log (FX-01/FX-02).
 WIFI_LOG_FIELDS = [("uid", "bigint"), ("wifi_name", "string"), ("geohash", "string"),
                    ("ip", "string"), ("day_num", "int"), ("bssid", "string")]
-# Header-less app metadata TSV: 0-based column index -> name (SRC-03).
+# Header-less app metadata TSV, 0-based column index -> name (SRC-03).
 APP_META_COLUMNS = {2: "app_name", 3: "app_pkg", 5: "category", 7: "sub_category", 10: "tags"}
 
 OPEN_EVENT_SCHEMA = T.StructType([
@@ -77,7 +77,8 @@ def read_app_events(spark: SparkSession, paths: str | Sequence[str], schema: T.S
 def partitioned_paths(spark: SparkSession, template: str, dates: Iterable[str], keys: Iterable[str],
                       types: Iterable[str]) -> list[str]:
     """SRC-05: expand ``template`` (placeholders ``{date}``, ``{key}``,
-    ``{type}``) and keep the directories that exist.
+    ``{type}``) and keep the paths that exist; a path with wildcards stays if it
+    matches anything.
 
     Prefer a partitioned dataset read with a ``date_p IN (...)`` filter (the
     scan then prunes partitions itself); this is the fallback for layouts that
@@ -93,7 +94,7 @@ def partitioned_paths(spark: SparkSession, template: str, dates: Iterable[str],
             for t in types:
                 p = template.format(date=d, key=k, type=t)
                 path = jvm.org.apache.hadoop.fs.Path(p)
-                if path.getFileSystem(conf).exists(path):
+                if path.getFileSystem(conf).globStatus(path):
                     out.append(p)
     return out
 

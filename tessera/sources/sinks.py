@@ -47,6 +47,12 @@ def append_partition(df: DataFrame, table: str, partition_col: str = "date_p",
     _conform_to_table(df, table).write.insertInto(table, overwrite=False)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through Spark's file system layer."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-03: one text line per row (single string column) or CSV otherwise."""
     if len(df.columns) == 1:

@@ -5,10 +5,11 @@ The reference counts words of a line stream in 3-second processing-time
 windows and emits one row per closed window.  Here the window is declared on
 a time column: ``with_processing_time`` stamps rows with the micro-batch time
 (the reference's time domain), while tests and the registered query use the
-event time so results are reproducible.  Append mode with a watermark emits a
-window exactly once, when the watermark passes its end; the state store keeps
-only open windows, so state is bounded by the number of (open window, word)
-pairs, not by the stream length.
+event time so results are reproducible.  Append mode with a lateness bound emits
+a window exactly once, when it can get no more rows; the state store keeps only
+open windows, so state is bounded by the number of (open window, word) pairs,
+not by the stream length.  A bounded replay has no such bound and returns every
+window, the last one included.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import jvm_split
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
+from ..sources.sinks import remove_path
 
 
 def ntz_as_utc_instant(c):
@@ -46,13 +48,16 @@ def words(lines: DataFrame, value: str = "value", sep: str = "\\s", keep=("ts",)
     return lines.select(*keep, F.explode(jvm_split(F.col(value), sep, regex=True)).alias("word"))
 
 
-def tumbling_word_count(word_rows: DataFrame, ts: str = "ts", window: str = "3 seconds",
-                        watermark: str = "0 seconds", keep_window: bool = True) -> DataFrame:
-    """STM-01/03: count per (tumbling window, word); with a watermark each
-    window is emitted once in append mode.  ``keep_window=False`` drops the
-    window bounds, as the reference's output."""
-    agg = (word_rows.withWatermark(ts, watermark)
-           .groupBy(F.window(ts, window).alias("w"), "word")
+def tumbling_word_count(word_rows: DataFrame, ts: str, window: str, lateness: str | None,
+                        keep_window: bool = True) -> DataFrame:
+    """STM-01/03: count per (tumbling window, word).
+
+    ``lateness``: how much older than the newest row a row may be; older ones
+    are dropped, and append mode emits a window once, when it can get no more
+    rows.  None (for a bounded ``replay``): no row is too late, every window
+    stays open.  ``keep_window=False`` drops the window bounds."""
+    rows = word_rows if lateness is None else word_rows.withWatermark(ts, lateness)
+    agg = (rows.groupBy(F.window(ts, window).alias("w"), "word")
            .agg(F.count(F.lit(1)).alias("count")))
     cols = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")] if keep_window else []
     return agg.select(*cols, "word", "count")
@@ -86,6 +91,43 @@ def run_available(stream: DataFrame, mode: str = "append", name: str | None = No
     return spark.read.parquet(f"{base}/out")
 
 
+def replay(counts: DataFrame, keys: list[str], name: str, state_partitions: int | None = None) -> DataFrame:
+    """Run a streaming aggregate over all available input and return its final
+    rows, those of windows that are still open included.
+
+    Each micro-batch appends the groups it changed, with its number, to a folder
+    in the shared checkpoint folder; the last number wins per key.  The result is
+    checkpointed and the folder removed."""
+    spark = counts.sparkSession
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    conf = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(conf)
+    if state_partitions:
+        spark.conf.set(conf, str(state_partitions))
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{base}/out/{number}")
+
+    try:
+        q = (counts.writeStream.outputMode("update").foreachBatch(put)
+             .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(conf, old)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    rest = [c for c in counts.columns if c not in keys]
+    changes = spark.read.schema(f"{_ddl(counts)}, _batch int").option("recursiveFileLookup", "true").parquet(f"{base}/out")
+    last = changes.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in rest])
+    out = cut_lineage(last.select(*counts.columns))
+    remove_path(spark, base)
+    return out
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def log_record_stream(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """STM-04: a text-file stream as ``(topic, key, value)`` records (line
     numbers exist only in the batch form, so the key is NULL)."""

@@ -6,14 +6,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tessera.session import build_session, checkpoint_dir  # noqa: E402
+from tessera.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="tessera-wh-")
-    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse})
+    s = build_session("local[4]", 8, extra={"spark.sql.warehouse.dir": warehouse,
+                                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessera-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(s)  # unset in tests -> a fresh local folder
     yield s
     s.stop()

@@ -1,4 +1,4 @@
-"""Graph operators on the reference fixtures and against union-find."""
+"""Graph operators on small graphs of our own and against union-find."""
 
 import random
 
@@ -6,22 +6,20 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 
-FOLLOWERS = [(2, 1), (4, 1), (1, 2), (6, 3), (7, 3), (7, 6), (6, 7), (3, 7)]
-USERS = [(1, "BarackObama"), (2, "ladygaga"), (3, "jeresig"), (4, "justinbieber"), (6, "matei_zaharia"),
-         (7, "odersky"), (8, "anonsys")]
-WIFI_LOG = [
-    (1003318, "CafeNet", "wsk534", "211.97.131.100", 1),
-    (1003318, "CafeNet", "wz24b4", "211.97.131.101", 1),
-    (1004659, "CafeNet", "wssu71", "211.97.131.101", 5),
-    (1004659, "CafeNet", "wssu62", "211.97.131.89", 1),
-    (1004892, "CafeNet", "wxnzm6", "211.97.131.89", 2),
-    (2004892, "NHTZ-1809", "wm7dd3", "180.172.139.15", 1),
-    (2004892, "NHTZ-1809", None, "60.181.37.100", 2),
-    (2002343, "NHTZ-1809", None, "60.181.37.100", 3),
-    (3002343, "Innersect-5G", None, "116.236.211.114", 1),
-]
-IDMAP = [("u1", "f1"), ("u1", "f2"), ("u2", "f2"), ("u2", "f3"), ("u3", "f3"), ("u3", "f4"), ("u4", "f4"),
-         ("u5", "f5"), ("u6", "f5"), ("u7", "f6")]
+# A triangle 10-20-30 with a way on to 40, 50, 60; the pair 80-90; 70 alone.
+# An edge goes from somebody to a follower; two people are called ann.
+EDGES = [(10, 20), (20, 30), (30, 10), (50, 10), (30, 40), (40, 50), (60, 50), (90, 80)]
+PEOPLE = [(10, "ann"), (20, "bob"), (30, "cid"), (40, "dee"), (50, "eli"), (60, "fay"), (70, "gus"), (80, "hal"), (90, "ann")]
+# harbor: .1-.2 by user 11, .2-.3 by user 12, .9 apart; library: two places nobody
+# shares; one row without a network
+LOG = [(11, "harbor", "u4pru", "10.0.0.1", 3), (11, "harbor", "u4prv", "10.0.0.2", 4), (12, "harbor", None, "10.0.0.3", 4),
+       (12, "harbor", None, "10.0.0.2", 6), (13, "harbor", None, "10.0.0.9", 1), (11, "library", "u4pr2", "10.0.0.1", 2),
+       (14, "library", None, "10.9.0.7", 2), (15, None, None, "10.0.0.5", 5)]
+CLUSTERS = [[("harbor", "10.0.0.1"), ("harbor", "10.0.0.2"), ("harbor", "10.0.0.3")], [("harbor", "10.0.0.9")],
+            [("library", "10.0.0.1")], [("library", "10.9.0.7")]]
+# two networks join p1..p3, one only p4, two join p5..p7, p8 has none
+PAIRS = [("p1", "n1"), ("p2", "n1"), ("p2", "n2"), ("p3", "n2"), ("p4", "n3"), ("p5", "n4"), ("p6", "n4"), ("p6", "n5"),
+         ("p7", "n5"), ("p8", None)]
 
 
 def edges_df(spark, pairs):
@@ -32,19 +30,21 @@ def comp_map(df):
     return {r["id"]: r["component"] for r in df.collect()}
 
 
-def test_components_followers(spark):
-    v = spark.createDataFrame(USERS, "id bigint, name string")
-    c = comp_map(G.connected_components(v, edges_df(spark, FOLLOWERS)))
-    assert c == {1: 1, 2: 1, 4: 1, 3: 3, 6: 3, 7: 3, 8: 8}
+def test_components_of_people(spark):
+    v = spark.createDataFrame(PEOPLE, "id bigint, name string")
+    c = comp_map(G.connected_components(v, edges_df(spark, EDGES)))
+    assert c == {10: 10, 20: 10, 30: 10, 40: 10, 50: 10, 60: 10, 70: 70, 80: 80, 90: 80}
 
 
-def test_components_social(spark):
-    e = edges_df(spark, [(3, 7), (5, 3), (2, 5), (5, 7), (100, 101)])
-    v = spark.createDataFrame([(i,) for i in (3, 7, 5, 2, 100, 101)], "id bigint")
-    comps = G.connected_components(v, e)
-    m = G.component_members(comps)
-    got = {r["component"]: r["members"] for r in m.collect()}
-    assert got == {2: "2,3,5,7", 100: "100,101"}
+def test_edges_with_a_null_end_link_nothing(spark):
+    c = comp_map(G.connected_components(None, edges_df(spark, [(1, 2), (3, None), (None, 2), (None, None)])))
+    assert c == {1: 1, 2: 1, 3: 3}
+
+
+def test_component_members(spark):
+    v = spark.createDataFrame([(i,) for i in (4, 6, 8, 14, 15, 21)], "id bigint")
+    m = G.component_members(G.connected_components(v, edges_df(spark, [(8, 6), (6, 4), (15, 14)])))
+    assert sorted(map(tuple, m.collect())) == [(4, 3, "4"), (4, 3, "6"), (4, 3, "8"), (14, 2, "14"), (14, 2, "15"), (21, 1, "21")]
 
 
 def _union_find(n, pairs):
@@ -99,60 +99,66 @@ def test_bounded_group_equals_clique_edges(spark):
 
 
 def test_neighbor_mean(spark):
-    v = spark.createDataFrame([(i, float(i)) for i in (1, 2, 3, 4, 6, 7, 8)], "id bigint, attr double")
-    got = {r["id"]: r["mean"] for r in G.neighbor_mean(v, edges_df(spark, FOLLOWERS)).collect()}
-    assert got == {1: 3.0, 3: 6.5, 6: 7.0}
+    # 10 hears from 30 and 50, 50 from 60, 80 from 90; nobody else from a greater one
+    v = spark.createDataFrame([(i, float(i)) for i, _ in PEOPLE], "id bigint, attr double")
+    got = {r["id"]: r["mean"] for r in G.neighbor_mean(v, edges_df(spark, EDGES)).collect()}
+    assert got == {10: 40.0, 50: 60.0, 80: 90.0}
 
 
 def test_influence(spark):
-    v = spark.createDataFrame(USERS, "id bigint, name string")
-    scores = G.influence(v, edges_df(spark, FOLLOWERS))
+    v = spark.createDataFrame(PEOPLE, "id bigint, name string")
+    scores = G.influence(v, edges_df(spark, EDGES))
     got = {r["id"]: r["influence"] for r in scores.collect()}
-    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 6: 2, 7: 2, 8: -1}
-    assert G.top_influencer(scores).first()["id"] == 3
+    # e.g. 30 is followed by 10 and 40, those by 20 and 50: ann, dee, bob, eli
+    assert got == {10: 2, 20: 3, 30: 4, 40: 2, 50: 2, 60: 2, 70: -1, 80: -1, 90: 1}
+    assert [r["id"] for r in G.top_influencer(scores, 4).collect()] == [30, 20, 10, 40]
+
+
+def _sets(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["set_id"], {}).setdefault(r["kind"], set()).add(r["member"])
+    return out
 
 
 def test_id_sets(spark):
-    pairs = spark.createDataFrame(IDMAP, "uid string, wifi string")
-    long = G.reduce_id_sets(pairs)
-    sets = {r["set_id"]: (r["uids"], r["wifis"], r["merged"]) for r in G.id_sets_as_arrays(long).collect()}
-    assert sets == {
-        1: (["u1", "u2", "u3", "u4"], ["f1", "f2", "f3", "f4"], ["1", "2", "3", "4"]),
-        5: (["u5", "u6"], ["f5"], ["5", "6"]),
-        7: (["u7"], ["f6"], ["7"]),
+    got = _sets(G.reduce_id_sets(spark.createDataFrame(PAIRS, "uid string, wifi string")))
+    assert got == {
+        1: {"uid": {"p1", "p2", "p3"}, "wifi": {"n1", "n2"}, "merged": {"1", "2", "3"}},
+        4: {"uid": {"p4"}, "wifi": {"n3"}, "merged": {"4"}},
+        5: {"uid": {"p5", "p6", "p7"}, "wifi": {"n4", "n5"}, "merged": {"5", "6", "7"}},
+        8: {"uid": {"p8"}, "merged": {"8"}},
     }
 
 
 def test_id_sets_chain_is_one_set(spark):
-    pairs = spark.createDataFrame([("u1", "f1"), ("u1", "f2"), ("u2", "f2"), ("u2", "f3"), ("u3", "f3"),
-                                   ("u3", "f4")], "uid string, wifi string")
-    assert G.reduce_id_sets(pairs).select("set_id").distinct().count() == 1
+    pairs = [("a", "x"), ("b", "x"), ("b", "y"), ("c", "y"), ("d", "y"), ("d", "z"), ("e", "z")]
+    assert set(_sets(G.reduce_id_sets(spark.createDataFrame(pairs, "uid string, wifi string")))) == {1}
 
 
-def _actions(spark, with_bssid=False):
-    rows = [(u, w, g, ip, d, None, i) for i, (u, w, g, ip, d) in enumerate(WIFI_LOG)]
+def _actions(spark):
+    rows = [(*r, None, i) for i, r in enumerate(LOG)]
     return spark.createDataFrame(rows, "uid bigint, wifi_name string, geohash string, ip string, day_num int, "
                                        "bssid string, vid bigint")
 
 
-def test_map_wifi_ids_fixture(spark):
+def test_map_wifi_ids(spark):
     out = G.map_wifi_ids(_actions(spark).drop("bssid", "vid"))
     clusters = {}
-    for r in out.collect():
+    for r in out.where("wifi_name IS NOT NULL").collect():
         clusters.setdefault(r["vertex_id"], set()).add((r["wifi_name"], r["ip"]))
-    assert sorted(sorted(c) for c in clusters.values()) == sorted([
-        sorted({("CafeNet", "211.97.131.100"), ("CafeNet", "211.97.131.101"), ("CafeNet", "211.97.131.89")}),
-        sorted({("NHTZ-1809", "180.172.139.15"), ("NHTZ-1809", "60.181.37.100")}),
-        [("Innersect-5G", "116.236.211.114")],
-    ])
+    assert sorted(sorted(c) for c in clusters.values()) == CLUSTERS
+    assert [r["vertex_id"] for r in out.where("wifi_name IS NULL").collect()] == [None]
 
 
-def test_recognize_wifi_fixture(spark):
-    out = G.recognize_wifi(_actions(spark), "20181210", 6).collect()
+def test_recognize_wifi(spark):
+    out = G.recognize_wifi(_actions(spark), "20240229", 6).collect()
     ids = {}
     for r in out:
         ids.setdefault(r["wifi_id"], set()).add((r["wifi_name"], r["ip"]))
-    assert len(ids) == 3 and all(r["date_p"] == "20181210" for r in out)
+    # clusters are named by their first row, the row without a network by its own
+    assert {k: sorted(v, key=str) for k, v in ids.items()} == {**dict(zip("0456", CLUSTERS)), "7": [(None, "10.0.0.5")]}
+    assert all(r["date_p"] == "20240229" for r in out)
     with_bssid = _actions(spark).withColumn("bssid", F.lit("ab"))
     assert {r["wifi_id"] for r in G.recognize_wifi(with_bssid, "d", 6).collect()} == {"ab"}
 

@@ -54,14 +54,26 @@ def test_app_profile_job(spark, tmp_path):
 
 def test_wifi_recognize_job_from_path(spark, tmp_path):
     p = tmp_path / "wf.tsv"
-    p.write_text("1003318\tCafeNet\twsk534\t211.97.131.100\t1\t\\N\n"
-                 "1003318\tCafeNet\twz24b4\t211.97.131.101\t1\t\\N\n"
-                 "1004659\tCafeNet\twssu71\t211.97.131.101\t5\tab\n")
-    a = jobs.parser().parse_args(["wifi-recognize", "--date-p", "20181210", "--source-path", str(p)])
+    p.write_text("21\tquay\tu09tv\t192.0.2.10\t8\t\\N\n"
+                 "21\tquay\tNULL\t192.0.2.11\t9\t\\N\n"
+                 "22\tquay\tu09tw\t192.0.2.11\t9\tc0ffee\n"
+                 "23\tattic\tu09tw\t192.0.2.12\t9\t\\N\n")
+    a = jobs.parser().parse_args(["wifi-recognize", "--date-p", "20240229", "--source-path", str(p)])
     out = jobs.run_wifi_recognize(spark, a).collect()
     ids = {(r["ip"], r["bssid"]): r["wifi_id"] for r in out}
-    assert ids[("211.97.131.101", "ab")] == "ab"
-    assert ids[("211.97.131.100", None)] == ids[("211.97.131.101", None)]
+    assert ids[("192.0.2.11", "c0ffee")] == "c0ffee"
+    assert ids[("192.0.2.10", None)] == ids[("192.0.2.11", None)] != ids[("192.0.2.12", None)]
+
+
+def test_missing_days_are_dropped_with_and_without_wildcards(spark, tmp_path):
+    (tmp_path / "20240229").mkdir()
+    (tmp_path / "20240229" / "part-a.json").write_text("{}")
+    days = jobs.day_list("20240301", 2)
+    for template in ("{date}", "{date}/part-*"):
+        paths = jobs._expand(spark, f"{tmp_path}/{template}", days, [""], [""])
+        assert paths == [f"{tmp_path}/{template.format(date='20240229')}"]
+    (tmp_path / "k1" / "20240229").mkdir(parents=True)
+    assert jobs._expand(spark, f"{tmp_path}/{{key}}/{{date}}", days, ["k1", "k2"], [""]) == [f"{tmp_path}/k1/20240229"]
 
 
 def test_word_count_stream_job(spark, tmp_path):

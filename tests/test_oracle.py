@@ -3,6 +3,7 @@ tables (the same row-count / column / value-hash comparison the driver makes
 at sf0.01, which ``scripts/check_oracle.py`` runs)."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -39,7 +40,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_a_builder_and_most_have_an_oracle():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    rows_only = set(qs) - set(sql)
+    # the training-data queries (opN_..., pipeline) are tested on their own
+    rows_only = {n for n in set(qs) - set(sql) if not re.match(r"op\d+_|pipeline$", n)}
     assert rows_only <= {"rf_logloss", "rf_probabilities", "dt_predict", "gbt_binary", "gbt_multiclass",
                          "cv_first_fold"}
 

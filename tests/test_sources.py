@@ -4,42 +4,39 @@ from pyspark.sql import functions as F
 
 from tessera.sources import files, sinks
 
-FX01 = """1003318 CafeNet wsk534 211.97.131.100 1
-1003318 CafeNet wz24b4 211.97.131.101 1
-2004892 NHTZ-1809 \\N 60.181.37.100 2
-3002343 Innersect-5G \\N 116.236.211.114 1"""
+LOG = """51 pier u33db 198.51.100.4 7
+51 pier u33dc 198.51.100.5 7
+52 mill \\N 198.51.100.6 12
+53 loft NULL 198.51.100.7 x"""
 
-FX08_SCHEMA = ("abyte tinyint, ashort smallint, aint int, along bigint, adouble double, astring string, "
-               "anullint int, anullstring string")
+TYPED = ("t tinyint, s smallint, i int, l bigint, d double, w string, bad int, none string")
 
 
 def test_read_wifi_log_space(spark, tmp_path):
-    p = tmp_path / "wf.txt"
-    p.write_text(FX01 + "\n")
+    p = tmp_path / "log.txt"
+    p.write_text(LOG + "\n\n")
     rows = files.read_wifi_log(spark, str(p), "\\s", with_row_id=True, has_bssid=False).collect()
-    assert len(rows) == 4
-    assert rows[2]["geohash"] is None and rows[2]["uid"] == 2004892 and rows[2]["day_num"] == 2
+    assert [(r["uid"], r["wifi_name"], r["geohash"], r["day_num"]) for r in rows] == [
+        (51, "pier", "u33db", 7), (51, "pier", "u33dc", 7), (52, "mill", None, 12), (53, "loft", None, None)]
     assert len({r["vid"] for r in rows}) == 4
 
 
 def test_read_wifi_log_tab_with_bssid(spark, tmp_path):
-    p = tmp_path / "wf.tsv"
-    p.write_text("1003318\tCafeNet \twsk534\t211.97.131.100\t1\taf\n2004892\tNHTZ-1809\t\\N\tx\t2\tNULL\n")
+    p = tmp_path / "log.tsv"
+    p.write_text("51\tpier \tu33db\t198.51.100.4\t7\t0a:1b\n52\tmill\tnull\tq\t9\t\\N\n")
     rows = files.read_wifi_log(spark, str(p), "\t").collect()
-    assert rows[0]["wifi_name"] == "CafeNet" and rows[0]["bssid"] == "af"
-    assert rows[1]["geohash"] is None and rows[1]["bssid"] is None
+    assert [(r["wifi_name"], r["geohash"], r["bssid"]) for r in rows] == [("pier", "u33db", "0a:1b"), ("mill", None, None)]
 
 
 def test_delimited_round_trip(spark, tmp_path):
     src = tmp_path / "in.txt"
-    src.write_text("123\t456\t789\t1000\t5.3\thive and hadoop\t1.\tNULL\n")
-    df = files.read_delimited(spark, str(src), FX08_SCHEMA, "\t", "NULL")
-    r = df.first()
-    assert tuple(r) == (123, 456, 789, 1000, 5.3, "hive and hadoop", None, None)
+    src.write_text("-7\t300\t70000\t5000000000\t-0.25\tbread & salt\t2.5\tNULL\n")
+    df = files.read_delimited(spark, str(src), TYPED, "\t", "NULL")
+    assert tuple(df.first()) == (-7, 300, 70000, 5000000000, -0.25, "bread & salt", None, None)
     out = tmp_path / "out"
     files.write_delimited(df, str(out), "\t", "NULL")
     text = "".join(p.read_text() for p in sorted(out.glob("part-*")))
-    assert text.strip() == "123\t456\t789\t1000\t5.3\thive and hadoop\tNULL\tNULL"
+    assert text.strip() == "-7\t300\t70000\t5000000000\t-0.25\tbread & salt\tNULL\tNULL"
 
 
 def test_tag_distribution_reader_and_report(spark, tmp_path):
