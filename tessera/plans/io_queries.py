@@ -423,7 +423,7 @@ def date_helpers(t: Tables) -> DataFrame:
 @register("map_merge", """
 WITH m AS (SELECT l_orderkey, l_linenumber, l_returnflag AS k, l_quantity AS v FROM lineitem)
 SELECT l_orderkey, string_agg(k || '=' || CAST(v AS VARCHAR), ',' ORDER BY k) AS merged
-FROM (SELECT l_orderkey, k, last(v ORDER BY l_linenumber) AS v FROM m GROUP BY 1, 2) GROUP BY 1
+FROM (SELECT l_orderkey, k, last(v ORDER BY l_linenumber, v) AS v FROM m GROUP BY 1, 2) GROUP BY 1
 """)
 def map_merge(t: Tables) -> DataFrame:
     """MAP-01/02, UDF-01: the one-entry maps of an order's lines, later lines
