@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 U64 = np.uint64
 
 
@@ -16,6 +20,14 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table to the shared checkpoint folder and read
+    again: like a checkpoint, for large rows of numbers that Parquet packs."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A string column of a batch as UTF-8 bytes, without decoding it.
     ``bytes.split()`` cuts these at ``[\\x20\\x09-\\x0D]`` exactly."""

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_counted
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, utf8, words_of
+from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, stored, utf8, words_of
 
 class Windows:
     """Hashes of the word windows of a text."""
@@ -88,7 +88,7 @@ def _runs(texts: DataFrame, window: int) -> DataFrame:
 def _marks(texts: DataFrame, window: int) -> DataFrame:
     """Per document: ``dead`` runs (a smaller document has them) and ``open``
     runs (first of their kind, with another kind of the same anchor)."""
-    runs = cut_lineage(_runs(texts, window))
+    runs = stored(_runs(texts, window))
     kinds = cut_lineage(runs.groupBy("anchor", "run").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     anchors = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows"))
     anchors = cut_lineage(anchors.where(F.col("rows") > 1))
@@ -124,7 +124,7 @@ def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
 
 def _late_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
     """``(doc_id, hashes)``: windows of open runs that a smaller document has."""
-    rows = cut_lineage(_open_windows(texts, marks, window).distinct())
+    rows = stored(_open_windows(texts, marks, window).distinct())
     firsts = rows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = cut_lineage(firsts.where(F.col("n") > 1))
     late = join_counted(rows, firsts, ["anchor", "hash"], "n", rows.count()).where(F.col("doc_id") > F.col("first"))
