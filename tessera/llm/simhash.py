@@ -243,8 +243,10 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
                 yield pa.RecordBatch.from_arrays([long_column(pairs[:, 0]), long_column(pairs[:, 1]),
                                                   pa.array(np.zeros(len(pairs), bool))], names=["src", "dst", "large"])
 
-    keyed = distinct.select("fp").mapInArrow(emit, "key bigint, fp bigint")
-    met = cut_lineage(keyed.repartition(width(distinct), "key").sortWithinPartitions("key")
+    # a fingerprint becomes about 180 rows: dealt out first, few as they are
+    p = width(distinct)
+    keyed = distinct.select("fp").repartition(p, "fp").mapInArrow(emit, "key bigint, fp bigint")
+    met = cut_lineage(keyed.repartition(p, "key").sortWithinPartitions("key")
                       .mapInArrow(meet, "src bigint, dst bigint, large boolean"))
     near = met.where(~F.col("large")).select("src", "dst")
     wide = met.where("large").select(F.col("src").alias("key"), F.col("dst").alias("fp"))
