@@ -193,18 +193,18 @@ def reduce_id_sets(pairs: DataFrame, uid: str = "uid", wifi: str = "wifi") -> Da
     ``(set_id, kind, member)`` with kind ``uid`` / ``wifi`` / ``merged``;
     the long form keeps a giant set spread over many tasks.
     """
-    p = pairs.select(F.col(uid).alias("uid"), F.col(wifi).alias("wifi")).where(F.col("uid").isNotNull())
+    p = cut_lineage(pairs.select(F.col(uid).alias("uid"), F.col(wifi).alias("wifi")).where(F.col("uid").isNotNull()).distinct())
     uids = global_row_number(p.select("uid").distinct(), ["uid"], out="sid")
-    ps = p.join(uids, "uid")
-    linked = cooccurrence_edges(ps.where(F.col("wifi").isNotNull()), ["wifi"], "sid")
+    ps = p.where(F.col("wifi").isNotNull()).join(uids, "uid").select("sid", "wifi")
+    linked = cut_lineage(cooccurrence_edges(ps, ["wifi"], "sid"))
     comp = connected_components(uids.select(F.col("sid").alias("id")), linked, id_col="id")
-    # read three times below (uids, wifis, merged ids): materialise once
-    ps = cut_lineage(ps.join(comp.select(F.col("id").alias("sid"), F.col("component").alias("set_id")), "sid"))
-    members_uid = ps.select("set_id", F.lit("uid").alias("kind"), F.col("uid").cast("string").alias("member"))
-    members_wifi = (ps.where(F.col("wifi").isNotNull())
-                      .select("set_id", F.lit("wifi").alias("kind"), F.col("wifi").cast("string").alias("member")))
-    merged = ps.select("set_id", F.lit("merged").alias("kind"), F.col("sid").cast("string").alias("member"))
-    return members_uid.unionByName(members_wifi).unionByName(merged).distinct()
+    # every uid with its number and set: uids and numbers are members as they are
+    named = cut_lineage(uids.join(comp.select(F.col("id").alias("sid"), F.col("component").alias("set_id")), "sid"))
+    members_uid = named.select("set_id", F.lit("uid").alias("kind"), F.col("uid").cast("string").alias("member"))
+    merged = named.select("set_id", F.lit("merged").alias("kind"), F.col("sid").cast("string").alias("member"))
+    members_wifi = (p.where(F.col("wifi").isNotNull()).join(named.select("uid", "set_id"), "uid")
+                    .select("set_id", F.lit("wifi").alias("kind"), F.col("wifi").cast("string").alias("member")).distinct())
+    return members_uid.unionByName(members_wifi).unionByName(merged)
 
 
 def component_members(components: DataFrame, names: DataFrame | None = None, id_col: str = "id",
@@ -246,21 +246,20 @@ def influence(vertices: DataFrame, edges: DataFrame, name: str = "name", default
     Edges go followee -> follower.  Influence = number of distinct names among
     followers and followers of followers, not counting the vertex's own name
     and the blank name; a vertex without followers scores -1 (the two-round
-    message closed form, Q16).  Each hop is de-duplicated before the next
-    join, so the second hop touches distinct (vertex, follower) pairs only.
+    message closed form, Q16).  The second hop joins distinct (vertex, name)
+    pairs, not pairs of vertices; the edges are built once.
     """
-    v = graph(vertices.select("id", F.col(name).alias("attr")), edges, default_name)
-    hop1 = edges.select(F.col("src").alias("u"), F.col("dst").alias("w")).distinct()
-    hop1 = cut_lineage(hop1)
-    hop2 = (hop1.join(hop1.select(F.col("u").alias("w"), F.col("w").alias("w2")), "w")
-                .select("u", F.col("w2").alias("w")))
-    reach = hop1.unionByName(hop2).distinct()
-    names = (reach.join(v.select(F.col("id").alias("w"), F.col("attr").alias("nm")), "w")
-                  .select("u", "nm"))
+    hop1 = cut_lineage(edges.select(F.col("src").alias("u"), F.col("dst").alias("w")).distinct())
+    v = cut_lineage(graph(vertices.select("id", F.col(name).alias("attr")),
+                          hop1.select(F.col("u").alias("src"), F.col("w").alias("dst")), default_name))
+    called = v.select(F.col("id").alias("w"), F.col("attr").alias("nm"))
+    # names instead of vertices from here on: a vertex's followers shrink to their distinct names
+    near = cut_lineage(hop1.join(called, "w").select("u", "nm").distinct())
+    far = hop1.join(near.select(F.col("u").alias("w"), "nm"), "w").select("u", "nm")
     own = v.join(hop1.select(F.col("u").alias("id")).distinct(), "id")
-    names = (names.unionByName(own.select(F.col("id").alias("u"), F.col("attr").alias("nm")))
-                  .unionByName(own.select(F.col("id").alias("u"), F.lit("").alias("nm"))))
-    counts = names.groupBy("u").agg((F.count_distinct("nm") - 2).alias("influence"))
+    names = (near.unionByName(far).unionByName(own.select(F.col("id").alias("u"), F.col("attr").alias("nm")))
+                 .unionByName(own.select(F.col("id").alias("u"), F.lit("").alias("nm"))))
+    counts = names.distinct().groupBy("u").agg((F.count(F.lit(1)) - 2).alias("influence"))
     return (v.join(counts.select(F.col("u").alias("id"), "influence"), "id", "left")
              .select("id", F.col("attr").alias(name), F.coalesce("influence", F.lit(-1)).cast("bigint")
                      .alias("influence")))
@@ -313,7 +312,8 @@ def map_wifi_ids(actions: DataFrame, hash_id: str = "legacy") -> DataFrame:
     """
     key = (F.concat(F.col("wifi_name"), F.col("ip")) if hash_id == "legacy"
            else F.concat_ws("\t", F.col("wifi_name"), F.col("ip")))
-    nodes = actions.select("wifi_name", "ip").distinct().withColumn("node", name_id(key))
+    actions = cut_lineage(actions)  # read by every branch below
+    nodes = cut_lineage(actions.select("wifi_name", "ip").distinct().withColumn("node", name_id(key)))
     mem = nodes.join(actions.select("uid", "wifi_name", "ip"), ["wifi_name", "ip"], "left")
     star = cooccurrence_edges(mem, ["uid", "wifi_name"], "node")
     comp = connected_components(nodes.select(F.col("node").alias("id")), star, id_col="id")

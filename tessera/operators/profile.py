@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maps import count_map
 from ..functions.scalar import epoch_ms_to_day, non_blank
+from ..session import cut_lineage
 
 # The four tag bands of the tag-distribution report (PRO-05),
 # half-open [low, high).
@@ -122,35 +123,6 @@ def installed_list(installs: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------- full tables ---
 
-def install_features(installs: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """PRO-02: ``guid, install_app, install_category_count,
-    install_subcategory_count, install_tag_count`` (maps)."""
-    base = installed_list(installs)
-    cat = count_map(install_dim_counts(installs, dims["category"], "category"), "guid", "category", "count",
-                    "install_category_count")
-    sub = count_map(install_dim_counts(installs, dims["sub_category"], "sub_category"), "guid", "sub_category",
-                    "count", "install_subcategory_count")
-    tag = count_map(install_tag_counts(installs, dims["tag"]), "guid", "tag", "count", "install_tag_count")
-    return base.join(cat, "guid", "left").join(sub, "guid", "left").join(tag, "guid", "left")
-
-
-def open_features(opens: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """PRO-03: per user maps of open days/times by app, category,
-    sub-category and tag."""
-    app = open_app_stats(opens)
-    base = (app.groupBy("guid").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("app_name", "day_count")))).alias("open_app_days"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("app_name", "times")))).alias("open_app_times")))
-    out = base
-    for key, prefix in (("category", "open_category"), ("sub_category", "open_subcategory"), ("tag", "open_tag")):
-        s = open_dim_stats(opens, dims[key], key)
-        m = s.groupBy("guid").agg(
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "days")))).alias(f"{prefix}_days"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "times")))).alias(f"{prefix}_times"))
-        out = out.join(m, "guid", "left")
-    return out
-
-
 PROFILE_COLUMNS = ["guid", "install_app", "install_category_count", "install_subcategory_count",
                    "install_tag_count", "open_app_days", "open_app_times", "open_category_days",
                    "open_category_times", "open_subcategory_days", "open_subcategory_times", "open_tag_days",
@@ -191,18 +163,18 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
     partition column.  Users with opens but no installs are not in the output
     (the reference drives from installs, Q10).
 
-    Plan: one daily pre-aggregate of the opens feeds everything; metadata is
-    joined once per side and exploded into (family, key) rows; one per-user
-    aggregate builds all maps of a side, so the two sides arrive partitioned
-    by user and the final join needs no further shuffle.  ``installs=None``
-    derives installs from the opens (distinct user/app pairs) and reuses the
-    same shuffle.  ``dedupe_meta`` removes duplicate metadata rows (the
+    Plan: one daily pre-aggregate of the opens, checkpointed, feeds
+    everything; metadata is joined once per side and exploded into (family,
+    key) rows; one per-user aggregate builds all maps of a side, so the two
+    sides arrive partitioned by user and the final join needs no further
+    shuffle.  ``installs=None`` derives installs from the opens (distinct
+    user/app pairs).  ``dedupe_meta`` removes duplicate metadata rows (the
     reference multiplies open times when an app is listed twice, Q7).
     """
     fam_keys = _family_keys(meta, tag_sep)
     if dedupe_meta:  # Q7 option: an app listed twice no longer multiplies its opens
         fam_keys = fam_keys.distinct()
-    daily = daily_opens(opens)
+    daily = cut_lineage(daily_opens(opens))  # the open log is read once, here
     app_stats = (daily.where(non_blank(F.col("app_name").cast("string")))
                  .groupBy("guid", "app_name").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
     fam_open = (daily.join(fam_keys, "app_name")
@@ -219,11 +191,9 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
                       _family_map(fam, "key", "times").alias(f"{prefix}_times")]
     opened = open_long.groupBy("guid").agg(*open_cols)
 
-    # Installs derived from the opens read the same per-(user, app) aggregate
-    # as the open side.  The always-true filter on the summed count keeps
-    # the optimizer from collapsing the nested aggregates (which would prune
-    # the day column and re-scan and re-shuffle the open log for this side).
-    inst = installs if installs is not None else app_stats.where(F.col("times") >= 0).select("guid", "app_name")
+    # installs derived from the opens come from the same stored daily counts;
+    # installs of their own are read by two aggregates
+    inst = cut_lineage(installs) if installs is not None else app_stats.select("guid", "app_name")
     inst_fam = (inst.join(fam_keys, "app_name")
                 .groupBy("guid", "fam", "key").agg(F.count_distinct("app_name").alias("count"))
                 .withColumn("count", F.when(F.col("fam") == "tag", F.lit(1).cast("bigint")).otherwise(F.col("count"))))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import timeseries as TS
+from ..session import cut_lineage
 from ..sources import sinks
 from ..sources.tables import Tables
 from .common import r6, register
@@ -23,7 +24,8 @@ SPLIT_OLD_BEFORE = "2024-01-20 00:00:00"
 
 
 def bars(t: Tables) -> DataFrame:
-    return TS.bars_from_ticks(t.events, "event_type", "ts", "value", "event_id", "hour")
+    """The bars, built once: signals and updates read them several times."""
+    return cut_lineage(TS.bars_from_ticks(t.events, "event_type", "ts", "value", "event_id", "hour"))
 
 
 def _tfmt(c="t"):
