@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,23 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """``(doc_id, data)`` with each text as zstd-compressed UTF-8: a third less to
+    shuffle than the exchange's own compression leaves, for texts that are
+    needed in Python anyway.  ``unpacked`` is the inverse."""
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in in_pieces(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(t) for t in utf8(b)], pa.binary())], names=["doc_id", "data"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, data binary")
+
+
+def unpacked(batch: pa.RecordBatch, name: str = "data") -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+
+
 def in_pieces(batches, rows: int = 1000):
     """Batches of at most ``rows`` rows, so that a worker holds few texts at a time."""
     for b in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_counted, width
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix
+from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, packed, stored, unpacked
 
 BLANKS = " \t\x0b\x0c\r"
 _ID = ["h1", "h2"]  # 128 bits stand for a line
@@ -193,14 +193,24 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", tex
     causes no loss.  Rows that repeat an id are one document; of equal lines at
     one place the number of the line decides, so both lose or keep it."""
     texts = id_text(docs, id_col, text_col)
-    distinct = cut_lineage(distinct_lines(_lines(texts), min_chars))
+    distinct = stored(distinct_lines(_lines(texts), min_chars))
     picked = _with_partners(distinct)
     doc_of = F.floor(F.col("first") / F.lit(_STEP)).cast("bigint").alias("doc_id")
     line_of = (F.col("first") - F.floor(F.col("first") / F.lit(_STEP)) * F.lit(_STEP)).cast("int").alias("line_no")
     wanted = picked.select(doc_of, line_of).groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
-    some = (texts.join(wanted, "doc_id").select("doc_id", "wanted", F.split("text", "\n").alias("all"))
-            .select("doc_id", F.explode("wanted").alias("line_no"), "all")
-            .select("doc_id", "line_no", F.btrim(F.get("all", F.col("line_no")), F.lit(BLANKS)).alias("line"))
+
+    def pick(batches):
+        for b in in_pieces(batches):
+            found = []
+            for doc_id, text, numbers in zip(b.column(0).to_pylist(), unpacked(b), b.column(2).to_pylist()):
+                lines = text.decode().split("\n")
+                found += [(doc_id, i, lines[i].strip(BLANKS)) for i in numbers if i < len(lines)]
+            if found:
+                d, i, line = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int32()), pa.array(line, pa.string())],
+                                                 names=["doc_id", "line_no", "line"])
+
+    some = (packed(texts).join(wanted, "doc_id").mapInArrow(pick, "doc_id bigint, line_no int, line string")
             .dropDuplicates(["doc_id", "line_no"]))
     near = cut_lineage(near_lines(cut_lineage(some)))
     late = near.select(_place("doc_id", "line_no").alias("first"), F.lit(True).alias("near"))
@@ -212,19 +222,19 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", tex
     told = join_counted(occurrences, fates, _ID, "rows", distinct.agg(F.sum("rows")).first()[0] or 0)
     gone = (told.where(F.col("near") | (_place("doc_id", "line_no") > F.col("first")))
             .groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
-    out = texts.join(gone, "doc_id", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
     def cut(batches):
         for b in in_pieces(batches):
-            n, kept = [], []
-            for text, removed in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                lines, drop = text.split("\n"), set(removed)
+            n, kept, dropped = [], [], [x or [] for x in b.column(2).to_pylist()]
+            for text, removed in zip(unpacked(b), dropped):
+                lines, drop = text.decode().split("\n"), set(removed)
                 n.append((len(lines), len(drop)))
-                kept.append("\n".join([x for i, x in enumerate(lines) if i not in drop]) if drop else text)
+                kept.append("\n".join([x for i, x in enumerate(lines) if i not in drop]))
             total, gone = zip(*n) if n else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), b.column(2),
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                                              pa.array(dropped, pa.list_(pa.int32())),
                                               pa.array(kept, pa.string())],
                                              names=["doc_id", "n_lines", "n_removed", "removed", "kept_text"])
 
-    return out.select("doc_id", "text", "removed").mapInArrow(
+    return packed(texts).join(gone, "doc_id", "left").select("doc_id", "data", "removed").mapInArrow(
         cut, "doc_id bigint, n_lines bigint, n_removed bigint, removed array<int>, kept_text string")
