@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_counted
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, stored, utf8, words_of
+from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, packed, stored, unpacked, utf8, words_of
 
 class Windows:
     """Hashes of the word windows of a text."""
@@ -108,7 +108,7 @@ def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
         hasher = Windows(window)
         for b in in_pieces(batches, 500):
             out = []
-            for doc_id, text, opened in zip(b.column(0).to_pylist(), utf8(b), b.column(2).to_pylist()):
+            for doc_id, text, opened in zip(b.column(0).to_pylist(), unpacked(b), b.column(2).to_pylist()):
                 starts, ends, anchors, runs, hashes, _ = hasher.of(text)
                 for i in np.flatnonzero(np.isin(runs.view(np.int64), np.array(opened, np.int64))):
                     h = hashes[starts[i]:ends[i]]
@@ -119,7 +119,7 @@ def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
                                                  names=["anchor", "hash", "doc_id"])
 
     some = marks.where(F.size("open") > 0).select("doc_id", "open")
-    return texts.join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, doc_id bigint")
+    return packed(texts).join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, doc_id bigint")
 
 
 def _late_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
@@ -151,7 +151,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hasher = Windows(window)
         for b in in_pieces(batches, 500):
             counts, spans, kept = [], [], []
-            for text, dead, hashes in zip(utf8(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for text, dead, hashes in zip(unpacked(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 words = text.split()
                 gone = _removed(hasher, text, dead or [], hashes or []) if dead or hashes else []
                 left, at = [], 0
@@ -166,7 +166,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span),
                  pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "spans", "kept_text"])
 
-    return (texts.join(known, "doc_id", "left").select("doc_id", "text", "dead", "hashes")
+    return (packed(texts).join(known, "doc_id", "left").select("doc_id", "data", "dead", "hashes")
             .mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, "
                              "spans array<struct<start:int,end:int>>, kept_text string"))
 
