@@ -47,9 +47,9 @@ def packed(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, data binary")
 
 
-def unpacked(batch: pa.RecordBatch, name: str = "data") -> list[bytes]:
+def unpacked(batch: pa.RecordBatch | pa.Table) -> list[bytes]:
     unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(x) for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+    return [unpack(x) for x in batch.column(batch.schema.get_field_index("data")).to_pylist()]
 
 
 def in_pieces(batches, rows: int = 1000):

@@ -14,7 +14,7 @@ Three steps, each a shuffle:
    of each document.
 
 Rows carry sorted hash lists, cut by block and hash range, instead of one
-n-gram each: 5 to 6 bytes an n-gram instead of 30.  No table is broadcast or
+n-gram each: under 6 bytes an n-gram instead of 30.  No table is broadcast or
 collected; a block and a hash range are bounded by ``block_chars``, whatever
 the corpus, and a very frequent n-gram is one entry in each block's list.
 """
@@ -25,35 +25,44 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, mix, words_of
+from .common import BASE, U64, Powers, id_text, mix, packed, unpacked, words_of
 
 ALPHA = 0.4
 
 
 # ---------------------------------------------------------- sorted hashes ---
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """64-bit values byte plane by byte plane, entropy-coded: planes that are zero
+    or nearly constant cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _stretched(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(U64).ravel()
+
+
 def pack(sorted_hashes: np.ndarray) -> bytes:
-    """Ascending 64-bit values as differences, byte plane by byte plane, so that
-    the shuffle's compression removes their upper, zero bytes."""
-    steps = np.diff(sorted_hashes, prepend=U64(0))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Ascending 64-bit values, as differences."""
+    return _squeezed(np.diff(sorted_hashes, prepend=U64(0)))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(U64).ravel(), dtype=U64)
+    return np.cumsum(_stretched(data), dtype=U64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _squeezed(counts.astype(U64))
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    return _stretched(data).view(np.int64)
 
 
 # ---------------------------------------------------------------- n-grams ---
@@ -70,13 +79,19 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
+def _runs(h: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    return np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+
+
 def _tables(texts: list[bytes], order: int):
     """Per order: distinct hashes (ascending) and their counts in ``texts``."""
     powers = Powers()
     docs = [words_of(t, powers)[0] for t in texts]
     for k in range(1, order + 1):
-        every = [grams(d, k) for d in docs]
-        yield k, *np.unique(np.concatenate(every) if every else np.zeros(0, U64), return_counts=True)
+        h = np.sort(np.concatenate([grams(d, k) for d in docs]))
+        at = _runs(h)
+        yield k, h[at], np.diff(np.append(at, len(h)))
 
 
 def _requests(order: int, ranges: int, counting: bool):
@@ -86,7 +101,7 @@ def _requests(order: int, ranges: int, counting: bool):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block = key[0].as_py()
         out = []
-        for k, h, c in _tables(table.column("text").cast(pa.large_binary()).to_pylist(), order):
+        for k, h, c in _tables(unpacked(table), order):
             c = c if counting else np.zeros_like(c)
             for i, (hs, cs) in enumerate(zip(np.split(h, np.searchsorted(h, cuts)), np.split(c, np.searchsorted(h, cuts)))):
                 if len(hs):
@@ -103,13 +118,16 @@ def _answers(min_count: int):
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         least = 1 if key[1].as_py() == 1 else min_count
         lists = [unpack(x) for x in table.column("hashes").to_pylist()]
-        values, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+        every = np.concatenate(lists)
+        order = np.argsort(every, kind="stable")  # the lists are sorted: a merge
+        at = _runs(every[order])
         counts = np.concatenate([unpack_counts(x) for x in table.column("counts").to_pylist()])
-        total = np.zeros(len(values), np.int64)
-        np.add.at(total, inverse, counts)
+        total = np.add.reduceat(counts[order], at)
+        each = np.empty(len(every), np.int64)
+        each[order] = np.repeat(total, np.diff(np.append(at, len(every))))
         out, at = [], 0
         for block, asks, h in zip(table.column("block").to_pylist(), table.column("asks").to_pylist(), lists):
-            mine = total[inverse[at:at + len(h)]]
+            mine = each[at:at + len(h)]
             at += len(h)
             ok = mine >= least
             if asks and ok.any():
@@ -124,19 +142,19 @@ def _answers(min_count: int):
 def _scores(order: int, alpha: float):
     """Step 3: one block's documents and the counts it got."""
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        known = []
+        powers = Powers()
+        words = [words_of(t, powers)[0] for t in unpacked(docs)]
+        per_doc = []
         for k in range(1, order + 1):
             own = counts.filter(pa.array(np.asarray(counts.column("k")) == k))
             h = [unpack(x) for x in own.column("hashes").to_pylist()]
             c = [unpack_counts(x) for x in own.column("counts").to_pylist()]
             h, c = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((h, U64), (c, np.int64)))
             at = np.argsort(h, kind="stable")
-            known.append((h[at], c[at]))
-        powers = Powers()
-        out = []
-        for text in docs.column("text").cast(pa.large_binary()).to_pylist():
-            words = words_of(text, powers)[0]
-            out.append((len(words), *_document(words, known, alpha)))
+            asked = [grams(w, k) for w in words]
+            found = _lookup(h[at], c[at], np.concatenate(asked) if asked else np.zeros(0, U64))
+            per_doc.append(np.split(found, np.cumsum([len(x) for x in asked])[:-1]))
+        out = [(len(w), *_document([x[i] for x in per_doc], len(w), alpha)) for i, w in enumerate(words)]
         n, total, bare = zip(*out) if out else ((),) * 3
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                          "log_score": pa.array(total, pa.float64()), "bare": pa.array(bare, pa.int64())})
@@ -144,24 +162,27 @@ def _scores(order: int, alpha: float):
     return score
 
 
-def _lookup(known: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> np.ndarray:
-    values, counts = known
-    if not len(values):
-        return np.zeros(len(h), np.int64)
-    at = np.minimum(np.searchsorted(values, h), len(values) - 1)
-    return np.where(values[at] == h, counts[at], 0)
+def _lookup(values: np.ndarray, counts: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Counts of ``h``, 0 where absent; ``values`` ascend.  Asking in ascending
+    order walks both arrays once instead of jumping about."""
+    out = np.zeros(len(h), np.int64)
+    if len(values):
+        order = np.argsort(h)
+        asked = h[order]
+        at = np.minimum(np.searchsorted(values, asked), len(values) - 1)
+        out[order] = np.where(values[at] == asked, counts[at], 0)
+    return out
 
 
-def _document(words: np.ndarray, known, alpha: float) -> tuple[float, int]:
-    """``(sum of log scores but for log N, positions that came down to c(w) / N)``.
-    A word that the corpus lacks counts as seen half a time."""
-    n = len(words)
+def _document(counts: list[np.ndarray], n: int, alpha: float) -> tuple[float, int]:
+    """``(sum of log scores but for log N, positions that came down to c(w) / N)``
+    of ``n`` words, from the counts of the document's n-grams by order.  A word
+    that the corpus lacks counts as seen half a time."""
     if not n:
         return 0.0, 0
-    counts = [_lookup(known[k - 1], grams(words, k)) for k in range(1, len(known) + 1)]
     log = np.zeros(n)
     open_ = np.ones(n, bool)  # not decided by a longer n-gram
-    for k in range(len(known), 1, -1):
+    for k in range(len(counts), 1, -1):
         c = counts[k - 1]
         if not len(c):
             continue
@@ -177,10 +198,14 @@ def _document(words: np.ndarray, known, alpha: float) -> tuple[float, int]:
 
 # --------------------------------------------------------------- operator ---
 
-def _blocks(texts: DataFrame, chars: int) -> DataFrame:
-    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-total // chars))
-    return texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).repartition(n, "block")
+def _n_blocks(texts: DataFrame, chars: int) -> int:
+    return max(1, -(-(texts.agg(F.sum(F.length("text"))).first()[0] or 0) // chars))
+
+
+def _blocks(texts: DataFrame, n: int) -> DataFrame:
+    """``(doc_id, data, block)``: packed texts dealt into ``n`` blocks."""
+    keyed = packed(texts)
+    return keyed.withColumn("block", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n)).cast("int")).repartition(n, "block")
 
 
 def lm_score(docs: DataFrame, corpus: DataFrame | None = None, order: int = 3, min_count: int = 2, alpha: float = ALPHA,
@@ -195,22 +220,23 @@ def lm_score(docs: DataFrame, corpus: DataFrame | None = None, order: int = 3, m
     counted and scored each.  An empty corpus scores every word as half a
     sighting in one."""
     texts = id_text(docs, id_col, text_col)
-    blocks = _blocks(texts, block_chars)
-    ranges = max(1, blocks.rdd.getNumPartitions()) if corpus is None else max(1, _blocks(id_text(corpus, id_col, text_col), block_chars).rdd.getNumPartitions())
+    n = _n_blocks(texts, block_chars)
+    blocks = _blocks(texts, n)  # one exchange, for the requests and for the scores
     lists = "part int, k int, block int, hashes binary, counts binary"
-    asked = blocks.groupBy("block").applyInArrow(_requests(order, ranges, corpus is None), lists).withColumn("asks", F.lit(True))
-    if corpus is not None:
-        told = _blocks(id_text(corpus, id_col, text_col), block_chars)
-        asked = asked.unionByName(told.groupBy("block").applyInArrow(_requests(order, ranges, True), lists)
+    other = corpus is not None and id_text(corpus, id_col, text_col)
+    ranges = _n_blocks(other, block_chars) if other else n
+    asked = blocks.groupBy("block").applyInArrow(_requests(order, ranges, not other), lists).withColumn("asks", F.lit(True))
+    if other:
+        asked = asked.unionByName(_blocks(other, ranges).groupBy("block").applyInArrow(_requests(order, ranges, True), lists)
                                   .withColumn("asks", F.lit(False)))
     answered = asked.groupBy("part", "k").applyInArrow(_answers(min_count), "block int, k int, hashes binary, counts binary")
     scored = (blocks.groupBy("block").cogroup(answered.groupBy("block"))
               .applyInArrow(_scores(order, alpha), "doc_id bigint, n_words bigint, log_score double, bare bigint"))
     scored = cut_lineage(scored)
-    if corpus is None:
+    if not other:
         words = scored.agg(F.sum("n_words")).first()[0]
     else:
-        words = id_text(corpus, id_col, text_col).agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
+        words = other.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     total = F.col("log_score") - F.col("bare") * F.lit(math.log(max(1, words or 0)))
     return scored.select("doc_id", "n_words", total.alias("log_score"),
                          F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_score"))
