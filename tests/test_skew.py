@@ -60,3 +60,23 @@ def test_quantiles_hot_value(spark):
     got = {r["q"]: r["value"] for r in ST.exact_quantiles(df, "v", [0.1, 0.25, 0.5, 0.9]).collect()}
     for q, v in got.items():
         assert abs(v - float(np.quantile(vals, q))) < 1e-9
+
+
+def test_join_counted_spreads_a_hot_key(spark):
+    """Two thirds of the rows on one key, automatic broadcast off: no task of the
+    join gets more than about twice the mean."""
+    from tessera.operators.skew import join_counted
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 30_000
+        rows = spark.range(n).repartition(8).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"), "id")
+        lookup = rows.groupBy("k").agg(F.min("id").alias("m"), F.count(F.lit(1)).alias("n"))
+        out = join_counted(rows, lookup, "k", "n", n)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == n and max(sizes) < 2.5 * n / 8
+        assert out.where("k = -1 and m <> 1").count() == 0 and out.where("k >= 0 and m <> k").count() == 0
+        left = join_counted(rows.unionByName(spark.range(5).selectExpr("-7 AS k", "id")), lookup, "k", "n", n, "left")
+        assert left.where("k = -7 and m is null").count() == 5 and left.count() == n + 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
