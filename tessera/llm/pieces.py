@@ -252,7 +252,7 @@ class Encoder:
         return np.diff(np.append(0, upto)), ids
 
 
-def _by_size(texts: list[bytes], most: int = 1 << 21):
+def _by_size(texts: list[bytes], most: int = 1 << 20):
     """Slices of ``texts`` of about ``most`` bytes, at least one text each."""
     at = held = 0
     for i, t in enumerate(texts):
