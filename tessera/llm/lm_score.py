@@ -8,10 +8,10 @@ Three steps, each a shuffle:
 1. Documents are dealt into blocks.  A block lists the distinct n-grams (64-bit
    hashes, orders 1 to ``order``) of its documents with their counts in it.
 2. The lists are partitioned by hash range and order, and counts are summed:
-   the count tables.  Each block gets back the counts it asked for -- those of
-   n-grams that reach ``min_count``; the others back off anyway.
-3. A block looks its documents' n-grams up in that answer and sums the scores
-   of each document.
+   the count tables.  Each list is answered by the counts of its n-grams, in its
+   order (0 for those below ``min_count``, which back off).
+3. A block joins its documents' n-grams, in the same order, with the answers and
+   sums the scores of each document.
 
 Rows carry sorted hash lists, cut by block and hash range, instead of one
 n-gram each: under 6 bytes an n-gram instead of 30.  No table is broadcast or
@@ -114,27 +114,25 @@ def _requests(order: int, ranges: int, counting: bool):
 
 
 def _answers(min_count: int):
-    """Step 2: one hash range of one order."""
+    """Step 2: one hash range of one order.  A list is answered by its counts
+    alone, in its order: the block that asked can rebuild the hashes."""
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        least = 1 if key[1].as_py() == 1 else min_count
+        part, k = (x.as_py() for x in key)
         lists = [unpack(x) for x in table.column("hashes").to_pylist()]
         every = np.concatenate(lists)
         order = np.argsort(every, kind="stable")  # the lists are sorted: a merge
         at = _runs(every[order])
         counts = np.concatenate([unpack_counts(x) for x in table.column("counts").to_pylist()])
         total = np.add.reduceat(counts[order], at)
+        total[total < (1 if k == 1 else min_count)] = 0
         each = np.empty(len(every), np.int64)
         each[order] = np.repeat(total, np.diff(np.append(at, len(every))))
-        out, at = [], 0
-        for block, asks, h in zip(table.column("block").to_pylist(), table.column("asks").to_pylist(), lists):
-            mine = each[at:at + len(h)]
-            at += len(h)
-            ok = mine >= least
-            if asks and ok.any():
-                out.append((block, key[1].as_py(), pack(h[ok]), pack_counts(mine[ok])))
-        b, k, h, c = zip(*out) if out else ((),) * 4
-        return pa.table({"block": pa.array(b, pa.int32()), "k": pa.array(k, pa.int32()),
-                         "hashes": pa.array(h, pa.binary()), "counts": pa.array(c, pa.binary())})
+        ends = np.cumsum([len(x) for x in lists])
+        out = [(block, k, part, pack_counts(each[e - len(h):e])) for block, asks, h, e in
+               zip(table.column("block").to_pylist(), table.column("asks").to_pylist(), lists, ends) if asks]
+        b, k, p, c = zip(*out) if out else ((),) * 4
+        return pa.table({"block": pa.array(b, pa.int32()), "k": pa.array(k, pa.int32()), "part": pa.array(p, pa.int32()),
+                         "counts": pa.array(c, pa.binary())})
 
     return answer
 
@@ -144,36 +142,27 @@ def _scores(order: int, alpha: float):
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
         powers = Powers()
         words = [words_of(t, powers)[0] for t in unpacked(docs)]
+        answers = sorted(zip(*(counts.column(c).to_pylist() for c in ("k", "part", "counts"))), key=lambda r: r[:2])
         per_doc = []
         for k in range(1, order + 1):
-            own = counts.filter(pa.array(np.asarray(counts.column("k")) == k))
-            h = [unpack(x) for x in own.column("hashes").to_pylist()]
-            c = [unpack_counts(x) for x in own.column("counts").to_pylist()]
-            h, c = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((h, U64), (c, np.int64)))
-            at = np.argsort(h, kind="stable")
             asked = [grams(w, k) for w in words]
-            found = _lookup(h[at], c[at], np.concatenate(asked) if asked else np.zeros(0, U64))
-            per_doc.append(np.split(found, np.cumsum([len(x) for x in asked])[:-1]))
+            ends = np.cumsum([len(x) for x in asked])
+            h = np.concatenate(asked)
+            at = np.argsort(h)
+            runs = _runs(h[at])
+            # hash ranges in order: the counts of the block's distinct n-grams, ascending
+            own = [unpack_counts(c) for j, _, c in answers if j == k]
+            found = np.empty(len(h), np.int64)
+            found[at] = np.repeat(np.concatenate(own) if own else np.zeros(0, np.int64), np.diff(np.append(runs, len(h))))
+            per_doc.append(np.split(found, ends[:-1]))
         out = [(len(w), *_document([x[i] for x in per_doc], len(w), alpha)) for i, w in enumerate(words)]
-        n, total, bare = zip(*out) if out else ((),) * 3
+        n, total, bare = zip(*out)
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                          "log_score": pa.array(total, pa.float64()), "bare": pa.array(bare, pa.int64())})
 
     return score
 
 
-def _lookup(values: np.ndarray, counts: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Counts of ``h``, 0 where absent; ``values`` ascend.  Asking in ascending
-    order walks both arrays once instead of jumping about."""
-    out = np.zeros(len(h), np.int64)
-    if len(values):
-        order = np.argsort(h)
-        asked = h[order]
-        at = np.minimum(np.searchsorted(values, asked), len(values) - 1)
-        out[order] = np.where(values[at] == asked, counts[at], 0)
-    return out
-
-
 def _document(counts: list[np.ndarray], n: int, alpha: float) -> tuple[float, int]:
     """``(sum of log scores but for log N, positions that came down to c(w) / N)``
     of ``n`` words, from the counts of the document's n-grams by order.  A word
@@ -229,7 +218,7 @@ def lm_score(docs: DataFrame, corpus: DataFrame | None = None, order: int = 3, m
     if other:
         asked = asked.unionByName(_blocks(other, ranges).groupBy("block").applyInArrow(_requests(order, ranges, True), lists)
                                   .withColumn("asks", F.lit(False)))
-    answered = asked.groupBy("part", "k").applyInArrow(_answers(min_count), "block int, k int, hashes binary, counts binary")
+    answered = asked.groupBy("part", "k").applyInArrow(_answers(min_count), "block int, k int, part int, counts binary")
     scored = (blocks.groupBy("block").cogroup(answered.groupBy("block"))
               .applyInArrow(_scores(order, alpha), "doc_id bigint, n_words bigint, log_score double, bare bigint"))
     scored = cut_lineage(scored)
