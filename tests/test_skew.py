@@ -66,8 +66,11 @@ def test_join_counted_spreads_a_hot_key(spark):
     """Two thirds of the rows on one key, automatic broadcast off: no task of the
     join gets more than about twice the mean."""
     from tessera.operators.skew import join_counted
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # small partitions stay as they are, so that sizes tell how rows were dealt
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
     try:
         n = 30_000
         rows = spark.range(n).repartition(8).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"), "id")
@@ -79,4 +82,5 @@ def test_join_counted_spreads_a_hot_key(spark):
         left = join_counted(rows.unionByName(spark.range(5).selectExpr("-7 AS k", "id")), lookup, "k", "n", n, "left")
         assert left.where("k = -7 and m is null").count() == 5 and left.count() == n + 5
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
