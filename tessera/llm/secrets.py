@@ -3,8 +3,8 @@
 A document is scanned where it lies (no shuffle).  Candidate strings are the
 maximal runs of a character class; a window slides over each and its Shannon
 entropy is kept up to date from two count changes a step.  Windows at or
-above the class's threshold merge into spans; spans that the allow list
-explains are suppressed.
+above the class's threshold merge into spans.  The allow list suppresses either whole
+spans or only the windows it overlaps, see ``Scan.allow_whole``.
 """
 
 from __future__ import annotations
@@ -43,9 +43,13 @@ class Scan:
         CharClass("entropy_hex", "0-9A-Fa-f", 32, 3.2),
         CharClass("entropy_base64", "A-Za-z0-9+/_=-", 32, 4.3),
     )
-    #: a span is suppressed if one of these is found in it (case-insensitive)
+    #: strings that are no secrets (case-insensitive)
     allow: tuple[str, ...] = field(default=(
         "example", "placeholder", "changeme", "dummy", "redacted", "abcdefghij", "0123456789", r"(.)\1{7}"))
+    #: True: a span is suppressed if one of them is found in it.  False: only the
+    #: windows that overlap one are, before windows merge, so that a secret in
+    #: the same run stays
+    allow_whole: bool = True
 
 
 def sliding_entropy(s: str, window: int) -> list[float]:
@@ -89,21 +93,34 @@ class Scanner:
     def __init__(self, scan: Scan):
         self.classes = [(c, re.compile(f"[{c.chars}]{{{c.window},}}")) for c in scan.classes]
         self.allow = [re.compile(a, re.IGNORECASE) for a in scan.allow]
+        self.allow_whole = scan.allow_whole
+
+    def _windows(self, text: str, c: CharClass, lo: int, hi: int) -> list[int]:
+        """Starts of the windows of the run ``[lo, hi)`` that count."""
+        high = [lo + i for i, h in enumerate(sliding_entropy(text[lo:hi], c.window)) if h >= c.threshold]
+        if self.allow_whole or not high:
+            return high
+        hidden = bytearray(hi - lo)
+        for a in self.allow:
+            for m in a.finditer(text, lo, hi):
+                s, e = max(m.start() - c.window + 1, lo) - lo, m.end() - lo
+                hidden[s:e] = b"\1" * (e - s)
+        return [i for i in high if not hidden[i - lo]]
 
     def entropy_spans(self, text: str) -> list[tuple[str, int, int]]:
         out = []
         for c, run in self.classes:
             for m in run.finditer(text):
                 start = end = -1
-                for i, h in enumerate(sliding_entropy(m[0], c.window)):
-                    if h < c.threshold:
-                        continue
+                for i in self._windows(text, c, *m.span()):
                     if i > end >= 0:
-                        out.append((c.name, m.start() + start, m.start() + end))
+                        out.append((c.name, start, end))
                         start = -1
                     start, end = (i if start < 0 else start), i + c.window
                 if end >= 0:
-                    out.append((c.name, m.start() + start, m.start() + end))
+                    out.append((c.name, start, end))
+        if not self.allow_whole:
+            return out
         return [s for s in out if not any(a.search(text, s[1], s[2]) for a in self.allow)]
 
     def spans(self, text: str) -> tuple[list, list]:

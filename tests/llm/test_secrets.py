@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+from tessera.llm import queries as Q
 from tessera.llm import secrets as X
 
 from .helpers import frame
@@ -74,3 +75,24 @@ def test_edges(spark):
     assert X.find_secrets(spark.createDataFrame([], schema)).count() == 0
     rows = [(None, "token=abcdefgh", 1, "s"), (1, "token=abcdefgh", 1, "s"), (1, "token=abcdefgh", 1, "s")]
     assert [len(r["spans"]) for r in X.find_secrets(spark.createDataFrame(rows, schema)).collect()] == [1, 1, 1]
+
+
+def test_allow_word_hides_no_secret_beside_it(spark, monkeypatch):
+    """The registered query: a random token in one run with an allow word."""
+    rng = random.Random(10)
+    token = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60))
+    words = ["example", "Dummy/", "0123456789_", "aaaaaaaa=", "redacted-"]
+    rows = [(i, t) for i, t in enumerate([w + token for w in words] + [f"{token}/{w}{token}" for w in words] + ["example" * 9])]
+    monkeypatch.setattr(Q, "table", lambda *_: frame(spark, rows))
+    got = {r["doc_id"]: r["spans"] for r in Q.op2_secret_scan(spark, "").collect()}
+    for i, t in rows[:-1]:
+        covered = set()
+        for kind, start, end in (s.split(":") for s in got[i].split(",")):
+            assert kind.startswith("entropy")
+            covered.update(range(int(start), int(end)))
+        for at in (m.start() for m in re.finditer(token, t)):
+            assert covered >= set(range(at, at + 60))
+        for w in words:
+            at = t.lower().find(w.lower().rstrip("/_=-"))
+            assert at < 0 or at not in covered
+    assert got[len(rows) - 1] == ""
