@@ -109,7 +109,9 @@ def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
         for b in in_pieces(batches, 500):
             out = []
             for doc_id, text, opened in zip(b.column(0).to_pylist(), unpacked(b), b.column(2).to_pylist()):
-                starts, ends, anchors, runs, hashes, _ = hasher.of(text)
+                if (found := hasher.of(text)) is None:  # another row of the id has the open run
+                    continue
+                starts, ends, anchors, runs, hashes, _ = found
                 for i in np.flatnonzero(np.isin(runs.view(np.int64), np.array(opened, np.int64))):
                     h = hashes[starts[i]:ends[i]]
                     out.append((np.full(len(h), anchors[i], U64), h, np.full(len(h), doc_id, np.int64)))

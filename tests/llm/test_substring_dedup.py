@@ -61,3 +61,13 @@ def test_nulls_repeats_and_extra_columns(spark):
     got = sorted((str(r["doc_id"]), r["n_removed"]) for r in B.substring_dedup(spark.createDataFrame(rows, schema)).collect())
     assert got == [("2", 0), ("2", 0), ("3", 80), ("None", 0)]
     assert B.substring_dedup(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("other", [None, "", "too short"])
+def test_an_id_with_a_long_and_a_short_text(spark, other):
+    rng = random.Random(7)
+    shared, head, tail = prose(rng, 70), prose(rng, 60), prose(rng, 60)
+    rows = [(1, f"{head} {shared}"), (1, other), (2, f"{shared} {tail}"), (2, other), (3, other)]
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in B.substring_dedup(frame(spark, rows)).collect())
+    n, kept = len((other or "").split()), other or ""
+    assert got == sorted([(1, 130, 0, rows[0][1]), (1, n, 0, kept), (2, 130, 70, tail), (2, n, 0, kept), (3, n, 0, kept)])
