@@ -24,7 +24,8 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same spans as those of 32+ among [0-9a-f]+
 LEAST = {"assign": 8, "access": 16}
-ORDER = {"assign": 0, "access": 1, "hex": 2, "entropy_hex": 3, "entropy_base64": 4}
+ORDER = {"assign": 0, "access": 1, "hex": 2, "entropy_hex": 3, "entropy_base64": 4,
+         "entropy_hex_short": 5, "entropy_base64_short": 6}
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 
@@ -42,6 +43,9 @@ class Scan:
     classes: tuple[CharClass, ...] = (
         CharClass("entropy_hex", "0-9A-Fa-f", 32, 3.2),
         CharClass("entropy_base64", "A-Za-z0-9+/_=-", 32, 4.3),
+        # tokens of 20 to 31 characters; 20 have log2 20 = 4.32 bits at most
+        CharClass("entropy_hex_short", "0-9A-Fa-f", 20, 3.0),
+        CharClass("entropy_base64_short", "A-Za-z0-9+/_=-", 20, 3.7),
     )
     #: strings that are no secrets (case-insensitive)
     allow: tuple[str, ...] = field(default=(

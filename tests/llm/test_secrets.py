@@ -96,3 +96,25 @@ def test_allow_word_hides_no_secret_beside_it(spark, monkeypatch):
             at = t.lower().find(w.lower().rstrip("/_=-"))
             assert at < 0 or at not in covered
     assert got[len(rows) - 1] == ""
+
+
+def test_short_tokens(spark):
+    """Bare tokens of 20 to 31 characters get a span, the words around them none."""
+    rng = random.Random(11)
+    clean = ("The internationalization of the counterrevolutionary movement is described in https://www.site.org/about/people "
+             "and in /usr/share/doc/readme; see total_number_of_items and ------------------------ ")
+    kinds = {"entropy_base64_short": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+             "entropy_hex_short": "0123456789ABCDEF"}
+    rows, where = [(0, clean)], {}
+    for kind, chars in kinds.items():
+        for n in list(range(20, 32)) * 8:
+            token = "".join(rng.choice(chars) for _ in range(n))
+            where[len(rows)] = (kind, len(clean) + 22, n)
+            rows.append((len(rows), f"{clean}Authorization: Bearer {token} {clean}"))
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in X.find_secrets(frame(spark, rows)).collect()}
+    assert got[0] == []
+    found = dict.fromkeys(kinds, 0)
+    for i, (kind, at, n) in where.items():
+        assert all(at <= start and end <= at + n for _, start, end in got[i])  # nothing but the token
+        found[kind] += any(k == kind for k, _, _ in got[i])
+    assert min(found.values()) >= 93  # of 96 each; a few short tokens repeat characters
