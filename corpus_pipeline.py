@@ -3,9 +3,9 @@
 ``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)``,
 works on all documents that the stage before it kept, and returns a DataFrame
 that is written as Parquet and read again as the next one's ``docs``.  All but
-the last return the columns of ``documents``.  NULL texts count as empty, rows
-with a NULL id are kept by stages that cannot name them; an empty table passes
-through every stage.
+the last return the columns of ``documents``.  NULL texts count as empty; the
+dedup stages keep one row of each group, whatever its ids (a NULL id comes last);
+an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -14,12 +14,13 @@ import os
 import sys
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tessera.llm import exact_dedup, mixing, pieces, quality, simhash  # noqa: E402
+from tessera.llm.common import stored  # noqa: E402
 from tessera.llm.queries import PIECES, LlmQuery  # noqa: E402
 from tessera.session import checkpoint_dir  # noqa: E402
 from tessera.sources.tables import table  # noqa: E402
@@ -34,21 +35,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, model, out="_score").where(F.col("_score") >= THRESHOLD).select(*docs.columns)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is among ``kept`` (``doc_id``), or NULL."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    d = docs.where(F.col("doc_id").isNotNull())
-    return d.join(ids, d["doc_id"] == ids["_kept_id"], "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, ``_row``, written before it is used: rows
+    are told apart whatever their ids."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _first(keyed: DataFrame, groups: DataFrame, *order: Column) -> DataFrame:
+    """Of each group (``_row``, ``_group``) the first row of ``keyed`` by ``order``,
+    then the smallest id, NULL last, then the row; columns without ``_row``."""
+    doc_id = F.col("doc_id").cast("bigint")
+    rows = keyed.select("_row", F.struct(*order, doc_id.isNull(), doc_id, "_row").alias("_order"))
+    best = rows.join(groups, "_row").groupBy("_group").agg(F.min("_order").alias("_order")).select("_order._row")
+    return keyed.join(best, "_row", "left_semi").drop("_row")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest original, then the smallest id."""
-    return _only(docs, exact_dedup.exact_dedup(docs).where("kept"))
+    """Of equal texts the longest original, then the smallest id: one row."""
+    keyed = _keyed(docs.withColumn("_length", F.length(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    found = exact_dedup.exact_dedup(keyed, id_col="_row")
+    groups = found.select(F.col("doc_id").alias("_row"), F.col("keep_id").alias("_group"))
+    return _first(keyed, groups, -F.col("_length")).drop("_length")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, the smallest id."""
-    return _only(docs, simhash.simhash_dedup(docs, shingle=4, max_bits=4).where("kept"))
+    """One row of each SimHash group, the smallest id."""
+    keyed = _keyed(docs)
+    found = simhash.simhash_dedup(keyed, id_col="_row", shingle=4, max_bits=4)
+    groups = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    return _first(keyed, groups)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

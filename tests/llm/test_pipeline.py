@@ -65,3 +65,18 @@ def test_queries_run(spark, name):
     out = QUERIES[name].build(spark, SF)
     n = table(spark, SF, "embeddings" if name == "op3_embedding_dedup" else "documents").count()
     assert out.count() == n
+
+
+def test_dedup_stages_decide_by_row(spark):
+    """Repeated and NULL ids: one row of each group remains."""
+    schema = table(spark, SF, "documents").schema
+    a, b, c = ("".join(f"{w}{i} " for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    null, seven = [(None, a, "en", "s", 1)] * 300, [(7, b, "en", "s", 1)] * 300
+    rows = [*null, *seven, (7, c, "en", "s", 2), (3, c, "en", "s", 2), (None, c + " ", "en", "s", 2), (None, c, "en", "s", 2)]
+    docs = spark.createDataFrame(rows, schema)
+    exact = C.exact_stage(spark, docs, SF)
+    assert sorted(map(str, exact.collect())) == sorted(map(str, spark.createDataFrame([null[0], seven[0], rows[-2]], schema).collect()))
+    assert exact.columns == docs.columns
+    near = C.near_stage(spark, docs, SF)
+    assert sorted(map(str, near.collect())) == sorted(map(str, spark.createDataFrame([null[0], seven[0], rows[-3]], schema).collect()))
+    assert near.columns == docs.columns
