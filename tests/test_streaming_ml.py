@@ -1,7 +1,9 @@
 """Structured Streaming word count and MLlib helpers."""
 
 import datetime
+import random
 
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tessera.operators import ml as M
@@ -75,3 +77,20 @@ def test_bag_of_words_pipeline(spark):
     assert set(vocab) <= {"cat", "dog", "days", "summer"} and vocab[0] in ("cat", "dog") and len(vocab) == 3
     out = model.transform(docs).select("id", "bow").orderBy("id").collect()
     assert out[0]["bow"].size == 3 and out[0]["bow"].toArray().sum() >= 3
+
+
+def test_boosting_goes_on_through_small_gains(spark):
+    """Rounds that gain under 1 % do not stop the booster."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(600):
+        x = [rng.random() for _ in range(4)]
+        rows.append((Vectors.dense(x), float(rng.random() < 0.1 + 0.8 * (x[0] + x[1] > 1)), i % 3 == 0))
+    df = spark.createDataFrame(rows, ["features", "label", "held_out"]).cache()
+    whole = M.boosted("label", "held_out", depth=2).fit(df)
+    early = M.boosted("label", "held_out", depth=2, tolerance=0.01).fit(df)
+    held = df.where("held_out")
+    loss = whole.evaluateEachIteration(held)
+    assert whole.getNumTrees > early.getNumTrees
+    assert whole.evaluateEachIteration(held)[-1] < early.evaluateEachIteration(held)[-1]
+    assert all(b <= a for a, b in zip(loss, loss[1:]))  # no round before the end made it worse
