@@ -10,6 +10,9 @@ simhash          7   near copies by SimHash
 quality          8   quality classifier
 substring_dedup  9   repeated word windows
 mixing           10  source mixing
+periodic         11  periodic runs of words
+prefix_trie      12  trie of conversations by their first turns
+rans             13  token ids as entropy-coded files
 queries          the registered queries over the driver's tables
 
 Every operator takes a DataFrame, reads only the columns that it names (other

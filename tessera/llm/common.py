@@ -59,6 +59,21 @@ def in_pieces(batches, rows: int = 1000):
             yield b.slice(i, rows)
 
 
+def by_bytes(batches, most: int = 1 << 20, name: str = "text"):
+    """``(batch, texts)`` slices of about ``most`` bytes of UTF-8 text, at least one
+    row each: what a worker holds is bounded by bytes, not by rows."""
+    for b in in_pieces(batches):
+        texts = utf8(b, name)
+        at = held = 0
+        for i, t in enumerate(texts):
+            if held and held + len(t) > most:
+                yield b.slice(at, i - at), texts[at:i]
+                at, held = i, 0
+            held += len(t)
+        if at < len(texts):
+            yield b.slice(at), texts[at:]
+
+
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, pieces, quality, secrets, simhash,
+from . import (embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, periodic, pieces, quality, secrets, simhash,
                substring_dedup)
 
 #: Where the tokenizers' vocabulary files lie.
@@ -97,6 +97,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repetition=4.0))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with the end of some texts made periodic: with
+    h = crc32(decimal doc_id), h % 10 = 0 and g = h // 10, each of the n words from
+    a = g % n on becomes word a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8)."""
+    h = F.crc32(F.col("doc_id").cast("bigint").cast("string"))
+    some = docs.select("doc_id", "text", F.coalesce(h, F.lit(1)).alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    g = F.floor(F.col("h") / 10)
+    split = some.select("doc_id", "text", g.alias("g"), words.alias("words"), F.size(words).alias("n"))
+    split = split.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    split = split.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    a, p = F.col("a").cast("int"), F.col("p")
+    again = F.concat(F.slice("words", 1, a),
+                     F.transform(F.sequence(F.lit(0), F.col("n") - a - 1), lambda i: F.get(F.col("words"), a + i % p)))
+    return split.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some made periodic."""
+    found = periodic.find_runs(planted_periods(table(spark, sf_dir, "documents")), min_length=12)
+    # the longest, then the first, then the one with the smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"),
+                                                              (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                                   r["period"].cast("string"), )), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    rows = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return rows.select("doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+                       F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_lm_score": LlmQuery(op1_lm_score),
     "op2_secret_scan": LlmQuery(op2_secret_scan),
@@ -108,4 +141,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_quality": LlmQuery(op8_quality),
     "op9_substring_dedup": LlmQuery(op9_substring_dedup),
     "op10_mixing": LlmQuery(op10_mixing),
+    "op11_periodic_runs": LlmQuery(op11_periodic_runs),
 }
