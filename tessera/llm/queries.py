@@ -9,9 +9,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import join_counted
 from ..sources.tables import table
-from . import (embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, periodic, pieces, quality, secrets, simhash,
-               substring_dedup)
+from . import (common, embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, periodic, pieces, prefix_trie, quality,
+               secrets, simhash, substring_dedup)
 
 #: Where the tokenizers' vocabulary files lie.
 TOKENIZERS = os.environ.get("TESSERA_TOKENIZERS", "/opt/tokenizers")
@@ -130,6 +131,29 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(turns, convs)`` of the rebuilt conversations: with h = crc32(decimal c) % 6,
+    conversation c gets the first h turns of conversation c - c % 100 (all if fewer,
+    none if absent), then its own from turn h on."""
+    base = (F.col("conv_id") - F.col("conv_id") % 100).alias("base")
+    h = (F.crc32(F.col("conv_id").cast("string")) % 6).alias("h")
+    turns = turns.select("*", base, h)
+    lengths = common.stored(turns.groupBy("conv_id", "base", "h").agg(F.count(F.lit(1)).alias("n")))
+    per_base = common.stored(lengths.groupBy("base").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.max(F.when(F.col("conv_id") == F.col("base"), F.col("n"))), F.lit(0)).alias("have")))
+    first = turns.where((F.col("conv_id") == F.col("base")) & (F.col("pos") < 5)).select("base", "pos", "mark", "chars")
+    before = lengths.join(first, "base").where(F.col("pos") < F.col("h")).select("conv_id", "pos", "mark", "chars")
+    total = per_base.agg(F.sum("rows")).first()[0] or 0
+    own = join_counted(turns, per_base, "base", "rows", total).where(F.col("pos") >= F.col("h"))
+    after = own.select("conv_id", (F.col("pos") - F.col("h") + F.least("h", "have")).alias("pos"), "mark", "chars")
+    return common.stored(before.unionByName(after)), lengths.select("conv_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(*rebuilt_turns(prefix_trie.number_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_lm_score": LlmQuery(op1_lm_score),
     "op2_secret_scan": LlmQuery(op2_secret_scan),
@@ -142,4 +166,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op9_substring_dedup": LlmQuery(op9_substring_dedup),
     "op10_mixing": LlmQuery(op10_mixing),
     "op11_periodic_runs": LlmQuery(op11_periodic_runs),
+    "op12_prefix_trie": LlmQuery(op12_prefix_trie),
 }
