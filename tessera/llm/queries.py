@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,13 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import join_counted
+from ..session import checkpoint_dir
 from ..sources.tables import table
 from . import (common, embedding_dedup, exact_dedup, line_dedup, lm_score, mixing, periodic, pieces, prefix_trie, quality,
-               secrets, simhash, substring_dedup)
+               rans, secrets, simhash, substring_dedup)
 
 #: Where the tokenizers' vocabulary files lie.
 TOKENIZERS = os.environ.get("TESSERA_TOKENIZERS", "/opt/tokenizers")
 PIECES = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
+BYTES = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
 
 
 @dataclass(frozen=True)
@@ -154,6 +157,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*rebuilt_turns(prefix_trie.number_turns(table(spark, sf_dir, "conversations"))))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to files and read again."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    rans.write(table(spark, sf_dir, "documents"), folder, BYTES, end_id=2)
+    return rans.digests(spark, folder)
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_lm_score": LlmQuery(op1_lm_score),
     "op2_secret_scan": LlmQuery(op2_secret_scan),
@@ -167,4 +177,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op10_mixing": LlmQuery(op10_mixing),
     "op11_periodic_runs": LlmQuery(op11_periodic_runs),
     "op12_prefix_trie": LlmQuery(op12_prefix_trie),
+    "op13_token_files": LlmQuery(op13_token_files),
 }
