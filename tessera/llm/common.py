@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,8 +76,6 @@ def by_bytes(batches, most: int = 1 << 20, name: str = "text"):
 
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 class Powers:
@@ -100,16 +99,21 @@ class Powers:
         return out
 
 
-def words_of(text: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(hash, start, end)`` of every word ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text,
-    in bytes, computed for all words at once."""
-    a = np.frombuffer(text, np.uint8)
-    blank = np.ones(len(a) + 2, bool)
-    blank[1:-1] = _BLANK[a]
-    edge = np.flatnonzero(blank[1:] != blank[:-1])
-    start, end = edge[0::2], edge[1::2]
-    prefix = powers.prefix(a.astype(U64))
-    return mix((prefix[end] - prefix[start]) * powers.inverse[start] + (end - start).astype(U64) * U64(BASE)), start, end
+class WordHashes(dict):
+    """Word (UTF-8) -> XXH64.  Words recur, so hashes are kept until there are ``room``."""
+
+    def __init__(self, room: int = 500_000):
+        super().__init__()
+        self.room = room
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.room:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

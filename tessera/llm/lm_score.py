@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, mix, packed, unpacked, words_of
+from .common import BASE, U64, WordHashes, id_text, mix, packed, unpacked
 
 ALPHA = 0.4
 
@@ -86,8 +86,8 @@ def _runs(h: np.ndarray) -> np.ndarray:
 
 def _tables(texts: list[bytes], order: int):
     """Per order: distinct hashes (ascending) and their counts in ``texts``."""
-    powers = Powers()
-    docs = [words_of(t, powers)[0] for t in texts]
+    hashes = WordHashes()
+    docs = [hashes.of(t.split()) for t in texts]
     for k in range(1, order + 1):
         h = np.sort(np.concatenate([grams(d, k) for d in docs]))
         at = _runs(h)
@@ -140,8 +140,8 @@ def _answers(min_count: int):
 def _scores(order: int, alpha: float):
     """Step 3: one block's documents and the counts it got."""
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        powers = Powers()
-        words = [words_of(t, powers)[0] for t in unpacked(docs)]
+        hashes = WordHashes()
+        words = [hashes.of(t.split()) for t in unpacked(docs)]
         answers = sorted(zip(*(counts.column(c).to_pylist() for c in ("k", "part", "counts"))), key=lambda r: r[:2])
         per_doc = []
         for k in range(1, order + 1):

@@ -19,14 +19,16 @@ the longer last piece.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, U64, Powers, id_text, in_pieces, mix, utf8
+from .common import by_bytes, id_text
 
 MARK = "▁"
 _LITERAL = "\ud800"  # stands for a literal mark while encoding: a lone surrogate, which no text holds
@@ -199,69 +201,39 @@ def marked(word: bytes) -> str:
 
 
 class Encoder:
-    """Texts -> ids.  Words are told apart by a 64-bit hash; the ids of up to
-    ``room`` words are kept from one call to the next."""
+    """Texts -> ids.  The ids of up to ``room`` words are kept, by the words
+    themselves, from one call to the next."""
 
     def __init__(self, automaton: Automaton, room: int = 300_000):
         self.automaton, self.room = automaton, room
-        self.powers = Powers()
+        self.words = re.compile(rb" +[^ ]*|[^ ]+").findall  # each with its leading blanks
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.start, self.size = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        self.known: dict[bytes, int] = {}
+        self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def _learn(self, text: bytes, keys: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        """Encode new words, given by their place in ``text``."""
-        words = [marked(text[s:e]) for s, e in zip(start.tolist(), end.tolist())]
-        ids = self.automaton.encode(words)
+    def _learn(self, words: list[bytes]) -> None:
+        ids = self.automaton.encode([marked(w) for w in words])
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        at = len(self.flat) + np.cumsum(size) - size
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
         self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), np.int32))
-        keys, at, size = np.append(self.keys, keys), np.append(self.start, at), np.append(self.size, size)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.start, self.size = keys[order], at[order], size[order]
+        self.known.update(zip(words, range(len(self.known), len(self.size))))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """``(number of ids of each text, all ids)``; texts are UTF-8."""
-        text = b"".join([b" " + t if t else t for t in texts])
-        if not text:
-            return np.zeros(len(texts), np.int64), np.zeros(0, np.int32)
-        a = np.frombuffer(text, np.uint8)
-        lengths = np.fromiter((len(t) + 1 if t else 0 for t in texts), np.int64, len(texts))
-        ends = np.cumsum(lengths)
-        blank = a == 32
-        first = np.append(True, blank[1:] & ~blank[:-1])
-        first[(ends - lengths)[lengths > 0]] = True
-        start = np.flatnonzero(first)
-        end = np.append(start[1:], len(a))
-        prefix = self.powers.prefix(a.astype(U64))
-        keys = mix((prefix[end] - prefix[start]) * self.powers.inverse[start] + (end - start).astype(U64) * U64(BASE))
-        distinct, example, which = np.unique(keys, return_index=True, return_inverse=True)
-        new = ~np.isin(distinct, self.keys, assume_unique=True)
-        if new.any():
-            if len(self.keys) > self.room:
-                self._forget()
-                new[:] = True
-            self._learn(text, distinct[new], start[example[new]], end[example[new]])
-        place = np.searchsorted(self.keys, distinct)[which]
+        each = [self.words(b" " + t) if t else [] for t in texts]
+        words = list(chain.from_iterable(each))
+        if len(self.known) > self.room:
+            self._forget()
+        self._learn(list(set(words).difference(self.known)))
+        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         size = self.size[place]
-        total = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[place] - (total - size), size) + np.arange(int(total[-1]))]
-        upto = np.append(0, total)[np.searchsorted(start, ends)]
-        return np.diff(np.append(0, upto)), ids
-
-
-def _by_size(texts: list[bytes], most: int = 1 << 20):
-    """Slices of ``texts`` of about ``most`` bytes, at least one text each."""
-    at = held = 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > most:
-            yield texts[at:i]
-            at, held = i, 0
-        held += len(t)
-    if at < len(texts):
-        yield texts[at:]
+        total = np.append(0, np.cumsum(size))
+        ids = self.flat[np.repeat(self.start[place] - total[:-1], size) + np.arange(int(total[-1]))]
+        ends = np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
+        return np.diff(total[ends], prepend=0), ids
 
 
 def decoder(v: Vocabulary):
@@ -293,17 +265,14 @@ def _encode(docs: DataFrame, model_path: str, id_col: str, text_col: str, check:
     def run(batches):
         automaton, back = sent.value
         encoder, to_text = Encoder(automaton), back and decoder(back)
-        for b in in_pieces(batches):
-            at = 0
-            for texts in _by_size(utf8(b)):
-                size, ids = encoder.encode(texts)
-                ends = np.cumsum(size)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
-                columns = [b.column(0).slice(at, len(texts)), pa.array(size), lists]
-                if check:
-                    columns.append(pa.array([to_text(x.tolist()) == t for x, t in zip(np.split(ids, ends[:-1]), texts)]))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "exact"][:len(columns)])
-                at += len(texts)
+        for b, texts in by_bytes(batches):
+            size, ids = encoder.encode(texts)
+            ends = np.cumsum(size)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
+            columns = [b.column(0), pa.array(size), lists]
+            if check:
+                columns.append(pa.array([to_text(x.tolist()) == t for x, t in zip(np.split(ids, ends[:-1]), texts)]))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "exact"][:len(columns)])
 
     return id_text(docs, id_col, text_col).mapInArrow(
         run, "doc_id bigint, n_tokens bigint, ids array<int>" + ", exact boolean" * check)

@@ -20,7 +20,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Powers, id_text, mix, words_of
+from .common import BASE, U64, Powers, id_text, mix
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def words_of(text: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, start, end)`` of every word ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text,
+    in bytes, computed for all words at once: buckets of features, where words
+    may share one."""
+    a = np.frombuffer(text, np.uint8)
+    blank = np.ones(len(a) + 2, bool)
+    blank[1:-1] = _BLANK[a]
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    start, end = edge[0::2], edge[1::2]
+    prefix = powers.prefix(a.astype(U64))
+    return mix((prefix[end] - prefix[start]) * powers.inverse[start] + (end - start).astype(U64) * U64(BASE)), start, end
 
 
 @dataclass(frozen=True)

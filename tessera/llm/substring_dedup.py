@@ -1,14 +1,14 @@
 """Substring dedup: windows of ``window`` words that a document with a smaller
 id also has are removed.
 
-Every window of every document is hashed (Rabin-Karp, 64 bits, wrap-around
-arithmetic), but only windows that can repeat are shuffled:
+Every window of every document is hashed (Rabin-Karp over the XXH64 of its words,
+64 bits, wrap-around arithmetic), but only windows that can repeat are shuffled:
 
 * A window's *anchor* is the smallest hash among its ``window // 2``-word
   sub-windows.  Equal windows have equal anchors.
-* A *run* is a maximal row of consecutive windows with one anchor; its hash
-  covers all words of the run.  Spark counts runs by ``(anchor, run)`` and finds
-  the smallest document of each.
+* A *run* is a maximal row of consecutive windows with one anchor, told apart by
+  the digest of all its words.  Spark counts runs by ``(anchor, run)`` and finds the
+  smallest document of each; windows of runs are not counted one by one.
 * A run that a smaller document has as a whole is removed as a whole.
 * The remaining windows -- those of runs that are first of their kind and
   share their anchor with another kind (the ends of repeated passages) -- are
@@ -21,6 +21,8 @@ by ``join_counted``.  Removed windows merge into maximal intervals.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,33 +30,37 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_counted
 from ..session import cut_lineage
-from .common import BASE, U64, Powers, id_text, in_pieces, long_column, mix, packed, stored, unpacked, utf8, words_of
+from .common import Powers, WordHashes, by_bytes, id_text, in_pieces, long_column, mix, packed, stored, unpacked
+
 
 class Windows:
     """Hashes of the word windows of a text."""
 
     def __init__(self, window: int):
         self.window, self.part = window, max(1, window // 2)
-        self.bytes, self.words = Powers(), Powers()
+        self.hashes, self.powers = WordHashes(), Powers()
 
     def of(self, text: bytes):
-        """``(starts, ends, anchors, runs, hashes, words)``: the runs of windows,
-        as first and last+1 window, with anchor and run hash; the hash of every
-        window; start and end byte of every word.  None if there is no window."""
-        digits, *words = words_of(text, self.bytes)
-        n, w, k = len(digits), self.window, self.part
+        """``(words, starts, ends, anchors, hashes)``: the words; the runs of windows,
+        as first and last + 1 window, with their anchors; the hash of every window.
+        None if there is no window."""
+        words = text.split()
+        n, w, k = len(words), self.window, self.part
         if n < w:
             return None
-        prefix = self.words.prefix(digits)
-        inverse = self.words.inverse
+        prefix = self.powers.prefix(self.hashes.of(words))
+        inverse = self.powers.inverse
         hashes = (prefix[w:] - prefix[:-w]) * inverse[:n - w + 1]
         parts = mix((prefix[k:] - prefix[:-k]) * inverse[:n - k + 1])
         least = _sliding_min(parts, w - k + 1)
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
         starts, ends = np.append(0, cut), np.append(cut, len(least))
-        last = ends + (w - 1)
-        runs = mix((prefix[last] - prefix[starts]) * inverse[starts] + (last - starts).astype(U64) * U64(BASE))
-        return starts, ends, least[starts], runs, hashes, words
+        return words, starts, ends, least[starts], hashes
+
+    def digests(self, words: list[bytes], starts, ends) -> list[bytes]:
+        """What tells the words of windows ``starts`` to ``ends`` - 1 (exclusive) apart."""
+        more = self.window - 1
+        return [blake2b(b" ".join(words[s:e + more]), digest_size=16).digest() for s, e in zip(starts.tolist(), ends.tolist())]
 
 
 def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -71,18 +77,19 @@ def _runs(texts: DataFrame, window: int) -> DataFrame:
     """``(anchor, run, doc_id)``: the runs of each document."""
     def emit(batches):
         hasher = Windows(window)
-        for b in in_pieces(batches, 500):
-            out, ids = [], []
-            for doc_id, text in zip(b.column(0).to_pylist(), utf8(b)):
+        for b, some in by_bytes(batches):
+            anchor, run, ids = [], [], []
+            for doc_id, text in zip(b.column(0).to_pylist(), some):
                 if (found := hasher.of(text)) is not None:
-                    out.append(np.stack(found[2:4], 1))
-                    ids.append(np.full(len(out[-1]), doc_id, np.int64))
-            if out:
-                pairs = np.concatenate(out)
-                yield pa.RecordBatch.from_arrays([long_column(pairs[:, 0]), long_column(pairs[:, 1]),
+                    words, starts, ends, anchors, _ = found
+                    anchor.append(anchors)
+                    run += hasher.digests(words, starts, ends)
+                    ids.append(np.full(len(starts), doc_id, np.int64))
+            if run:
+                yield pa.RecordBatch.from_arrays([long_column(np.concatenate(anchor)), pa.array(run, pa.binary()),
                                                   pa.array(np.concatenate(ids))], names=["anchor", "run", "doc_id"])
 
-    return texts.where(F.col("doc_id").isNotNull()).mapInArrow(emit, "anchor bigint, run bigint, doc_id bigint")
+    return texts.where(F.col("doc_id").isNotNull()).mapInArrow(emit, "anchor bigint, run binary, doc_id bigint")
 
 
 def _marks(texts: DataFrame, window: int) -> DataFrame:
@@ -103,34 +110,35 @@ def _marks(texts: DataFrame, window: int) -> DataFrame:
 
 
 def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
-    """``(anchor, hash, doc_id)`` of the windows of open runs."""
+    """``(anchor, hash, words, doc_id)`` of the windows of open runs."""
     def emit(batches):
         hasher = Windows(window)
         for b in in_pieces(batches, 500):
-            out = []
             for doc_id, text, opened in zip(b.column(0).to_pylist(), unpacked(b), b.column(2).to_pylist()):
                 if (found := hasher.of(text)) is None:  # another row of the id has the open run
                     continue
-                starts, ends, anchors, runs, hashes, _ = found
-                for i in np.flatnonzero(np.isin(runs.view(np.int64), np.array(opened, np.int64))):
-                    h = hashes[starts[i]:ends[i]]
-                    out.append((np.full(len(h), anchors[i], U64), h, np.full(len(h), doc_id, np.int64)))
-            if out:
-                a, h, d = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays([long_column(a), long_column(h), pa.array(d)],
-                                                 names=["anchor", "hash", "doc_id"])
+                words, starts, ends, anchors, hashes = found
+                opened = set(opened)
+                mine = np.array([x in opened for x in hasher.digests(words, starts, ends)])
+                at = np.flatnonzero(np.repeat(mine, ends - starts))  # runs follow each other
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [long_column(np.repeat(anchors, ends - starts)[at]), long_column(hashes[at]),
+                         pa.array(hasher.digests(words, at, at + 1), pa.binary()), pa.array(np.full(len(at), doc_id, np.int64))],
+                        names=["anchor", "hash", "words", "doc_id"])
 
     some = marks.where(F.size("open") > 0).select("doc_id", "open")
-    return packed(texts).join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, doc_id bigint")
+    return packed(texts).join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, words binary, doc_id bigint")
 
 
 def _late_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, hashes)``: windows of open runs that a smaller document has."""
+    """``(doc_id, late)``: windows of open runs that a smaller document has."""
+    key = ["anchor", "hash", "words"]
     rows = stored(_open_windows(texts, marks, window).distinct())
-    firsts = rows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = rows.groupBy(*key).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = cut_lineage(firsts.where(F.col("n") > 1))
-    late = join_counted(rows, firsts, ["anchor", "hash"], "n", rows.count()).where(F.col("doc_id") > F.col("first"))
-    return late.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
+    late = join_counted(rows, firsts, key, "n", rows.count()).where(F.col("doc_id") > F.col("first"))
+    return late.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "words")).alias("late"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
@@ -153,9 +161,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hasher = Windows(window)
         for b in in_pieces(batches, 500):
             counts, spans, kept = [], [], []
-            for text, dead, hashes in zip(unpacked(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for text, dead, windows in zip(unpacked(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 words = text.split()
-                gone = _removed(hasher, text, dead or [], hashes or []) if dead or hashes else []
+                gone = _removed(hasher, text, dead or [], windows or []) if dead or windows else []
                 left, at = [], 0
                 for s, e in gone:
                     left += words[at:s]
@@ -168,22 +176,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span),
                  pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "spans", "kept_text"])
 
-    return (packed(texts).join(known, "doc_id", "left").select("doc_id", "data", "dead", "hashes")
+    return (packed(texts).join(known, "doc_id", "left").select("doc_id", "data", "dead", "late")
             .mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, "
                              "spans array<struct<start:int,end:int>>, kept_text string"))
 
 
-def _removed(hasher: Windows, text: bytes, dead: list[int], hashes: list[int]) -> list[tuple[int, int]]:
-    """Maximal intervals of words under a removed window."""
+def _removed(hasher: Windows, text: bytes, dead: list[bytes], late: list[dict]) -> list[tuple[int, int]]:
+    """Maximal intervals of words under a removed window: those of ``dead`` runs and
+    the ``late`` ones."""
     found = hasher.of(text)
     if found is None:
         return []
-    starts, ends, _, runs, every, _ = found
-    gone = np.isin(every.view(np.int64), np.array(hashes, np.int64)) if hashes else np.zeros(len(every), bool)
+    words, starts, ends, _, hashes = found
+    gone = np.zeros(len(hashes), bool)
     if dead:
-        hit = np.isin(runs.view(np.int64), np.array(dead, np.int64))
-        for s, e in zip(starts[hit], ends[hit]):
-            gone[s:e] = True
+        dead = set(dead)
+        gone |= np.repeat([x in dead for x in hasher.digests(words, starts, ends)], ends - starts)
+    if late:
+        at = np.flatnonzero(np.isin(hashes.view(np.int64), np.array([x["hash"] for x in late], np.int64)))
+        known = {x["words"] for x in late}
+        gone[at[[x in known for x in hasher.digests(words, at, at + 1)]]] = True
     at = np.flatnonzero(gone)
     if not len(at):
         return []

@@ -28,3 +28,12 @@ def components(ids, linked):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     return {i: find(i) for i in ids}
+
+
+def clash(n: int = 1024) -> tuple[str, str]:
+    """Two strings (Thue-Morse) that agree in every polynomial hash modulo 2^64 with
+    an odd base, from 1024 characters on."""
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))

@@ -7,7 +7,7 @@ import pytest
 
 from tessera.llm import lm_score as L
 
-from .helpers import WORDS, frame, prose
+from .helpers import WORDS, clash, frame, prose
 
 
 def brute(rows, corpus, order, min_count, alpha=0.4):
@@ -43,6 +43,8 @@ def close(got, want):
 def corpus(seed):
     rng = random.Random(seed)
     rows = [(i, prose(rng, rng.randrange(0, 60), 25)) for i in range(60)]
+    s, t = clash()  # words that a weak hash takes for one
+    rows += [(200, f"{s} {s} {t} w1 {t}"), (201, f"w1 {s} {s} w2")]
     return rows + [(100, None), (101, ""), (102, "one"), (103, "w1 w2"), (104, "é 日本 é 日本"), (None, "w1 w2 w3"), (105, "w1\x1cw2 w3"),
                    (106, "w3 " * 5000), (1, rows[1][1])]
 

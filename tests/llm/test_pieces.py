@@ -6,7 +6,7 @@ import pytest
 from tessera.llm import pieces as P
 from tessera.llm.queries import PIECES
 
-from .helpers import frame
+from .helpers import clash, frame
 
 pytestmark = pytest.mark.skipif(not os.path.exists(PIECES), reason="no vocabulary file")
 TEXTS = ["", "hello world", "  two  blanks ", "▁", "a▁ b", "line\nline\ttab", "日本語 🙂 \u0000", "Étranger naïve ß", " ", "퟿￿", "x" * 3000,
@@ -56,8 +56,8 @@ def brute(v, text):
 def encode(automaton, texts, room=300_000):
     encoder = P.Encoder(automaton, room)
     out = []
-    for part in P._by_size([t.encode() for t in texts], 2000):
-        size, ids = encoder.encode(part)
+    for at in range(0, len(texts), 7):
+        size, ids = encoder.encode([t.encode() for t in texts[at:at + 7]])
         at = 0
         for n in size.tolist():
             out.append(ids[at:at + n].tolist())
@@ -111,6 +111,13 @@ def test_documents(spark):
     assert P.encode_and_check(spark.createDataFrame([], schema), PIECES).count() == 0
 
 
+def test_words_are_told_apart_by_their_characters(vocabulary, automaton):
+    s, t = clash()
+    for a, b in ((s, t), (t, s)):
+        text = f"{a} {b} {a}"
+        assert encode(automaton, [text]) == [brute(vocabulary, text)]
+
+
 def test_inner_marks_are_refused():
     with pytest.raises(ValueError):
         P.Automaton(P.Vocabulary(("a▁b",), (0.0,), (P.NORMAL,)))

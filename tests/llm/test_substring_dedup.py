@@ -1,11 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import substring_dedup as B
 
-from .helpers import WORDS, frame, prose
+from .helpers import WORDS, clash, frame, prose
 
 
 def brute(rows, window):
@@ -46,6 +47,28 @@ def test_brute_force(spark, window):
     assert got == brute(rows, window)
 
 
+def test_hashes_do_not_remove_other_words(spark, monkeypatch):
+    s, t = clash()
+    rows = [(1, f"{s} " * 60), (2, f"{t} " * 60), (3, f"{s} " * 55 + f"{t} " * 55), (4, " ".join([s, t] * 40)), (5, " ".join([t, s] * 40))]
+    # the words of the strings as documents: their windows clash if words are digits of a polynomial hash
+    rows += [(6, " ".join(s)), (7, " ".join(t)), (8, "x " + " ".join(s[:700]))]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in B.substring_dedup(frame(spark, rows)).collect()}
+    assert got == brute(rows, 50) and got[2][1] == 0
+
+
+def test_equal_hashes_alone_remove_nothing(monkeypatch):
+    # all windows made to hash alike: only the digests of their words tell them apart
+    monkeypatch.setattr(B, "mix", lambda x: x * 0)
+    monkeypatch.setattr(B.WordHashes, "of", lambda self, words: np.zeros(len(words), np.uint64))
+    hasher = B.Windows(3)
+    words, starts, ends, anchors, hashes = hasher.of(b"a b c d e f")
+    assert len(set(anchors.tolist())) == len(set(hashes.tolist())) == 1
+    late = [{"hash": 0, "words": d} for d in hasher.digests(b"b c d".split(), np.array([0]), np.array([1]))]
+    assert B._removed(hasher, b"a b c d e f", [], late) == [(1, 4)]
+    assert B._removed(hasher, b"a b x d e f", [], late) == []
+    assert B._removed(hasher, b"a b x d e f", hasher.digests(words, starts, ends), []) == []
+
+
 def test_spans_are_maximal(spark):
     rng = random.Random(5)
     a, b = prose(rng, 60), prose(rng, 60)
@@ -71,3 +94,12 @@ def test_an_id_with_a_long_and_a_short_text(spark, other):
     got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in B.substring_dedup(frame(spark, rows)).collect())
     n, kept = len((other or "").split()), other or ""
     assert got == sorted([(1, 130, 0, rows[0][1]), (1, n, 0, kept), (2, 130, 70, tail), (2, n, 0, kept), (3, n, 0, kept)])
+
+
+def test_long_texts(spark):
+    """A text of megabytes: its copy goes, a repeated passage inside one document stays."""
+    rng = random.Random(8)
+    long = prose(rng, 300_000, 100_000)
+    rows = [(1, long), (2, f"start {long}"), (3, "z " * 200_000), (4, "z " * 49 + "end"), (5, "z " * 51)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in B.substring_dedup(frame(spark, rows)).collect()}
+    assert got == {1: (300_000, 0), 2: (300_001, 300_000), 3: (200_000, 0), 4: (50, 0), 5: (51, 51)}
