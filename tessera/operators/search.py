@@ -3,10 +3,11 @@
 Whole texts are processed: a document becomes an array of kept tokens
 (bounded by that document's length) and ``posexplode`` turns it into
 ``(doc_id, pos, word)`` rows, so the corpus is spread over tasks by
-document.  Phrase search joins the token rows with the phrase-token table;
-whether that side is broadcast is left to Spark's own size check; beyond it
-AQE splits the partition of a frequent word, as both sides are plain shuffles
-of stored rows.  Matches are grouped by
+document.  ``index.py`` stores a positional index and searches it;
+``phrase_search`` here is for token rows that are searched once.  It joins them
+with the phrase-token table; whether that side is broadcast is left to Spark's
+own size check; beyond it AQE splits the partition of a frequent word, as both
+sides are plain shuffles of stored rows.  Matches are grouped by
 ``(phrase, doc, pos - offset)`` -- a partial aggregate.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import code_map, jvm_split
 from ..functions.text import index_tokens, whitespace_tokens
 from ..session import cut_lineage
-from .skew import width
+from .skew import spread, width
 
 # Line terminators of a text file reader.
 LINE_BREAK = "\\r\\n|\\r|\\n"
@@ -28,7 +29,7 @@ def text_lines(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFra
     """Texts -> lines, as a line-oriented text reader sees them (a final line
     break does not open an empty last line)."""
     body = F.regexp_replace(F.col(text), f"(?:{LINE_BREAK})\\z", "")
-    return docs.select(*keep, F.explode(F.split(body, LINE_BREAK, -1)).alias("line"))
+    return spread(docs.select(*keep, text)).select(*keep, F.explode(F.split(body, LINE_BREAK, -1)).alias("line"))
 
 
 def word_count(lines: DataFrame, line: str = "line", sep: str = " ", regex: bool = False) -> DataFrame:
@@ -40,7 +41,8 @@ def word_count(lines: DataFrame, line: str = "line", sep: str = " ", regex: bool
 
 def doc_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-01 per document: ``(doc_id, toks)`` with the kept tokens in order."""
-    return docs.select(F.col(doc_id).alias("doc_id"), index_tokens(F.col(text)).alias("toks"))
+    return spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select(
+        "doc_id", index_tokens(F.col("text")).alias("toks"))
 
 
 def _explode_rows(df: DataFrame, keep, arr, names) -> DataFrame:
@@ -70,21 +72,6 @@ def build_index(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("word", "doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-def write_index(index: DataFrame, path: str, buckets: int = 64) -> None:
-    """Store the index partitioned by a hash bucket of the word, so a lookup
-    reads one bucket directory.  Rows are dealt by bucket first: each bucket is
-    written by one task instead of every task opening all buckets."""
-    (index.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-          .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
-
-
-def read_index(spark, path: str, words: DataFrame, buckets: int = 64) -> DataFrame:
-    """Postings of ``words`` (column ``word``) from a stored index; dynamic
-    partition pruning leaves the other buckets unread."""
-    wanted = words.select("word", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("bucket")).distinct()
-    return spark.read.parquet(path).join(wanted, ["bucket", "word"]).drop("bucket")
-
-
 def phrase_table(phrases: DataFrame, phrase: str = "phrase", lower: bool = False) -> DataFrame:
     """Phrase -> ``(phrase, offset, word, n_tokens)``.  Query tokens are used
     as given (the reference does not normalise them, Q17) unless ``lower``."""
@@ -102,7 +89,7 @@ def phrase_search(tokens: DataFrame, phrases: DataFrame, phrase: str = "phrase",
     hits = tokens.join(pt, "word").select("phrase", "n_tokens", "doc_id",
                                           (F.col("pos") - F.col("offset")).alias("start"), "offset")
     full = (hits.groupBy("phrase", "doc_id", "start", "n_tokens")
-                .agg(F.count_distinct("offset").alias("k"))
+                .agg(F.count(F.lit(1)).alias("k"))  # a token stands at one offset of a start
                 .where(F.col("k") == F.col("n_tokens")))
     if first_only:
         full = full.groupBy("phrase", "doc_id", "n_tokens").agg(F.min("start").alias("start"))
@@ -167,6 +154,7 @@ def top_ngrams_multi(doc_toks: DataFrame, ks: dict[int, int]) -> DataFrame:
     k = code_map("n", ks)
     best = [F.desc("freq"), F.asc("phrase")]
     salted = counts.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(width(doc_toks))))
-    local = salted.withColumn("r", F.row_number().over(Window.partitionBy("n", "salt").orderBy(*best))).where(F.col("r") <= k)
-    top = local.withColumn("r", F.row_number().over(Window.partitionBy("n").orderBy(*best))).where(F.col("r") <= k)
-    return top.select("n", "phrase", "freq")
+    most = max(ks.values())  # a literal bound first: Spark then keeps that many rows a group before it sorts
+    local = salted.withColumn("r", F.row_number().over(Window.partitionBy("n", "salt").orderBy(*best))).where(F.col("r") <= most)
+    top = local.withColumn("r", F.row_number().over(Window.partitionBy("n").orderBy(*best))).where(F.col("r") <= most)
+    return top.where(F.col("r") <= k).select("n", "phrase", "freq")

@@ -21,6 +21,13 @@ def width(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the session's cores where its scan has fewer partitions (a
+    file of few row groups); larger inputs are left where they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def join_counted(rows: DataFrame, lookup: DataFrame, key: str | Sequence[str], n: str, total: int,
                  how: str = "inner") -> DataFrame:
     """``rows JOIN lookup`` on ``key`` (``how`` inner or left).

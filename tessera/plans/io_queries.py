@@ -494,25 +494,6 @@ c AS (SELECT regexp_replace(line, '[ \\t\\x0b\\f]+\\z', '') AS line, line AS who
 w AS (SELECT unnest(CASE WHEN whole = '' THEN [''] WHEN line = '' THEN []::VARCHAR[] ELSE string_split_regex(line, '[ \\t\\x0b\\f]') END) AS word FROM c)"""
 
 
-@register("stored_index", """
-WITH """ + _WORDS_SQL.replace("l AS (SELECT", "l AS (SELECT doc_id,", 1).replace("c AS (SELECT", "c AS (SELECT doc_id,", 1).replace(
-    "w AS (SELECT unnest", "w AS (SELECT doc_id, unnest", 1) + """,
-t AS (SELECT word FROM w WHERE word <> '' GROUP BY word ORDER BY count(*) DESC, word LIMIT 20)
-SELECT w.word, w.doc_id, count(*) AS n FROM w JOIN t ON w.word = t.word GROUP BY 1, 2
-""")
-def stored_index(t: Tables) -> DataFrame:
-    """TXT-02: the index of all words stored by bucket, and the postings of the
-    20 most frequent words read from it (the limit is the report's)."""
-    lines = S.text_lines(t.documents, "text")
-    rows = (lines.select("doc_id", F.explode(scalar.jvm_split(F.col("line"), "[ \\t\\x0b\\f]", True)).alias("word"))
-            .where(F.col("word") != ""))
-    index = S.build_index(rows.withColumn("pos", F.lit(0)))
-    top = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(20).select("word")
-    with scratch(t.spark) as path:
-        S.write_index(index, path)
-        return cut_lineage(S.read_index(t.spark, path, top).select("word", "doc_id", F.size("positions").cast("bigint").alias("n")))
-
-
 @register("streamed_words", """
 WITH """ + _WORDS_SQL + """
 SELECT word, count(*) AS count FROM w GROUP BY word

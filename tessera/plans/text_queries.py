@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import index as I
 from ..operators import search as S
 from ..session import cut_lineage
 from ..sources.tables import Tables
-from .common import register
+from .common import register, scratch
 
 N_BIGRAMS = 5
 N_TRIGRAMS = 3
@@ -69,12 +70,31 @@ FROM fullm GROUP BY phrase, doc_id, n
 """)
 def phrase_search(t: Tables) -> DataFrame:
     """TXT-03: first occurrence per document of the 5 most frequent bigrams
-    and the 3 most frequent trigrams of the corpus."""
-    doc_toks = cut_lineage(S.doc_tokens(t.documents))  # tokenised once, read twice
-    phrases = S.top_ngrams_multi(doc_toks, {2: N_BIGRAMS, 3: N_TRIGRAMS}).select("phrase")
-    r = S.phrase_search(S.token_rows(doc_toks), phrases, first_only=True)
-    return r.select("phrase", "doc_id", F.col("start").cast("bigint").alias("start"),
-                    F.col("end").cast("bigint").alias("end"))
+    and the 3 most frequent trigrams of the corpus, found in a stored index."""
+    numbered = I.number_docs(S.doc_tokens(t.documents))  # tokenised once, read twice
+    phrases = S.top_ngrams_multi(numbered, {2: N_BIGRAMS, 3: N_TRIGRAMS}).select("phrase")
+    with scratch(t.spark) as path:
+        I.write_index(numbered, path)
+        r = I.search_index(t.spark, path, phrases)
+        return cut_lineage(r.select("phrase", "doc_id", F.col("start").cast("bigint").alias("start"),
+                                    F.col("end").cast("bigint").alias("end")))
+
+
+@register("stored_index", f"""
+WITH {_TOKENS_SQL},
+top AS (SELECT word FROM tokens GROUP BY word ORDER BY count(*) DESC, word LIMIT 20)
+SELECT word, doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions
+FROM tokens WHERE word IN (SELECT word FROM top) GROUP BY word, doc_id
+""")
+def stored_index(t: Tables) -> DataFrame:
+    """TXT-02: the index of all words stored, and the postings with positions of
+    the 20 most frequent words read from it (the limit is the report's)."""
+    with scratch(t.spark) as path:
+        I.write_index(I.number_docs(S.doc_tokens(t.documents)), path)
+        top = I.directory(t.spark, path).orderBy(F.desc("places"), "word").limit(20)
+        rows = I.read_index(t.spark, path, top)
+        return cut_lineage(rows.select("word", "doc_id", F.size("positions").cast("bigint").alias("n"),
+                                       F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions")))
 
 
 @register("top_bigrams", f"""

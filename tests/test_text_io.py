@@ -29,13 +29,6 @@ def test_phrase_search_paragraph(spark):
     assert every == [(1, 2), (16, 17)]
 
 
-def test_stored_index(spark, tmp_path):
-    S.write_index(S.build_index(S.tokenize(docs(spark, PARAGRAPH))), str(tmp_path / "ix"), buckets=4)
-    words = spark.createDataFrame([("slow",), ("the",), ("absent",)], "word string")
-    got = {r["word"]: r["positions"] for r in S.read_index(spark, str(tmp_path / "ix"), words, buckets=4).collect()}
-    assert got == {"slow": [1, 16], "the": [10, 15]}
-
-
 def test_phrase_search_retries(spark):
     toks = S.tokenize(docs(spark, "red red fox red fox hen"))
     phrases = spark.createDataFrame([("red fox hen",)], "phrase string")
