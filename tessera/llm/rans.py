@@ -241,12 +241,14 @@ class Tokens:
         return [head + b"".join(map(ids, w[1:])) for head, w in zip(heads, words)]
 
 
-_LOADED: dict[int, Tokens] = {}  # by the broadcast's id; a Python worker serves many tasks
+_LOADED: dict[str, Tokens] = {}  # a Python worker serves many tasks: the last vocabulary stays, with its words
 
 
-def _tokens(sent) -> Tokens:
-    key = sent._jbroadcast.id() if sent._jbroadcast else id(sent)
-    return _LOADED.setdefault(key, Tokens(sent.value))
+def _tokens(vocabulary: str) -> Tokens:
+    if vocabulary not in _LOADED:
+        _LOADED.clear()
+        _LOADED[vocabulary] = Tokens(vocabulary)
+    return _LOADED[vocabulary]
 
 
 # ------------------------------------------------------------------ files ---
@@ -303,7 +305,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: st
     end = np.array([end_id], _U32).tobytes()
 
     def run(batches):
-        tokens, out, doc_ids = _tokens(sent), _Writer(TaskContext.get().partitionId()), ()
+        tokens, out, doc_ids = _tokens(sent.value), _Writer(TaskContext.get().partitionId()), ()
         for b, texts in by_bytes(batches):
             doc_ids = b.column(0).to_pylist()
             for doc_id, raw in zip(doc_ids, tokens.encode([t.decode() for t in texts])):
