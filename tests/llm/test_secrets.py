@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from tessera.llm import queries as Q
@@ -49,10 +50,77 @@ def test_sliding_entropy_is_the_entropy_of_each_window():
     assert X.sliding_entropy("abc", 4) == []
 
 
+def counts(window, c):
+    """Whether a window is one that makes a span."""
+    plain = re.sub("[A-Z]", "u", re.sub("[a-z]", "l", re.sub("[0-9]", "0", re.sub("[^A-Za-z0-9]", "", window))))
+    changes = sum(a != b for a, b in zip(plain, plain[1:]))
+    return (entropy(window) >= c.threshold - 1e-9 and re.search("[A-Za-z]", window) and (re.search("[0-9]", window) or changes >= X.NO_DIGIT * c.window)
+            and len(re.findall("[/_-]", window)) <= c.marks and changes >= c.changes)
+
+
+def brute_spans(text, scan):
+    """The registered setting: every window of every run by itself, merged by the
+    characters covered, then spans inside others left out."""
+    found = brute_base(text)
+    for c in scan.classes:
+        own = []
+        for run in re.finditer(f"[{c.chars}]+", text):
+            inside = [m.span() for a in scan.allow for m in re.compile(a, re.IGNORECASE).finditer(text, *run.span())]
+            for i in range(run.start(), run.end() - c.window + 1):
+                hidden = any(s < i + c.window and i < e for s, e in inside)
+                if counts(text[i:i + c.window], c) and not hidden:
+                    if own and own[-1][1] >= i:
+                        own[-1][1] = i + c.window
+                    else:
+                        own.append([i, i + c.window])
+        found += [(c.name, s, e) for s, e in own if not any(b[1] <= s and e <= b[2] for b in found)]
+    return sorted(found, key=lambda s: (s[1], X.ORDER[s[0]], s[2]))
+
+
+def test_registered_setting_by_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefgh-_/0123"]
+    rows = []
+    for i in range(300):
+        parts = [rng.choice(["example", "Dummy", "token=", "AKIA", "0123456789", "aaaaaaaa", " ", "/", "secret: ", "-", "\n", "é"]
+                            + ["".join(rng.choice(a) for _ in range(rng.randrange(1, 50))) for a in alphabets]) for _ in range(rng.randrange(1, 9))]
+        rows.append((i, "".join(parts)))
+    rows += [(1000 + i, t) for i, t in enumerate(texts()) if len(t or "") < 1000]
+    monkeypatch.setattr(Q, "table", lambda *_: frame(spark, rows))
+    got = {r["doc_id"]: r["spans"] for r in Q.op2_secret_scan(spark, "").collect()}
+    for i, t in rows:
+        assert got[i] == ",".join(f"{k}:{s}:{e}" for k, s, e in brute_spans(t or "", X.Scan())), t
+
+
+def test_ordinary_text_makes_no_alarm():
+    """Slugs, identifiers, paths, links and numbers."""
+    scanner = X.Scanner(X.Scan())
+    ordinary = ["the-quick-brown-fox-jumps-over-the-lazy-dog", "compute_average_token_probability_for_batch",
+                "github.com/apache/spark/blob/master/python/pyspark", "https://en.wikipedia.org/wiki/List_of_countries_by_population_in_2020",
+                "/usr/lib/python3/dist-packages/numpy/core/_multiarray.so", "getAverageTokenProbabilityForBatchOfDocuments",
+                "best-phones-of-2023-ranked-by-price-and-battery-life", "3.141592653589793238462643", "2024-01-31T12:34:56.789012+00:00",
+                "12345678901234567890 98765432109876543210", "org/springframework/boot/autoconfigure/jdbc/DataSourceProperties"]
+    assert [(t, scanner.spans(t)[1]) for t in ordinary if scanner.spans(t)[1]] == []
+
+
+def test_long_texts_of_many_tokens_take_no_quadratic_time():
+    rng = random.Random(13)
+    token = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(24)) for _ in range(1000)]
+    took = []
+    for n in (5_000, 20_000):  # 2 MB of them: comparing each with all before would take 16 times as long as a quarter
+        text = " ".join(rng.choice(token) for _ in range(n))
+        began = time.process_time()
+        base, spans = X.Scanner(X.Scan()).spans(text)
+        took.append(time.process_time() - began)
+        assert not base and n * 0.9 < len(spans) <= n
+    assert took[1] < 8 * took[0]
+
+
 def test_entropy_spans(spark):
     rows = [(i, t) for i, t in enumerate(texts())]
-    scanner = X.Scanner(X.Scan())
-    for r in X.find_secrets(frame(spark, rows)).collect():
+    scan = X.Scan(allow_whole=True)
+    scanner = X.Scanner(scan)
+    for r in X.find_secrets(frame(spark, rows), scan=scan).collect():
         text = rows[r["doc_id"]][1] or ""
         base = {tuple(s) for s in r["base"]}
         spans = [tuple(s) for s in r["spans"]]
@@ -61,10 +129,10 @@ def test_entropy_spans(spark):
             c = next(c for c, _ in scanner.classes if c.name == kind)
             covered = set()
             for i in range(start, end - c.window + 1):
-                if entropy(text[i:i + c.window]) >= c.threshold - 1e-9:
+                if counts(text[i:i + c.window], c):
                     covered.update(range(i, i + c.window))
             assert covered == set(range(start, end))
-    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in X.find_secrets(frame(spark, rows)).collect()}
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in X.find_secrets(frame(spark, rows), scan=scan).collect()}
     assert "entropy_base64" in found[14]  # a bare random token
     assert "entropy_hex" in found[15]
     assert found[16] == [] and found[17] == ["hex"]  # allow-listed; no entropy, but 80 hex digits
