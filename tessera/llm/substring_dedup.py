@@ -57,10 +57,11 @@ class Windows:
         starts, ends = np.append(0, cut), np.append(cut, len(least))
         return words, starts, ends, least[starts], hashes
 
-    def digests(self, words: list[bytes], starts, ends) -> list[bytes]:
-        """What tells the words of windows ``starts`` to ``ends`` - 1 (exclusive) apart."""
+    def digests(self, words: list[bytes], starts, ends) -> np.ndarray:
+        """What tells the words from window ``starts`` up to window ``ends`` (exclusive) apart."""
         more = self.window - 1
-        return [blake2b(b" ".join(words[s:e + more]), digest_size=16).digest() for s, e in zip(starts.tolist(), ends.tolist())]
+        found = [blake2b(b" ".join(words[s:e + more]), digest_size=8).digest() for s, e in zip(starts.tolist(), ends.tolist())]
+        return np.frombuffer(b"".join(found), np.int64)
 
 
 def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -83,13 +84,13 @@ def _runs(texts: DataFrame, window: int) -> DataFrame:
                 if (found := hasher.of(text)) is not None:
                     words, starts, ends, anchors, _ = found
                     anchor.append(anchors)
-                    run += hasher.digests(words, starts, ends)
+                    run.append(hasher.digests(words, starts, ends))
                     ids.append(np.full(len(starts), doc_id, np.int64))
             if run:
-                yield pa.RecordBatch.from_arrays([long_column(np.concatenate(anchor)), pa.array(run, pa.binary()),
+                yield pa.RecordBatch.from_arrays([long_column(np.concatenate(anchor)), pa.array(np.concatenate(run)),
                                                   pa.array(np.concatenate(ids))], names=["anchor", "run", "doc_id"])
 
-    return texts.where(F.col("doc_id").isNotNull()).mapInArrow(emit, "anchor bigint, run binary, doc_id bigint")
+    return texts.where(F.col("doc_id").isNotNull()).mapInArrow(emit, "anchor bigint, run bigint, doc_id bigint")
 
 
 def _marks(texts: DataFrame, window: int) -> DataFrame:
@@ -118,17 +119,16 @@ def _open_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
                 if (found := hasher.of(text)) is None:  # another row of the id has the open run
                     continue
                 words, starts, ends, anchors, hashes = found
-                opened = set(opened)
-                mine = np.array([x in opened for x in hasher.digests(words, starts, ends)])
+                mine = np.isin(hasher.digests(words, starts, ends), np.array(opened, np.int64))
                 at = np.flatnonzero(np.repeat(mine, ends - starts))  # runs follow each other
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
                         [long_column(np.repeat(anchors, ends - starts)[at]), long_column(hashes[at]),
-                         pa.array(hasher.digests(words, at, at + 1), pa.binary()), pa.array(np.full(len(at), doc_id, np.int64))],
+                         pa.array(hasher.digests(words, at, at + 1)), pa.array(np.full(len(at), doc_id, np.int64))],
                         names=["anchor", "hash", "words", "doc_id"])
 
     some = marks.where(F.size("open") > 0).select("doc_id", "open")
-    return packed(texts).join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, words binary, doc_id bigint")
+    return packed(texts).join(some, "doc_id").mapInArrow(emit, "anchor bigint, hash bigint, words bigint, doc_id bigint")
 
 
 def _late_windows(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
@@ -181,7 +181,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              "spans array<struct<start:int,end:int>>, kept_text string"))
 
 
-def _removed(hasher: Windows, text: bytes, dead: list[bytes], late: list[dict]) -> list[tuple[int, int]]:
+def _removed(hasher: Windows, text: bytes, dead: list[int], late: list[dict]) -> list[tuple[int, int]]:
     """Maximal intervals of words under a removed window: those of ``dead`` runs and
     the ``late`` ones."""
     found = hasher.of(text)
@@ -190,12 +190,10 @@ def _removed(hasher: Windows, text: bytes, dead: list[bytes], late: list[dict])
     words, starts, ends, _, hashes = found
     gone = np.zeros(len(hashes), bool)
     if dead:
-        dead = set(dead)
-        gone |= np.repeat([x in dead for x in hasher.digests(words, starts, ends)], ends - starts)
+        gone |= np.repeat(np.isin(hasher.digests(words, starts, ends), np.array(dead, np.int64)), ends - starts)
     if late:
         at = np.flatnonzero(np.isin(hashes.view(np.int64), np.array([x["hash"] for x in late], np.int64)))
-        known = {x["words"] for x in late}
-        gone[at[[x in known for x in hasher.digests(words, at, at + 1)]]] = True
+        gone[at[np.isin(hasher.digests(words, at, at + 1), np.array([x["words"] for x in late], np.int64))]] = True
     at = np.flatnonzero(gone)
     if not len(at):
         return []
