@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, scalar
 from ..operators import stats as ST
+from ..operators.bands import band_join
 from ..sources import sinks
 from ..sources.tables import Tables
 from .common import r6, register
@@ -296,3 +297,18 @@ def kafka_records(t: Tables) -> DataFrame:
     numbered = sinks.global_row_number(lines, ["event_id"], out="row_no")
     numbered = numbered.withColumn("line_no", F.col("row_no") + 1)  # line 1 is the header
     return sinks.to_log_records(numbered, "events")
+
+
+@register("price_bands", """
+WITH li AS (SELECT round(l_extendedprice / l_quantity, 2) AS unit, l_quantity FROM lineitem),
+bands AS (SELECT p_partkey, p_retailprice AS lo, p_retailprice * (1 + (p_partkey % 7) / 1000.0) AS hi FROM part)
+SELECT p_partkey, count(*) AS n, round(sum(l_quantity), 2) AS quantity
+FROM li JOIN bands ON unit BETWEEN lo AND hi GROUP BY p_partkey
+""")
+def price_bands(t: Tables) -> DataFrame:
+    """JOI-13: every line item in the price bands of all parts, which overlap."""
+    li = t.lineitem.select(F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit"), "l_quantity")
+    bands = t.part.select("p_partkey", F.col("p_retailprice").alias("lo"),
+                          (F.col("p_retailprice") * (1 + (F.col("p_partkey") % 7) / F.lit(1000.0))).alias("hi"))
+    met = band_join(li, bands, "unit", "lo", "hi")
+    return met.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import files, sinks
 from ..sources.tables import Tables
 from ..streaming import wordcount as W
-from .common import register
+from .common import register, scratch
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -47,3 +48,21 @@ def tumbling_word_count(t: Tables) -> DataFrame:
 def tumbling_word_count_3s(t: Tables) -> DataFrame:
     """STM-01: event types per 3-second tumbling window (the reference's size)."""
     return _windowed(t, "3 seconds", "three_seconds")
+
+
+@register("closing_windows", """
+WITH w AS (SELECT unnest([l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m')]) AS word FROM lineitem)
+SELECT word, count(*) AS count, CAST(0 AS BIGINT) AS repeated FROM w GROUP BY word
+""")
+def closing_windows(t: Tables) -> DataFrame:
+    """STM-02/03: words of all ``lineitem`` lines counted in processing-time windows of
+    two seconds that close by a timer after the last row.  Which rows share a window
+    depends on the clock, so the windows are summed; ``repeated``: rows beyond one per
+    word and window."""
+    with scratch(t.spark) as path:
+        sinks.write_text(t.lineitem.select(F.concat_ws("\t", "l_returnflag", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM")).alias("line")), path)
+        lines = files.stream_lines(t.spark, "text", path, wholetext="false", lineSep="\n")
+        counts = W.closing_word_count(W.words(lines, "value", "\t", keep=()), 2)
+        out = W.run_until_closed(counts, "closing", state_partitions=t.spark.sparkContext.defaultParallelism)
+    return out.groupBy("word").agg(F.sum("count").alias("count"),
+                                   (F.count(F.lit(1)) - F.count_distinct("window_start")).alias("repeated"))

@@ -10,12 +10,19 @@ a window exactly once, when it can get no more rows; the state store keeps only
 open windows, so state is bounded by the number of (open window, word) pairs,
 not by the stream length.  A bounded replay has no such bound and returns every
 window, the last one included.
+
+Event-time windows only close when newer rows arrive.  ``closing_word_count`` has
+processing-time windows instead, which close by a timer: the last window of a
+stream that falls silent is emitted, too, and its state removed.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +70,85 @@ def tumbling_word_count(word_rows: DataFrame, ts: str, window: str, lateness: st
     return agg.select(*cols, "word", "count")
 
 
+def _counted(batches):
+    """Words -> (word, n) of each Arrow batch: a frequent word is one row of a batch."""
+    for b in batches:
+        if b.num_rows:
+            found = pa.table([b.column(0)], names=["word"]).group_by("word").aggregate([([], "count_all")])
+            yield from found.select(["word", "count_all"]).rename_columns(["word", "n"]).to_batches()
+
+
+def closing_word_count(word_rows: DataFrame, seconds: float) -> DataFrame:
+    """STM-02/03: ``(word, window_start, window_end, count)`` of a stream of words, one row
+    per word and processing-time window of ``seconds``, emitted once when the window
+    has passed, whether or not another row arrives.
+
+    A word's state is its open window and count; a processing-time timer stands at
+    the window's end.  A row that comes later closes the old window itself."""
+    size = int(seconds * 1000)
+    schema = "word string, window_start timestamp, window_end timestamp, count bigint"
+
+    def row(key, start: int, n: int) -> pd.DataFrame:
+        bounds = [pd.Timestamp(x, unit="ms") for x in (start, start + size)]
+        return pd.DataFrame({"word": [key[0]], "window_start": bounds[:1], "window_end": bounds[1:], "count": [n]})
+
+    def step(key, batches, state):
+        if state.hasTimedOut:
+            start, n = state.get
+            state.remove()
+            yield row(key, start, n)
+            return
+        now = state.getCurrentProcessingTimeMs()
+        here, n = now - now % size, sum(int(b["n"].sum()) for b in batches)
+        if state.exists:
+            start, before = state.get
+            if start == here:
+                n += before
+            else:
+                yield row(key, start, before)
+        state.update((here, n))
+        state.setTimeoutDuration(max(1, here + size - now))
+
+    counts = word_rows.where(F.col("word").isNotNull()).select("word").mapInArrow(_counted, "word string, n bigint")
+    return counts.groupBy("word").applyInPandasWithState(step, schema, "start bigint, n bigint", "append", "ProcessingTimeTimeout")
+
+
+def run_until_closed(stream: DataFrame, name: str, every: str = "1 second", patience: float = 600,
+                     state_partitions: int | None = None) -> DataFrame:
+    """Run a stream of closing windows until all that its source had is read and no
+    window is open, and return the emitted rows, checkpointed."""
+    spark = stream.sparkSession
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    conf = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(conf)
+    if state_partitions:
+        spark.conf.set(conf, str(state_partitions))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/state").trigger(processingTime=every).start())
+    finally:
+        spark.conf.set(conf, old)
+    until = time.monotonic() + patience
+    try:
+        while not _closed(q):
+            if q.exception() is not None:
+                raise q.exception()
+            if time.monotonic() > until:
+                raise TimeoutError(f"windows of {name} are still open after {patience} s")
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    out = cut_lineage(spark.read.schema(_ddl(stream)).parquet(f"{base}/out"))
+    remove_path(spark, base)
+    return out
+
+
+def _closed(q) -> bool:
+    """Whether the last batch read nothing and left no state."""
+    p = q.lastProgress
+    return bool(p) and p["batchId"] > 0 and p["numInputRows"] == 0 and sum(s["numRowsTotal"] for s in p["stateOperators"]) == 0
+
+
 def run_available(stream: DataFrame, mode: str = "append", name: str | None = None,
                   out_dir: str | None = None, state_partitions: int | None = None) -> DataFrame:
     """Run a streaming DataFrame over all available input (availableNow) into
