@@ -28,6 +28,7 @@ import json
 import os
 import re
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -183,15 +184,28 @@ def _stretch(state, place, steps: int, words, slots, freq, first, scale: int) ->
 
 # -------------------------------------------------------------- tokenizer ---
 
+class _Numbers(dict):
+    """Word -> number, in the order they are first met; ``fresh``: those since it was emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.fresh.append(word)
+        return n
+
+
 class Tokens:
     """Texts -> ids by the tokenizers library, without special tokens added.
 
     A byte-level vocabulary splits a text before every blank that a visible
     character follows, whatever stands around, so the words between such places
-    are encoded once and the ids of up to ``room`` of them kept, the latest ones.  Texts that hold
+    are encoded once and the ids of up to ``room`` of them kept.  Texts that hold
     the string of an added token, and vocabularies of other kinds, go whole."""
 
-    def __init__(self, vocabulary: str, room: int = 500_000):
+    def __init__(self, vocabulary: str, room: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -203,42 +217,50 @@ class Tokens:
         self.added = [a["content"] for a in rules.get("added_tokens", [])]
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])  # Ġ: the blank
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # words not met since the last change of generation
         self.before_word = re.compile(r" (?=\S)").split
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.ids = _Numbers(), np.zeros(0, _U32)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, _U32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, _U32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Words that follow a blank; a hundred at a time, told apart by their blanks."""
-        plain = [w for w in words if " " not in w]
-        odd = [w for w in words if " " in w]
-        self.known.update(zip(odd, self._whole([" " + w for w in odd])))
-        portions = [plain[i:i + 100] for i in range(0, len(plain), 100)]
-        for portion, raw in zip(portions, self._whole([" " + " ".join(p) for p in portions])):
-            ids = np.frombuffer(raw, _U32)
-            cuts = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), len(raw)]
-            if len(cuts) != len(portion) + 1:
-                raise ValueError("the vocabulary does not split before a blank")
-            self.known.update(zip(portion, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
+        """Words that follow a blank, a hundred at a time, told apart by their blanks;
+        those with blanks inside by themselves."""
+        odd = {i for i, w in enumerate(words) if " " in w}
+        cuts = sorted({*range(0, len(words), 100), *odd, *(i + 1 for i in odd), len(words)})
+        portions = list(zip(cuts, cuts[1:]))
+        sizes = []
+        found = self._whole([" " + " ".join(words[i:j]) for i, j in portions])
+        for (i, _), ids in zip(portions, found):
+            sizes.append([len(ids)] if i in odd else np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids))))
+        size = np.concatenate(sizes)
+        if len(size) != len(words):
+            raise ValueError("the vocabulary does not split before a blank")
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(size) - size)
+        self.size, self.ids = np.append(self.size, size), np.concatenate([self.ids, *found])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids (u32) of each text, as bytes."""
         whole = [not self.by_word or any(a in t for a in self.added) for t in texts]
         words = [[t] if w else self.before_word(t) for t, w in zip(texts, whole)]
         heads = self._whole([w[0] for w in words])
-        if 2 * len(self.known) > self.room:
-            self.known, self.older = {}, self.known
-        met: set[str] = set()
-        for w in words:
-            met.update(w[1:])
-        new = met.difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update(zip(again, map(self.older.__getitem__, again)))
-        self._learn(list(new - again))
-        ids = self.known.__getitem__
-        return [head + b"".join(map(ids, w[1:])) for head, w in zip(heads, words)]
+        if len(self.known) > self.room:
+            self._forget()
+        many = [len(w) - 1 for w in words]
+        flat = map(self.known.__getitem__, chain.from_iterable([islice(w, 1, None) for w in words]))
+        number = np.fromiter(flat, np.int64, sum(many))
+        if self.known.fresh:
+            self._learn(self.known.fresh)
+            self.known.fresh = []
+        size = self.size[number]
+        total = np.append(0, np.cumsum(size))
+        ids = self.ids[np.repeat(self.start[number] - total[:-1], size) + np.arange(int(total[-1]))]
+        ends = total[np.cumsum(many)].tolist() if many else []
+        return [head.tobytes() + ids[i:j].tobytes() for head, i, j in zip(heads, [0, *ends], ends)]
 
 
 _LOADED: dict[str, Tokens] = {}  # a Python worker serves many tasks: the last vocabulary stays, with its words
