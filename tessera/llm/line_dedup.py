@@ -99,19 +99,33 @@ def variants(line: str, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     return own, np.arange(-1, n, dtype=np.int32)
 
 
+_KEYS = 1 << 18  # variants held at once, about 24 bytes each
+
+
 def _emit(batches):
-    """(doc_id, line_no, line) -> (hash, pos, doc_id, line_no)"""
+    """(doc_id, line_no, line) -> (hash, pos, doc_id, line_no).  What is held is bounded by
+    the variants, not by the lines: a line has as many as characters."""
     powers = Powers()
     powers.reach(2)
-    for b in in_pieces(batches, 500):
-        out = []
+
+    def rows(out):
+        h, pos, d, i = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays([long_column(h), pa.array(pos), pa.array(d), pa.array(i)],
+                                          names=["hash", "pos", "doc_id", "line_no"])
+
+    out, held = [], 0
+    for b in in_pieces(batches, 100):
         for doc_id, line_no, line in zip(*(b.column(i).to_pylist() for i in range(3))):
             h, pos = variants(line, powers)
-            out.append((h, pos, np.full(len(h), doc_id, np.int64), np.full(len(h), line_no, np.int32)))
-        if out:
-            h, pos, d, i = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([long_column(h), pa.array(pos), pa.array(d), pa.array(i)],
-                                             names=["hash", "pos", "doc_id", "line_no"])
+            for at in range(0, len(h), _KEYS):  # a line of megabytes goes in portions
+                n = len(h[at:at + _KEYS])
+                out.append((h[at:at + _KEYS], pos[at:at + _KEYS], np.full(n, doc_id, np.int64), np.full(n, line_no, np.int32)))
+                held += n
+                if held >= _KEYS:
+                    yield rows(out)
+                    out, held = [], 0
+    if out:
+        yield rows(out)
 
 
 def _first_in(group: np.ndarray, rank: np.ndarray, use: np.ndarray) -> np.ndarray:
@@ -180,7 +194,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- operator ---
 
-def line_dedup(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``(doc_id, n_lines, n_removed, removed, kept_text)``.
 
     Lines end at U+000A and are compared without outer blanks; blank lines are

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.skew import join_counted
+from ..operators.skew import join_counted, small
 from ..session import cut_lineage
 
 ORDER_BITS, LEVEL_BITS = 60, 12
@@ -161,9 +161,14 @@ def _where_passes_end(units: DataFrame, plan: DataFrame, total: int) -> DataFram
 
 def realise(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """``docs`` with every document repeated ``copies`` times, columns unchanged."""
-    d, m = docs.alias("d"), mixed.where(F.col("copies") > 0).select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies")).alias("m")
-    same = (F.col(f"d.`{id_col}`").cast("bigint").eqNullSafe(F.col("_mix_id"))
-            & F.col(f"d.`{source_col}`").cast("string").eqNullSafe(F.col("_mix_source")))
-    return (d.join(m, same).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))
+    m = mixed.where(F.col("copies") > 0).select(
+        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies"))
+    here = F.col(f"d.`{source_col}`").cast("string").eqNullSafe(F.col("_mix_source"))
+    has_id = F.col(f"`{id_col}`").isNotNull()
+    named = docs.where(has_id).alias("d").join(m.where(F.col("_mix_id").isNotNull()),
+                                               (F.col(f"d.`{id_col}`").cast("bigint") == F.col("_mix_id")) & here)
+    # rows without an id are one document per source: a row a source goes to them, not they to it
+    of_source = cut_lineage(m.where(F.col("_mix_id").isNull()))
+    nameless = docs.where(~has_id).alias("d").join(small(of_source, of_source.count(), 256), here)
+    return named.union(nameless).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

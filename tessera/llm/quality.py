@@ -5,9 +5,8 @@ Every word, word pair and character n-gram of a word is hashed to one of
 softmax over a linear layer gives the class probabilities.  Vectors and layer
 are learned by stochastic gradient descent in numpy.
 
-Training uses a bounded sample of the labelled rows (``max_rows`` rows of at
-most ``max_chars`` code points, those with the smallest hash of their id), the
-only part that passes the driver.  Scoring covers every document in full where
+Training uses a bounded sample of the labelled rows (``max_rows`` whole texts,
+those with the smallest hash of their id), the only part that passes the driver.  Scoring covers every document in full where
 it lies: the layer is linear, so each bucket contributes one number per class
 and the broadcast model is ``buckets`` numbers (1 MB), whatever the corpus.
 """
@@ -49,7 +48,6 @@ class Settings:
     rate: float = 0.6
     batch: int = 32
     max_rows: int = 4000
-    max_chars: int = 20_000
     seed: int = 42
 
 
@@ -148,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(~held_out(id_col)).groupBy(F.col(id_col).cast("bigint").alias("doc_id"))
              .agg(F.min(F.col(label_col).cast("int")).alias("y"), F.max(F.col(label_col).cast("int")).alias("other"))
              .where((F.col("y") == F.col("other")) & F.col("y").isin(0, 1)).select("doc_id", "y"))
-    texts = id_text(docs, id_col, text_col).where(F.length("text") <= settings.max_chars)
+    texts = id_text(docs, id_col, text_col)
     # the ids are chosen first, so only the sample's texts move
     ids = texts.select("doc_id").distinct().join(known, "doc_id")
     order = F.xxhash64(F.col("doc_id"), F.lit(settings.seed))

@@ -62,7 +62,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that are within one edit of an earlier line."""
-    cut = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_chars=20)
+    cut = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_chars=4)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

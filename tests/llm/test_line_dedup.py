@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tessera.llm import line_dedup as L
 
 from .helpers import frame, prose
@@ -46,13 +48,42 @@ def corpus():
     return rows + [(1000, None), (1001, ""), (1002, "\n\n"), (1003, "x" * 30_000), (1004, "x" * 29_999 + "y")]
 
 
-def test_brute_force(spark):
+@pytest.mark.parametrize("min_chars", [20, 4, 1])
+def test_brute_force(spark, min_chars):
     rows = corpus()
-    got = {r["doc_id"]: (list(r["removed"]), r["kept_text"]) for r in L.line_dedup(frame(spark, rows)).collect()}
-    assert got == brute(rows, 20)
+    got = {r["doc_id"]: (list(r["removed"]), r["kept_text"]) for r in L.line_dedup(frame(spark, rows), min_chars).collect()}
+    assert got == brute(rows, min_chars)
     assert sum(len(g) for g, _ in got.values()) > 50
 
 
+def test_short_lines_by_brute_force(spark):
+    """Lines of 1 to 20 characters over few letters, many of them one edit apart."""
+    rng = random.Random(17)
+    rows = [(i, "\n".join("".join(rng.choice("abcd") for _ in range(rng.randrange(0, 21))) for _ in range(12))) for i in range(40)]
+    for min_chars in (4, 6):
+        got = {r["doc_id"]: (list(r["removed"]), r["kept_text"]) for r in L.line_dedup(frame(spark, rows), min_chars).collect()}
+        assert got == brute(rows, min_chars)
+
+
+def test_variants_are_emitted_in_bounded_portions(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(L, "_KEYS", 1000)
+    lines = ["x" * 3500, "ab", "y" * 999, "é" * 700]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4], pa.int64()), pa.array([0] * 4, pa.int32()), pa.array(lines)], names=["doc_id", "line_no", "line"])
+    out = list(L._emit([batch]))
+    assert max(b.num_rows for b in out) < 2000 and sum(b.num_rows for b in out) == sum(len(x) + 1 for x in lines)
+
+
+def test_long_lines(spark):
+    """Lines of a megabyte: equal ones, one edit apart, and different ones."""
+    rng = random.Random(18)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(1_000_000)).strip()
+    rows = [(1, long), (2, long[:500_000] + "Q" + long[500_001:]), (3, "z" + long), (4, long[::-1]), (5, f"other\n{long}")]
+    got = {r["doc_id"]: r["n_removed"] for r in L.line_dedup(frame(spark, rows)).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     schema = "doc_id bigint, text string, line string, first int, near string, removed int"
     line = "one line that is long enough"

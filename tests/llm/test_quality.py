@@ -69,3 +69,12 @@ def test_edges(spark):
     assert len(out) == 4 and {r["score"] for r in out} == {0.5}  # no label: the share of class 1 is unknown
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (3, 7)], "doc_id bigint, quality int")
     assert {r["score"] for r in Q.classify(spark.createDataFrame(rows, schema), labels, settings=SMALL).collect()} == {0.5}
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    docs, labels = data(100)
+    long = (1001, "rarely " * 30_000)
+    assert zlib.crc32(b"1001") % 5
+    a, b = (Q.fit(frame(spark, [*docs, long]), spark.createDataFrame([*labels, (1001, y)], "doc_id bigint, quality int"), settings=SMALL) for y in (0, 1))
+    reader = Q.Features(SMALL)
+    assert a.log_odds(reader.of(long[1].encode())) < b.log_odds(reader.of(long[1].encode()))
