@@ -18,6 +18,9 @@ Scale notes
   named by ``spark.checkpoint.dir``: lineage stays one round deep and a lost
   executor costs one round, not the whole loop.
 * Convergence is one aggregate per round ("is the edge set a star forest?").
+* Before the first round and after each, every task contracts the edges it holds,
+  a million at a time, to a star forest with the same components (``contract``):
+  fewer edges are shuffled and paths are short, so fewer rounds are needed.
 * Groups of co-occurring ids are never expanded into all pairs: for
   components a spanning star (group minimum -> every other member) is
   enough, and bounded label propagation over cliques is done through the
@@ -28,12 +31,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import name_id
 from ..session import cut_lineage
-from .skew import join_counted, width
+from .skew import join_counted, small, width
 from ..sources.sinks import global_row_number
 
 # ---------------------------------------------------------------- basics ---
@@ -80,6 +85,48 @@ def _small_star(e: DataFrame, n: int, hubs: bool) -> DataFrame:
     return moved.unionByName(m.select("x", F.col("m").alias("y"))).distinct()
 
 
+_AT_ONCE = 1 << 20
+
+
+def star_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of some edges as stars: every vertex that is not the least of
+    its component, and the least."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b, parent = at[:len(a)], at[len(a):], np.arange(len(ids))
+    while True:
+        up, down = np.maximum(parent[a], parent[b]), np.minimum(parent[a], parent[b])
+        apart = up != down
+        if not apart.any():
+            break
+        np.minimum.at(parent, up[apart], down[apart])
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    moved = np.flatnonzero(parent != np.arange(len(ids)))
+    return ids[moved], ids[parent[moved]]
+
+
+def contract(e: DataFrame) -> DataFrame:
+    """Edges ``(x, y)`` -> star forests, ``_AT_ONCE`` edges of a task at a time; the
+    components stay.  Nothing is shuffled."""
+    def stars(held):
+        x, y = (np.concatenate(c) for c in zip(*held))
+        x, y = star_forest(x, y)
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            held.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(2)])
+            n += b.num_rows
+            if n >= _AT_ONCE:
+                yield stars(held)
+                held, n = [], 0
+        if n:
+            yield stars(held)
+
+    return e.select(F.col("x").cast("bigint"), F.col("y").cast("bigint")).mapInArrow(run, "x bigint, y bigint")
+
+
 def _state(e: DataFrame) -> tuple[bool, int]:
     """Whether ``e`` is a star forest (every child has one parent and no
     parent is a child: then each star is a component whose centre is its
@@ -97,12 +144,15 @@ def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     smallest id of its component (roots do not appear as ``x``).  Edges with
     a NULL end link nothing.  Loops until nothing moves; the potential (sum of
     pointers) falls every round, so it always ends."""
-    e = cut_lineage(undirected(edges, src, dst))
+    links = edges.select(F.col(src).cast("bigint").alias("x"), F.col(dst).cast("bigint").alias("y"))
+    # contracted where they lie, before the first shuffle
+    e = cut_lineage(undirected(contract(links.where(F.col("x") != F.col("y"))), "x", "y"))
     n = e.count()
     done, top = _state(e)
     while not done:
         hubs = top > n // width(e)
-        e = cut_lineage(_small_star(cut_lineage(_large_star(e, n, hubs)), n, hubs))
+        e = cut_lineage(contract(_small_star(cut_lineage(_large_star(e, n, hubs)), n, hubs)))
+        n = e.count()
         done, top = _state(e)
     return e
 
@@ -122,22 +172,41 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, src: str
 
 
 def bounded_components(vertices: DataFrame | None, edges: DataFrame, max_iter: int = 6,
-                       src: str = "src", dst: str = "dst", id_col: str = "id") -> DataFrame:
+                       src: str = "src", dst: str = "dst", id_col: str = "id", sent: list[int] | None = None) -> DataFrame:
     """GRF-03: exactly ``max_iter`` rounds of min-label propagation, so a
     vertex gets the smallest id within ``max_iter`` hops (the bounded
-    component semantics; long chains stay unconverged on purpose)."""
+    component semantics; long chains stay unconverged on purpose).
+
+    Semi-naive: a round sends only the labels that the last one changed, and keeps
+    only the new ones, so late rounds cost what they change.  A frontier within
+    Spark's broadcast bound is sent to the edges where they lie.  ``sent`` gets
+    the number of labels that each round sends."""
     sym = (undirected(edges, src, dst).select(F.col("x").alias("u"), F.col("y").alias("v")))
     sym = cut_lineage(sym.unionByName(sym.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     ids = sym.select(F.col("u").alias("id"))
     if vertices is not None:
         ids = ids.unionByName(vertices.select(F.col(id_col).alias("id")))
-    lab = cut_lineage(ids.distinct().select("id", F.col("id").alias("component")))
+    ids = cut_lineage(ids.distinct())
+    # a vertex's label is the least of its id and of what the rounds brought
+    brought = None
+    frontier = cut_lineage(sym.select(F.col("u").alias("id")).distinct().withColumn("label", F.col("id")))
     for _ in range(max_iter):
-        nbr = (sym.join(lab.select(F.col("id").alias("v"), F.col("component").alias("l")), "v")
-                  .groupBy("u").agg(F.min("l").alias("nl")))
-        lab = cut_lineage(lab.join(nbr.select(F.col("u").alias("id"), "nl"), "id", "left")
-                             .select("id", F.least("component", F.coalesce("nl", "component")).alias("component")))
-    return lab
+        n = frontier.count()
+        if sent is not None:
+            sent.append(n)
+        if not n:
+            break
+        told = sym.join(small(frontier.select(F.col("id").alias("v"), "label"), n, 16), "v").where(F.col("label") < F.col("u"))
+        news = told.groupBy(F.col("u").alias("id")).agg(F.min("label").alias("label"))
+        if brought is not None:
+            best = brought.groupBy("id").agg(F.min("label").alias("best"))
+            news = news.join(best, "id", "left").where(F.col("best").isNull() | (F.col("label") < F.col("best"))).drop("best")
+        frontier = cut_lineage(news)
+        brought = frontier if brought is None else brought.unionByName(frontier)
+    if brought is None:
+        return ids.select("id", F.col("id").alias("component"))
+    best = brought.groupBy("id").agg(F.min("label").alias("best"))
+    return ids.join(best, "id", "left").select("id", F.coalesce("best", "id").alias("component"))
 
 
 def bounded_group_components(nodes: DataFrame, membership: DataFrame, max_iter: int = 6) -> DataFrame:
@@ -286,12 +355,18 @@ def recognize_wifi(actions: DataFrame, date_p: str, max_iter: int = 6) -> DataFr
     own row id (Q2).  Both branches are cast to text before the union (Q1).
     """
     graph_rows = actions.where(F.col("bssid").isNull())
-    nodes = graph_rows.groupBy("wifi_name", "ip").agg(F.min("vid").alias("node"))
-    membership = (nodes.join(graph_rows.select("uid", "wifi_name", "ip"), ["wifi_name", "ip"])
-                       .select("node", F.struct("uid", "wifi_name").alias("grp")))
+    key = ["wifi_name", "ip"]
+    has_key = F.col("wifi_name").isNotNull() & F.col("ip").isNotNull()
+    keyed = graph_rows.where(has_key)
+    # with the rows of each node, so that a node with many is looked up by broadcast
+    nodes = cut_lineage(keyed.groupBy(*key).agg(F.min("vid").alias("node"), F.count(F.lit(1)).alias("rows")))
+    total = nodes.agg(F.sum("rows")).first()[0] or 0
+    membership = (join_counted(keyed.select("uid", *key), nodes, key, "rows", total)
+                  .select("node", F.struct("uid", "wifi_name").alias("grp")))
     labels = bounded_group_components(nodes, membership, max_iter)
-    clustered = nodes.join(labels, "node").select("wifi_name", "ip", "component")
-    out_graph = (graph_rows.join(clustered, ["wifi_name", "ip"], "left")
+    clustered = cut_lineage(nodes.join(labels, "node").select(*key, "component", "rows"))
+    out_graph = (join_counted(keyed, clustered, key, "rows", total)
+                 .unionByName(graph_rows.where(~has_key), allowMissingColumns=True)
                  .select("uid", "wifi_name", "geohash", "ip", "bssid", "day_num",
                          F.coalesce("component", "vid").cast("string").alias("wifi_id"),
                          F.lit(str(date_p)).alias("date_p")))
@@ -301,14 +376,14 @@ def recognize_wifi(actions: DataFrame, date_p: str, max_iter: int = 6) -> DataFr
     return out_bssid.unionByName(out_graph).select(*WIFI_OUTPUT)
 
 
-def map_wifi_ids(actions: DataFrame, hash_id: str = "legacy") -> DataFrame:
+def map_wifi_ids(actions: DataFrame, hash_id: str = "legacy", ordered: bool = False) -> DataFrame:
     """GRF-10: id mapping with name-based node ids.
 
     Node id = 64-bit name hash of wifi+ip (``legacy``: no separator, two
     pairs can collide, Q5; ``sep``: joined with a tab).  Nodes used by the
     same (uid, wifi_name) are connected; unbounded components; every action
     gets its component id.  Returns ``(vertex_id, uid, wifi_name, ip,
-    geohash, day_num)``.
+    geohash, day_num)``; ``ordered``: sorted by the first four (a range exchange).
     """
     key = (F.concat(F.col("wifi_name"), F.col("ip")) if hash_id == "legacy"
            else F.concat_ws("\t", F.col("wifi_name"), F.col("ip")))
@@ -318,5 +393,6 @@ def map_wifi_ids(actions: DataFrame, hash_id: str = "legacy") -> DataFrame:
     star = cooccurrence_edges(mem, ["uid", "wifi_name"], "node")
     comp = connected_components(nodes.select(F.col("node").alias("id")), star, id_col="id")
     clustered = nodes.join(comp.select(F.col("id").alias("node"), "component"), "node")
-    return (actions.join(clustered.select("wifi_name", "ip", "component"), ["wifi_name", "ip"], "left")
-                   .select(F.col("component").alias("vertex_id"), "uid", "wifi_name", "ip", "geohash", "day_num"))
+    out = (actions.join(clustered.select("wifi_name", "ip", "component"), ["wifi_name", "ip"], "left")
+                  .select(F.col("component").alias("vertex_id"), "uid", "wifi_name", "ip", "geohash", "day_num"))
+    return out.orderBy("vertex_id", "uid", "wifi_name", "ip") if ordered else out

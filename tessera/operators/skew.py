@@ -28,6 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """``df``, marked for broadcast if its counted ``rows`` fit the session's bound."""
+    bound = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if rows * row_bytes <= bound else df
+
+
 def join_counted(rows: DataFrame, lookup: DataFrame, key: str | Sequence[str], n: str, total: int,
                  how: str = "inner") -> DataFrame:
     """``rows JOIN lookup`` on ``key`` (``how`` inner or left).

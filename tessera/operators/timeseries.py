@@ -4,7 +4,10 @@ All symbols are processed in one plan with windows partitioned by symbol and
 ordered by the bar time.  A window partition holds one symbol's bars, whose
 count is bounded by the number of bar periods in the loaded range (days or
 hours), not by the data volume: more data means more symbols, each still a
-short series.  The panic threshold (a mean over the whole loaded range of a
+short series.  Where a symbol has a long one (ticks, years of seconds),
+``chunk_rows`` cuts the series of all symbols into chunks of that many rows, each
+with the ``PRICE_WINDOW`` rows before it, so that no task sorts a whole symbol; the
+result is the same.  The panic threshold (a mean over the whole loaded range of a
 symbol) is a ``groupBy`` aggregate joined back, so it is partially
 aggregated.
 
@@ -15,9 +18,14 @@ pandas semantics kept: a rolling mean needs a full frame of non-null values
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from ..sources.sinks import global_row_number
+
 # Fixed values of the signal rules.
 REVERSAL_A = {"body_low": 0.45, "close_above_low": 0.01}
 REVERSAL_B = {"body_low": 0.5, "upper_shadow": 0.2, "amplitude": 0.8}
@@ -28,8 +36,21 @@ AMP_WINDOW = 15
 PANIC_LAG = 4  # the column is named "3 day" volatility but looks 4 rows back
 
 
-def _w(key: str, order: str) -> Window:
-    return Window.partitionBy(key).orderBy(order)
+def _w(key: str | Sequence[str], order: str) -> Window:
+    return Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(order)
+
+
+def in_chunks(bars: DataFrame, key: str, order: str, rows: int, halo: int = PRICE_WINDOW) -> DataFrame:
+    """``bars`` with ``_chunk``, and copies (``_halo``) of the ``halo`` rows before each
+    chunk.  Rows are numbered by (key, order) in ranges, so one key may hold any share."""
+    at = F.col("_rn") - 1
+    chunk = F.floor(at / rows)
+    own = F.struct(chunk.alias("chunk"), F.lit(False).alias("halo"))
+    ahead = F.filter(F.transform(F.sequence(F.lit(1), F.lit(-(-halo // rows))), lambda k: F.struct((chunk + k).alias("chunk"), F.lit(True).alias("halo"))),
+                     lambda c: at >= c["chunk"] * rows - halo)
+    numbered = global_row_number(bars, [key, order], out="_rn")
+    return (numbered.withColumn("_c", F.explode(F.concat(F.array(own), ahead)))
+            .withColumn("_chunk", F.col("_c.chunk")).withColumn("_halo", F.col("_c.halo")).drop("_c", "_rn"))
 
 
 def rolling_mean(c: Column, w: Window, n: int) -> Column:
@@ -66,10 +87,17 @@ def nan_to_null(df: DataFrame, cols=PRICE_COLUMNS) -> DataFrame:
                            for c in cols if c in df.columns})
 
 
-def add_indicators(bars: DataFrame, key: str = "symbol", order: str = "t") -> DataFrame:
-    """TS-01/02/04 + WIN-01/03: lags, volatility, rolling means, amplitude."""
-    bars = nan_to_null(bars)
-    w = _w(key, order)
+def add_indicators(bars: DataFrame, key: str = "symbol", order: str = "t", chunk_rows: int | None = None) -> DataFrame:
+    """TS-01/02/04 + WIN-01/03: lags, volatility, rolling means, amplitude.
+    ``chunk_rows``: see the module; (key, order) must then be unique."""
+    if chunk_rows:
+        cut = _indicators(in_chunks(nan_to_null(bars), key, order, chunk_rows), [key, "_chunk"], order)
+        return cut.where(~F.col("_halo")).drop("_chunk", "_halo")
+    return _indicators(nan_to_null(bars), [key], order)
+
+
+def _indicators(bars: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    w = _w(keys, order)
     c = F.col("close_pr")
     vol = F.abs(pct_change(c, w, 1))
     amp = F.try_divide(F.col("high_pr") - F.col("low_pr"), F.col("open_pr"))
@@ -106,12 +134,14 @@ def reversal_b(ind: DataFrame) -> Column:
                  & (F.col("amplitude") > REVERSAL_B["amplitude"] * F.col("avg_amplitude")))
 
 
-def signals(bars: DataFrame, key: str = "symbol", order: str = "t") -> DataFrame:
+def signals(bars: DataFrame, key: str = "symbol", order: str = "t", chunk_rows: int | None = None) -> DataFrame:
     """TS-07: indicators plus the three flags for every symbol in one pass.
 
     ``panic_threshold`` = 3.3 x the mean of the rolling volatility over the
     symbol's loaded range (a grouped aggregate joined back)."""
-    ind = add_indicators(bars, key, order)
+    ind = add_indicators(bars, key, order, chunk_rows)
+    if chunk_rows:
+        ind = cut_lineage(ind)  # read by the mean and by the flags
     mean_vol = ind.groupBy(key).agg(F.avg("avg_volatility").alias("mean_volatility"))
     ind = ind.join(mean_vol, key)
     c = F.col("close_pr")

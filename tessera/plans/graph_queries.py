@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import name_id
 from ..operators import graph as G
+from ..session import cut_lineage
 from ..sources.tables import Tables
 from .common import r6, register
 
@@ -238,7 +239,7 @@ FROM a LEFT JOIN nodes n ON a.wifi_name = n.wifi_name AND a.ip = n.ip LEFT JOIN
 """)
 def wifi_id_mapping(t: Tables) -> DataFrame:
     """GRF-10: id mapping with name-hash node ids and unbounded components."""
-    return G.map_wifi_ids(wifi_actions(t).drop("bssid", "vid"))
+    return G.map_wifi_ids(wifi_actions(t).drop("bssid", "vid"), ordered=True)
 
 
 @register("component_members", f"""
@@ -260,10 +261,11 @@ FROM cc JOIN nodes n ON n.node = cc.node
 """)
 def component_members(t: Tables) -> DataFrame:
     """GRF-06 / AGG-14 / AGG-27: the members of every WiFi cluster, one row each."""
-    acts = wifi_actions(t).drop("bssid", "vid")
+    acts = cut_lineage(wifi_actions(t).select("uid", "wifi_name", "ip"))
     key = F.concat(F.col("wifi_name"), F.col("ip"))
-    nodes = acts.select("wifi_name", "ip").distinct().withColumn("node", name_id(key))
-    mem = nodes.join(acts.select("uid", "wifi_name", "ip"), ["wifi_name", "ip"], "left")
+    # a stored table: both join sides are plain shuffles, which Spark splits at a hot key
+    nodes = cut_lineage(acts.select("wifi_name", "ip").distinct().withColumn("node", name_id(key)))
+    mem = nodes.join(acts, ["wifi_name", "ip"], "left")
     star = G.cooccurrence_edges(mem, ["uid", "wifi_name"], "node")
     comp = G.connected_components(nodes.select(F.col("node").alias("id")), star, id_col="id")
     names = nodes.select(F.col("node").alias("id"), F.concat_ws("@", "wifi_name", "ip").alias("name"))

@@ -178,16 +178,17 @@ def follow_pairs(t: Tables) -> DataFrame:
 
 @register("dated_paths", """
 SELECT l_returnflag AS app, strftime(l_shipdate, '%Y%m') AS month, count(*) AS n
-FROM lineitem WHERE month(l_shipdate) <= 2 GROUP BY 1, 2
+FROM lineitem GROUP BY 1, 2
 """)
 def dated_paths(t: Tables) -> DataFrame:
-    """SRC-04/05: one JSON folder per month and key; only some of the requested
-    months exist, and one template ends in a wildcard."""
+    """SRC-04/05: one JSON folder per month and key; the year before and the year
+    after the data are asked for, too, and one template ends in a wildcard."""
     li = t.lineitem.select(F.date_format("l_shipdate", "yyyyMM").alias("month"), F.col("l_returnflag").alias("app"))
     found = [r[0] for r in li.select("month").distinct().orderBy("month").collect()]  # calendar months: a bounded list
     with scratch(t.spark) as path:
-        li.where(F.substring("month", 5, 2) <= "02").select("month", "app", F.col("app").alias("guid")).write.partitionBy("month", "app").json(path)
-        # every month of the data is asked for, the later ones do not exist
+        li.select("month", "app", F.col("app").alias("guid")).write.partitionBy("month", "app").json(path)
+        years = (int(found[0][:4]) - 1, int(found[-1][:4]) + 1) if found else ()
+        found = [f"{y}{m:02d}" for y in years[:1] for m in range(1, 13)] + found + [f"{y}{m:02d}" for y in years[1:] for m in range(1, 13)]
         templates = [f"{path}/month={{date}}/app={{key}}", f"{path}/month={{date}}/app={{key}}*"]
         keys = [r[0] for r in li.select("app").distinct().collect()]  # the return flags
         paths = [files.partitioned_paths(t.spark, x, found, keys, [""]) for x in templates]
@@ -347,7 +348,7 @@ def bars_table(t: Tables) -> DataFrame:
     symbols = [r[0] for r in t.events.select("event_type").distinct().collect() if r[0] != "click"]  # event types: a short list
     with scratch_table(t.spark, sinks.BARS_DDL, "symbol", create=sinks.create_bars_table) as name:
         sinks.append_bars(rows.where("t_date <= 20240112"), name)
-        sinks.append_bars(cut_lineage(sinks.insert_ignore(t.spark.table(name), rows, ["symbol", "t_date"])), name)
+        sinks.append_bars(cut_lineage(sinks.insert_ignore_into(t.spark, name, rows, ["symbol", "t_date"])), name)
         out = sinks.read_bars(t.spark, name, 20240105, 20240120, symbols)
         return cut_lineage(out.select("symbol", "t_date", *[r6(c).alias(c) for c in ("open_pr", "high_pr", "low_pr", "close_pr")], "volume"))
 

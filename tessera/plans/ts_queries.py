@@ -66,7 +66,7 @@ flags AS (
   FROM sig)"""
 
 
-@register("bar_indicators", f"""
+_INDICATORS_SQL = f"""
 WITH {_FLAGS_SQL}
 SELECT symbol, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, open_pr, high_pr, low_pr, close_pr, volume, c1, c2,
        round(day_volatility, 6) AS day_volatility, round(vol4, 6) AS vol4, round(amplitude, 6) AS amplitude,
@@ -74,10 +74,22 @@ SELECT symbol, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, open_pr, high_pr, low_pr,
        round(avg_amplitude, 6) AS avg_amplitude, round(mean_volatility, 6) AS mean_volatility,
        reversal_a, reversal_b, panic_sell
 FROM flags
-""")
+"""
+
+
+@register("bar_indicators", _INDICATORS_SQL)
 def bar_indicators(t: Tables) -> DataFrame:
     """TS-01/02/04/07 + WIN-01..05: every hourly bar with its indicators and flags."""
-    s = TS.signals(bars(t))
+    return _indicators(TS.signals(bars(t)))
+
+
+@register("bar_indicators_long", _INDICATORS_SQL)
+def bar_indicators_long(t: Tables) -> DataFrame:
+    """The same over chunks of 256 rows, as for symbols with long series."""
+    return _indicators(TS.signals(bars(t), chunk_rows=256))
+
+
+def _indicators(s: DataFrame) -> DataFrame:
     return s.select("symbol", _tfmt(), "open_pr", "high_pr", "low_pr", "close_pr", "volume", "c1", "c2",
                     *[r6(c).alias(c) for c in ("day_volatility", "vol4", "amplitude", "avg_volatility",
                                                "avg_price", "avg_amplitude", "mean_volatility")],

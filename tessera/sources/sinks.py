@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import small
 from ..session import cut_lineage
 
 BARS_COLUMNS = ["t_date", "open_pr", "high_pr", "low_pr", "close_pr", "adj_close_pr", "volume", "symbol"]
@@ -174,6 +175,35 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str],
     return firsts.join(existing.select(*keys), list(keys), "left_anti").select(*new.columns)
 
 
+def insert_ignore_into(spark: SparkSession, name: str, new: DataFrame, keys: Sequence[str],
+                       order_by: Sequence[str] | None = None) -> DataFrame:
+    """TBL-03 on a stored table: the rows of ``new`` to append to ``name``, as of
+    ``insert_ignore``.  The batch's keys go to the table, not the table to the batch:
+    only partitions that the batch names are read (up to ``_NAMED`` of them are listed;
+    beyond that, all), and keys within the broadcast bound are sent to the scan, so
+    nothing of the table is shuffled; what comes back is no larger than the batch.
+    A larger batch meets the table by shuffle."""
+    cols = [c for c in new.columns if c not in keys]
+    order = F.struct(*[F.col(c) for c in (order_by or cols)])
+    firsts = cut_lineage(new.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
+                         .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
+    met = cut_lineage(_touched(spark, name, firsts, keys).distinct())
+    return firsts.join(met, list(keys), "left_anti").select(*new.columns)
+
+
+_NAMED = 10_000
+
+
+def _touched(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of the table ``name`` that are among those of ``batch``."""
+    table = spark.table(name).select(*keys)
+    for c in (c.name for c in spark.catalog.listColumns(name) if c.isPartition and c.name in keys):
+        values = [r[0] for r in batch.select(c).distinct().limit(_NAMED + 1).collect()]
+        if len(values) <= _NAMED:
+            table = table.where(F.col(c).isin([v for v in values if v is not None]))
+    return table.join(small(batch.select(*keys), batch.count(), 64 * len(keys)), list(keys))
+
+
 def read_bars(spark: SparkSession, name: str, start=None, end=None, symbols: Sequence[str] | None = None) -> DataFrame:
     """TBL-04/05: inclusive date-range read (pushed to the scan / partition
     pruning on symbol)."""

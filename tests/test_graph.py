@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
@@ -143,7 +145,9 @@ def _actions(spark):
 
 
 def test_map_wifi_ids(spark):
-    out = G.map_wifi_ids(_actions(spark).drop("bssid", "vid"))
+    out = G.map_wifi_ids(_actions(spark).drop("bssid", "vid"), ordered=True)
+    first = [tuple(r[:4]) for r in out.collect()]
+    assert first == sorted(first, key=lambda r: [(x is not None, x) for x in r])
     clusters = {}
     for r in out.where("wifi_name IS NOT NULL").collect():
         clusters.setdefault(r["vertex_id"], set()).add((r["wifi_name"], r["ip"]))
@@ -167,3 +171,43 @@ def test_cooccurrence_is_star(spark):
     df = spark.createDataFrame([("g", i) for i in (5, 3, 9, 3)], "g string, id bigint")
     e = sorted((r["src"], r["dst"]) for r in G.cooccurrence_edges(df, ["g"], "id").collect())
     assert e == [(3, 5), (3, 9)]
+
+
+def test_contraction_keeps_components(spark, monkeypatch):
+    rng = random.Random(31)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(-3, 7), (2**60, 5)]
+
+    def classes(pairs):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return {x: find(x) for x in root}
+
+    a, b = (np.array(c, np.int64) for c in zip(*edges))
+    x, y = G.star_forest(a, b)
+    want = classes(edges)
+    assert dict(zip(x.tolist(), y.tolist())) == {v: r for v, r in want.items() if v != r}
+    monkeypatch.setattr(G, "_AT_ONCE", 10)  # in many portions
+    df = spark.createDataFrame(edges, "x bigint, y bigint").repartition(3)
+    got = [(r["x"], r["y"]) for r in G.contract(df).collect()]
+    assert {v: r for v, r in classes(got).items() if v != r} == {v: r for v, r in want.items() if v != r} and len(got) <= len(edges)
+
+
+def test_bounded_rounds_send_what_changed(spark):
+    n = 400
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, n)]  # a chain and a star
+    e = spark.createDataFrame(edges, "src bigint, dst bigint")
+    v = spark.createDataFrame([(9999,)], "id bigint")
+    for rounds in (0, 1, 3, 8):
+        sent = []
+        got = {r["id"]: r["component"] for r in G.bounded_components(v, e, rounds, sent=sent).collect()}
+        assert got[9999] == 9999 and all(got[i] == max(0, i - rounds) for i in range(61))
+        assert all(got[100 + i] == (100 if rounds else 100 + i) for i in range(1, n))
+        # first all labels, then those that moved: the star is done after one round
+        assert sent == [n + 61, n - 1 + 60, *(61 - k for k in range(2, rounds))][:rounds]

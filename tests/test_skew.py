@@ -84,3 +84,48 @@ def test_join_counted_spreads_a_hot_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_wifi_nodes_with_a_hot_key(spark):
+    """Half of the rows under one (wifi name, address): no task reads that share."""
+    rows = [(i % 300, "hot" if i % 2 else f"w{i % 40}", "1.1.1.1" if i % 2 else f"ip{i % 70}", None, i) for i in range(6000)]
+    rows += [(1, None, "ip1", None, 9000 + i) for i in range(50)]
+    acts = spark.createDataFrame(rows, "uid int, wifi_name string, ip string, bssid string, vid bigint").repartition(11)
+    acts = acts.withColumn("geohash", F.lit("g")).withColumn("day_num", F.lit(1))
+    out = G.recognize_wifi(acts, "20240101", max_iter=6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    got = out.collect()
+    assert len(got) == len(rows)
+    by_ip = {}
+    for r in got:
+        if r["wifi_name"] is not None:
+            by_ip.setdefault((r["wifi_name"], r["ip"]), set()).add(r["wifi_id"])
+    assert all(len(ids) == 1 for ids in by_ip.values())
+    alone = [r["wifi_id"] for r in got if r["wifi_name"] is None]
+    assert sorted(map(int, alone)) == list(range(9000, 9050))
+
+
+def test_insert_into_a_table_reads_touched_partitions_only(spark):
+    name = "bars_touched"
+    sinks.create_bars_table(spark, name)
+    try:
+        cols = spark.table(name).columns
+        rest = [c for c in cols if c not in ("symbol", "t_date")]
+
+        def rows(symbols, dates):
+            df = spark.createDataFrame([(s, d) for s in symbols for d in dates], "symbol string, t_date int")
+            return df.select(*[F.col(c) if c in ("symbol", "t_date") else F.lit(1).cast(spark.table(name).schema[c].dataType).alias(c) for c in cols])
+
+        sinks.append_bars(rows([f"s{i}" for i in range(20)], range(20240101, 20240111)), name)
+        batch = rows(["s3", "new"], range(20240108, 20240114))
+        out = sinks.insert_ignore_into(spark, name, batch, ["symbol", "t_date"], rest)
+        got = sorted((r["symbol"], r["t_date"]) for r in out.collect())
+        assert got == [("new", d) for d in range(20240108, 20240114)] + [("s3", d) for d in (20240111, 20240112, 20240113)]
+        plan = sinks._touched(spark, name, batch, ["symbol", "t_date"])._jdf.queryExecution().executedPlan().toString()
+        assert "symbol" in plan.split("PartitionFilters")[1][:80]
+        assert plan.count("Exchange") == plan.count("BroadcastExchange")
+        read = sinks._touched(spark, name, batch, ["symbol", "t_date"]).select(F.input_file_name().alias("f")).distinct().collect()
+        assert all("symbol=s3" in r["f"] for r in read)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
