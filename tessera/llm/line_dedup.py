@@ -189,7 +189,29 @@ def near_lines(lines: DataFrame) -> DataFrame:
     to = text.select(F.col("doc_id").alias("to_doc"), F.col("line_no").alias("to_line"), F.col("line").alias("to_text"))
     per = cut_lineage(to.join(found.groupBy("to_doc", "to_line").agg(F.count(F.lit(1)).alias("n")), ["to_doc", "to_line"]))
     pairs = join_counted(found, per, ["to_doc", "to_line"], "n", found.count()).join(text, ["doc_id", "line_no"])
-    return pairs.where(F.levenshtein("line", "to_text", 1).between(0, 1)).select("doc_id", "line_no").distinct()
+
+    def verify(batches):
+        for b in in_pieces(batches, 100):
+            near = [within_one(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield b.filter(pa.array(near, pa.bool_())).select([0, 1])
+
+    # Spark's own edit distance takes quadratic time on long lines even with a bound
+    checked = pairs.select("doc_id", "line_no", "line", "to_text").mapInArrow(verify, "doc_id bigint, line_no int")
+    return checked.distinct()
+
+
+def within_one(a: str, b: str) -> bool:
+    """Whether one insertion, deletion or substitution at most makes ``a`` of ``b``: what
+    follows their common beginning is equal but for one character."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    lo, hi = 0, len(a)  # the common beginning, by halves
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if a[lo:mid] == b[lo:mid] else (lo, mid - 1)
+    return a[lo + (len(a) == len(b)):] == b[lo + 1:]
 
 
 # ------------------------------------------------------------- operator ---

@@ -75,6 +75,14 @@ def test_variants_are_emitted_in_bounded_portions(monkeypatch):
     assert max(b.num_rows for b in out) < 2000 and sum(b.num_rows for b in out) == sum(len(x) + 1 for x in lines)
 
 
+def test_within_one():
+    rng = random.Random(19)
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 9)))
+        b = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 9)))
+        assert L.within_one(a, b) == within_one(a, b)
+
+
 def test_long_lines(spark):
     """Lines of a megabyte: equal ones, one edit apart, and different ones."""
     rng = random.Random(18)
