@@ -30,6 +30,7 @@ HEADLINE = [
     "describe", "five_number", "histogram", "sorted_prices", "value_counts",
     "geohash_points", "geohash_cells", "kafka_records", "name_id",
     "tumbling_word_count", "ml_features", "rf_logloss",
+    "stored_index", "price_bands", "bar_indicators_long", "event_file_profile",
 ]
 
 
