@@ -216,20 +216,23 @@ def within_one(a: str, b: str) -> bool:
 
 # ------------------------------------------------------------- operator ---
 
-def line_dedup(docs: DataFrame, min_chars: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = 4, id_col: str = "doc_id", text_col: str = "text", edits: int = 1) -> DataFrame:
     """One row per document: ``(doc_id, n_lines, n_removed, removed, kept_text)``.
 
     Lines end at U+000A and are compared without outer blanks; blank lines are
     never removed.  A line goes if an earlier one is equal, or -- both having at
     least ``min_chars`` characters, below which one edit makes another word --
     within one insertion, deletion or substitution, whether or not the earlier
-    one goes itself.  ``removed``: the numbers of the removed lines, ascending;
+    one goes itself.  ``edits`` 0: only equal lines go; a bound above 1 is not
+    supported.  ``removed``: the numbers of the removed lines, ascending;
     ``kept_text``: the others joined by U+000A.  A NULL text is one blank line;
     a document with a NULL id has no place in the order: it loses nothing and
     causes no loss.  Rows that repeat an id are one document; of equal lines at
     one place the number of the line decides, so both lose or keep it."""
+    if edits not in (0, 1):
+        raise ValueError("edits must be 0 or 1")
     texts = id_text(docs, id_col, text_col)
-    distinct = stored(distinct_lines(_lines(texts), min_chars))
+    distinct = stored(distinct_lines(_lines(texts), min_chars if edits else 1 << 31))
     picked = _with_partners(distinct)
     doc_of = F.floor(F.col("first") / F.lit(_STEP)).cast("bigint").alias("doc_id")
     line_of = (F.col("first") - F.floor(F.col("first") / F.lit(_STEP)) * F.lit(_STEP)).cast("int").alias("line_no")

@@ -65,6 +65,14 @@ def test_short_lines_by_brute_force(spark):
         assert got == brute(rows, min_chars)
 
 
+def test_no_edits(spark):
+    rows = corpus()[:20]
+    got = {r["doc_id"]: (list(r["removed"]), r["kept_text"]) for r in L.line_dedup(frame(spark, rows), edits=0).collect()}
+    assert got == brute(rows, 1 << 40)
+    with pytest.raises(ValueError):
+        L.line_dedup(frame(spark, rows), edits=2)
+
+
 def test_variants_are_emitted_in_bounded_portions(monkeypatch):
     import pyarrow as pa
 
