@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .search import _explode_rows, phrase_table
+from .skew import spread
 
 BLOCK_BITS = 10
 TOKENS_PER_BUCKET = 1 << 27
@@ -94,9 +95,10 @@ def read_index(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
 
 
 def _starts(places: Column, offset: Column) -> Column:
-    """Where the phrase would begin whose word ``offset`` stands at ``places``."""
-    inside = F.filter(places, lambda p: p.bitwiseAND((1 << _PLACE) - 1) >= offset)
-    return F.transform(inside, lambda p: p - offset)
+    """Where the phrase would begin whose word ``offset`` stands at ``places``.  Before a
+    document's first token that is no place of any word, so the phrase's first word,
+    which stands at offset 0, rules it out."""
+    return F.when(offset == 0, places).otherwise(F.transform(places, lambda p: p - offset))
 
 
 def _ordered_words(spark: SparkSession, path: str, phrases: DataFrame, phrase: str, lower: bool) -> DataFrame:
@@ -114,21 +116,26 @@ def search_index(spark: SparkSession, path: str, phrases: DataFrame, phrase: str
     """TXT-03 / JOI-12 over a stored index: ``(phrase, doc_id, start, end)`` of every
     occurrence of the phrases (column ``phrase``), or of the first in each document
     with ``first_only``.  Tokens of a phrase are taken as given unless ``lower``;
-    a phrase without tokens occurs nowhere.  One join a word of the longest
-    phrase; a join meets one row per phrase and block on either side."""
+    a phrase without tokens occurs nowhere.  The postings of the phrases' words are
+    read once; then one join a word of the longest phrase, with one row per phrase
+    and block on either side."""
     words = _ordered_words(spark, path, phrases, phrase, lower)
     longest = words.agg(F.max("n_tokens")).first()[0] or 1
-    rows = _postings(spark, path)
+    # the postings of the phrases' words, read once and dealt over the cores
+    wanted = words.select("bucket", "word").distinct()
+    rows = cut_lineage(spread(_postings(spark, path).join(wanted, ["bucket", "word"])).select("word", "block", "places"))
 
     def at(step: int) -> DataFrame:
-        return words.where(F.col("step") == step).select("phrase", "n_tokens", "offset", "word", "bucket")
+        return words.where(F.col("step") == step).select("phrase", "n_tokens", "offset", "word")
 
-    left = rows.join(at(0), ["bucket", "word"]).select("phrase", "n_tokens", "block", _starts(F.col("places"), F.col("offset")).alias("starts"))
+    left = rows.join(at(0), "word").select("phrase", "n_tokens", "block", _starts(F.col("places"), F.col("offset")).alias("starts"))
     hits = left.where(F.col("n_tokens") == 1)
     for step in range(1, longest):
-        probes = left.where((F.col("n_tokens") > step) & (F.size("starts") > 0)).join(at(step).drop("n_tokens"), "phrase")
+        # each step is read by the next one and by the result
+        left = cut_lineage(left.where((F.col("n_tokens") > step) & (F.size("starts") > 0)))
         both = F.array_intersect("starts", _starts(F.col("places"), F.col("offset")))
-        left = rows.join(probes, ["bucket", "word", "block"]).select("phrase", "n_tokens", "block", both.alias("starts"))
+        left = (rows.join(left.join(at(step).drop("n_tokens"), "phrase"), ["word", "block"])
+                .select("phrase", "n_tokens", "block", both.alias("starts")))
         hits = hits.unionByName(left.where(F.col("n_tokens") == step + 1))
     each = hits.select("phrase", "n_tokens", "block", F.explode("starts").alias("place"))
     each = each.select("phrase", "n_tokens", "block", F.shiftright("place", _PLACE).cast("int").alias("slot"),
