@@ -74,6 +74,20 @@ def _postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("word string, block bigint, n_docs int, n int, places array<bigint>, bucket int").parquet(f"{path}/postings")
 
 
+_LISTED = 10_000
+
+
+def _of_words(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """Postings of ``wanted`` ``(bucket, word)``, distinct rows.  Up to ``_LISTED`` words are
+    named to the scan, which reads their buckets only and skips row groups by word;
+    more meet the postings in a join."""
+    rows = _postings(spark, path)
+    names = wanted.limit(_LISTED + 1).collect()
+    if len(names) > _LISTED:
+        return rows.join(wanted, ["bucket", "word"])
+    return rows.where(F.col("bucket").isin(sorted({r["bucket"] for r in names})) & F.col("word").isin(sorted({r["word"] for r in names})))
+
+
 def directory(spark: SparkSession, path: str) -> DataFrame:
     """``(word, bucket, blocks, docs, places)`` of every word of a stored index."""
     return spark.read.schema("word string, bucket int, blocks bigint, docs bigint, places bigint").parquet(f"{path}/words")
@@ -86,8 +100,8 @@ def _docs(spark: SparkSession, path: str) -> DataFrame:
 def read_index(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
     """``(word, doc_id, positions)`` of ``words`` (column ``word``): one row per word and
     document that has it.  Only buckets of these words are read."""
-    wanted = words.select("word").distinct().join(directory(spark, path), "word").select("word", "bucket")
-    rows = _postings(spark, path).join(wanted, ["bucket", "word"])
+    wanted = cut_lineage(words.select("word").distinct().join(directory(spark, path), "word").select("bucket", "word"))
+    rows = _of_words(spark, path, wanted)
     each = rows.select("word", "block", F.explode("places").alias("place"))
     lists = each.groupBy("word", "block", F.shiftright("place", _PLACE).cast("int").alias("slot")).agg(
         F.sort_array(F.collect_list(F.col("place").bitwiseAND((1 << _PLACE) - 1).cast("int"))).alias("positions"))
@@ -123,7 +137,7 @@ def search_index(spark: SparkSession, path: str, phrases: DataFrame, phrase: str
     longest = words.agg(F.max("n_tokens")).first()[0] or 1
     # the postings of the phrases' words, read once and dealt over the cores
     wanted = words.select("bucket", "word").distinct()
-    rows = cut_lineage(spread(_postings(spark, path).join(wanted, ["bucket", "word"])).select("word", "block", "places"))
+    rows = cut_lineage(spread(_of_words(spark, path, wanted).select("word", "block", "places")))
 
     def at(step: int) -> DataFrame:
         return words.where(F.col("step") == step).select("phrase", "n_tokens", "offset", "word")
