@@ -12,9 +12,9 @@ row per user, app and day with the number of opens.  Every feature family
 the raw open log is scanned and shuffled once; days per category stay exact
 because the day column is kept.  Per-user maps are ``collect_list`` of one
 entry per distinct key, so their size is bounded by the app catalogue, not
-by the number of events.  Dimension joins are left to Spark's size-checked
-broadcast (``autoBroadcastJoinThreshold`` on the scan estimate, re-checked by
-AQE at run time), with a sort-merge join as the fallback for a large catalogue.
+by the number of events.  Dimension joins broadcast a catalogue whose counted
+rows fit ``autoBroadcastJoinThreshold``; a larger one meets the rows in a
+sort-merge join.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.maps import count_map
 from ..functions.scalar import epoch_ms_to_day, non_blank
 from ..session import cut_lineage
+from .skew import sized
 
 # The four tag bands of the tag-distribution report (PRO-05),
 # half-open [low, high).
@@ -70,6 +71,15 @@ def _escape(s: str) -> str:
     return "".join("\\" + c if c in ".^$*+?()[]{}|\\" else c for c in s)
 
 
+_DIM_BYTES = 96  # a dimension row in a hash table
+
+
+def _of_apps(rows: DataFrame, dim: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the dimension rows of their app; a counted catalogue beyond the
+    broadcast bound is joined by shuffle, so no task and no driver holds it."""
+    return rows.join(sized(dim, dim.count(), _DIM_BYTES), "app_name", how)
+
+
 # ---------------------------------------------------- open features ---
 
 def daily_opens(opens: DataFrame) -> DataFrame:
@@ -89,7 +99,7 @@ def open_app_stats(opens: DataFrame) -> DataFrame:
 def open_dim_stats(opens: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """AGG-02/03/04: ``(guid, key, days, times)`` through a dimension."""
     d = daily_opens(opens)
-    j = d.join(dim, "app_name")
+    j = _of_apps(d, dim)
     if key != "tag":
         j = j.where(non_blank(key))
     per_day = j.groupBy("guid", key, "day").agg(F.sum("n").alias("n"))
@@ -101,7 +111,7 @@ def open_dim_stats(opens: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 def install_dim_counts(installs: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """AGG-05/06: ``(guid, key, count)`` = distinct installed apps per key."""
-    j = installs.join(dim, "app_name")
+    j = _of_apps(installs, dim)
     if key != "tag":
         j = j.where(non_blank(key))
     return j.groupBy("guid", key).agg(F.count_distinct("app_name").alias("count"))
@@ -110,7 +120,7 @@ def install_dim_counts(installs: DataFrame, dim: DataFrame, key: str) -> DataFra
 def install_tag_counts(installs: DataFrame, tag_dim: DataFrame, mode: str = "presence") -> DataFrame:
     """AGG-07: per (guid, tag).  ``presence`` reproduces the reference, which
     counts distinct tags per tag (always 1); ``apps`` counts the apps."""
-    j = installs.join(tag_dim, "app_name")
+    j = _of_apps(installs, tag_dim)
     if mode == "apps":
         return j.groupBy("guid", "tag").agg(F.count_distinct("app_name").alias("count"))
     return j.select("guid", "tag").distinct().withColumn("count", F.lit(1).cast("bigint"))
@@ -129,12 +139,13 @@ PROFILE_COLUMNS = ["guid", "install_app", "install_category_count", "install_sub
                    "open_tag_times", "date_p"]
 
 FAMILIES = ("category", "sub_category", "tag")
+_ROWS_A_TASK = 120_000  # daily rows, before their keys are exploded
 
 
 def _family_keys(meta: DataFrame, tag_sep: str) -> DataFrame:
-    """``(app_name, fam, key)``: every (family, key) of an app in one row set,
-    with the same rules as ``app_dimensions`` (non-blank category and
-    sub-category; tags split from non-blank tag text, empty pieces kept)."""
+    """``(app_name, keys)``: every (family, key) of an app in one row, with the same
+    rules as ``app_dimensions`` (non-blank category and sub-category; tags split
+    from non-blank tag text, empty pieces kept); an app listed twice has its keys twice."""
     entry = "struct<fam:string,key:string>"
     one = [F.when(non_blank(c), F.struct(F.lit(c).alias("fam"), F.col(c).cast("string").alias("key")))
            for c in ("category", "sub_category")]
@@ -143,9 +154,9 @@ def _family_keys(meta: DataFrame, tag_sep: str) -> DataFrame:
                               lambda x: F.struct(F.lit("tag").alias("fam"), x.alias("key"))))
     allk = F.concat(F.array(*one).cast(f"array<{entry}>"),
                     F.coalesce(tags.cast(f"array<{entry}>"), F.array().cast(f"array<{entry}>")))
-    return (meta.select("app_name", F.explode(allk).alias("f"))
-                .where(F.col("f").isNotNull())
-                .select("app_name", F.col("f.fam").alias("fam"), F.col("f.key").alias("key")))
+    known = F.filter(allk, lambda k: k.isNotNull())
+    return (meta.where(F.col("app_name").isNotNull()).groupBy("app_name")
+                .agg(F.flatten(F.collect_list(known)).alias("keys")))
 
 
 def _family_map(fam: str, key: str, value: str):
@@ -164,26 +175,34 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
     (the reference drives from installs, Q10).
 
     Plan: one daily pre-aggregate of the opens, checkpointed, feeds
-    everything; metadata is joined once per side and exploded into (family,
-    key) rows; one per-user aggregate builds all maps of a side, so the two
-    sides arrive partitioned by user and the final join needs no further
-    shuffle.  ``installs=None`` derives installs from the opens (distinct
+    everything; it meets the keys of the apps, one row per app, and is dealt by
+    user.  All that follows, from exploding the keys to the maps and the final
+    join, is grouped by user within a task, so the exploded rows are never
+    shuffled.  ``installs=None`` derives installs from the opens (distinct
     user/app pairs).  ``dedupe_meta`` removes duplicate metadata rows (the
     reference multiplies open times when an app is listed twice, Q7).
     """
-    fam_keys = _family_keys(meta, tag_sep)
+    keys = _family_keys(meta, tag_sep)
     if dedupe_meta:  # Q7 option: an app listed twice no longer multiplies its opens
-        fam_keys = fam_keys.distinct()
+        keys = keys.withColumn("keys", F.array_distinct("keys"))
+    keys = cut_lineage(keys)
     daily = cut_lineage(daily_opens(opens))  # the open log is read once, here
-    app_stats = (daily.where(non_blank(F.col("app_name").cast("string")))
-                 .groupBy("guid", "app_name").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
-    fam_open = (daily.join(fam_keys, "app_name")
-                .groupBy("guid", "fam", "key", "day").agg(F.sum("n").alias("n"))
-                .groupBy("guid", "fam", "key").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
-    open_long = (app_stats.select("guid", F.lit("app").alias("fam"), F.col("app_name").alias("app"),
-                                  F.lit(None).cast("string").alias("key"), "days", "times")
-                 .unionByName(fam_open.select("guid", "fam", F.lit(None).cast(app_stats.schema["app_name"].dataType)
-                                              .alias("app"), "key", "days", "times")))
+    parts = max(opens.sparkSession.sparkContext.defaultParallelism, daily.count() // _ROWS_A_TASK)
+
+    def by_user(rows: DataFrame) -> DataFrame:
+        return _of_apps(rows, keys, "left").repartition(parts, "guid")
+
+    used = by_user(daily)
+    kind = daily.schema["app_name"].dataType.simpleString()
+    entry = f"array<struct<fam:string,app:{kind},key:string>>"
+    app = F.array(F.struct(F.lit("app").alias("fam"), F.col("app_name").alias("app"), F.lit(None).cast("string").alias("key")))
+    rest = F.transform("keys", lambda k: F.struct(k["fam"].alias("fam"), F.lit(None).cast(kind).alias("app"), k["key"].alias("key")))
+    none = F.array().cast(entry)
+    entries = F.concat(F.when(non_blank(F.col("app_name").cast("string")), app.cast(entry)).otherwise(none),
+                       F.coalesce(rest.cast(entry), none))
+    open_long = (used.select("guid", "day", "n", F.explode(entries).alias("e")).select("guid", "day", "n", "e.*")
+                 .groupBy("guid", "fam", "app", "key", "day").agg(F.sum("n").alias("n"))
+                 .groupBy("guid", "fam", "app", "key").agg(F.count("day").alias("days"), F.sum("n").alias("times")))
     open_cols = [_family_map("app", "app", "days").alias("open_app_days"),
                  _family_map("app", "app", "times").alias("open_app_times")]
     for fam, prefix in (("category", "open_category"), ("sub_category", "open_subcategory"), ("tag", "open_tag")):
@@ -191,17 +210,18 @@ def app_profile(installs: DataFrame | None, opens: DataFrame, meta: DataFrame, d
                       _family_map(fam, "key", "times").alias(f"{prefix}_times")]
     opened = open_long.groupBy("guid").agg(*open_cols)
 
-    # installs derived from the opens come from the same stored daily counts;
-    # installs of their own are read by two aggregates
-    inst = cut_lineage(installs) if installs is not None else app_stats.select("guid", "app_name")
-    inst_fam = (inst.join(fam_keys, "app_name")
-                .groupBy("guid", "fam", "key").agg(F.count_distinct("app_name").alias("count"))
-                .withColumn("count", F.when(F.col("fam") == "tag", F.lit(1).cast("bigint")).otherwise(F.col("count"))))
-    inst_long = (inst.select("guid", F.lit("app").alias("fam"), F.col("app_name").alias("app"),
-                             F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("count"))
-                 .unionByName(inst_fam.select("guid", "fam", F.lit(None).cast(inst.schema["app_name"].dataType)
-                                              .alias("app"), "key", "count")))
-    inst_cols = [F.array_sort(F.collect_list(F.when(F.col("fam") == "app", F.col("app")))).alias("install_app")]
+    # installs derived from the opens come from the same dealt rows; an app is listed as
+    # often as it is installed and counts once for a key
+    if installs is None:
+        inst = used.where(non_blank(F.col("app_name").cast("string"))).groupBy("guid", "app_name", "keys").agg(F.lit(1).alias("m"))
+    else:
+        inst = by_user(cut_lineage(installs)).groupBy("guid", "app_name", "keys").agg(F.count(F.lit(1)).cast("int").alias("m"))
+    once = F.concat(app.cast(entry), F.coalesce(F.array_distinct(rest.cast(entry)), none))
+    inst_long = (inst.select("guid", "m", F.explode(once).alias("e")).select("guid", "m", "e.*")
+                 .groupBy("guid", "fam", "app", "key").agg(F.max("m").alias("m"), F.count(F.lit(1)).alias("apps"))
+                 .withColumn("count", F.when(F.col("fam") == "tag", F.lit(1).cast("bigint")).otherwise(F.col("apps"))))
+    listed = F.collect_list(F.when((F.col("fam") == "app") & F.col("app").isNotNull(), F.struct("app", "m")))
+    inst_cols = [F.flatten(F.transform(F.array_sort(listed), lambda e: F.array_repeat(e["app"], e["m"]))).alias("install_app")]
     for fam, name in (("category", "install_category_count"), ("sub_category", "install_subcategory_count"),
                       ("tag", "install_tag_count")):
         inst_cols.append(_family_map(fam, "key", "count").alias(name))

@@ -34,6 +34,13 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= bound else df
 
 
+def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """``small``, and no broadcast at all beyond the bound: Spark's own estimate goes by
+    the compressed bytes of a scan, which may hold many times as many in memory."""
+    kept = small(df, rows, row_bytes)
+    return kept if kept is not df else df.hint("merge")
+
+
 def join_counted(rows: DataFrame, lookup: DataFrame, key: str | Sequence[str], n: str, total: int,
                  how: str = "inner") -> DataFrame:
     """``rows JOIN lookup`` on ``key`` (``how`` inner or left).
