@@ -14,9 +14,9 @@ Scale notes
   vertex id in which the few vertices above |E| / partitions are looked up by
   broadcast (see ``skew``), so a hub's rows stay where they are.  The edge set never grows:
   both steps only re-point edges, so the work per round is O(|E|).
-* Every round's edges are written with ``checkpoint()`` to the shared folder
-  named by ``spark.checkpoint.dir``: lineage stays one round deep and a lost
-  executor costs one round, not the whole loop.
+* Every round's edges are written as Parquet to the shared folder named by
+  ``spark.checkpoint.dir``, and those of the round before removed: lineage stays
+  one round deep and a lost executor costs one round, not the whole loop.
 * Convergence is one aggregate per round ("is the edge set a star forest?").
 * Before the first round and after each, every task contracts the edges it holds,
   a million at a time, to a star forest with the same components (``contract``):
@@ -29,6 +29,7 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -37,9 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import name_id
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from .skew import join_counted, small, width
-from ..sources.sinks import global_row_number
+from ..sources.sinks import global_row_number, remove_path
 
 # ---------------------------------------------------------------- basics ---
 
@@ -64,7 +65,7 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 def _pointed(rows: DataFrame, lookup: DataFrame, key: str, n: int, hubs: bool) -> DataFrame:
     """Rows joined with the minimum of their key; ``hubs``: some key may hold
     more than a partition's share."""
-    return join_counted(rows, lookup, key, "deg", n) if hubs else rows.join(lookup, key)
+    return join_counted(rows, lookup, key, "deg", n) if hubs else rows.join(lookup.hint("merge"), key)
 
 
 def _large_star(e: DataFrame, n: int, hubs: bool) -> DataFrame:
@@ -139,6 +140,14 @@ def _state(e: DataFrame) -> tuple[bool, int]:
     return not r[0], r[1] or 0
 
 
+def _packed(e: DataFrame) -> tuple[DataFrame, str]:
+    """Edges written to the shared checkpoint folder as Parquet, which packs numbers to a
+    fraction of a checkpoint's rows, and their path."""
+    path = f"{checkpoint_dir(e.sparkSession).rstrip('/')}/edges-{uuid.uuid4().hex}"
+    e.write.parquet(path)
+    return e.sparkSession.read.schema(e.schema).parquet(path), path
+
+
 def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Parent pointers ``(x, y)``: every non-root vertex that has an edge ->
     smallest id of its component (roots do not appear as ``x``).  Edges with
@@ -146,13 +155,16 @@ def component_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     pointers) falls every round, so it always ends."""
     links = edges.select(F.col(src).cast("bigint").alias("x"), F.col(dst).cast("bigint").alias("y"))
     # contracted where they lie, before the first shuffle
-    e = cut_lineage(undirected(contract(links.where(F.col("x") != F.col("y"))), "x", "y"))
+    e, at = _packed(undirected(contract(links.where(F.col("x") != F.col("y"))), "x", "y"))
     n = e.count()
     done, top = _state(e)
     while not done:
         hubs = top > n // width(e)
-        e = cut_lineage(contract(_small_star(cut_lineage(_large_star(e, n, hubs)), n, hubs)))
-        n = e.count()
+        large, between = _packed(_large_star(e, n, hubs))
+        e, to = _packed(contract(_small_star(large, n, hubs)))
+        for path in (at, between):
+            remove_path(e.sparkSession, path)
+        at, n = to, e.count()
         done, top = _state(e)
     return e
 
@@ -167,7 +179,7 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, src: str
     if vertices is not None:
         ids = ids.unionByName(vertices.select(F.col(id_col).alias("id")))
     ids = ids.where(F.col("id").isNotNull()).distinct()
-    return (ids.join(parents.select(F.col("x").alias("id"), F.col("y").alias("p")), "id", "left")
+    return (ids.join(parents.select(F.col("x").alias("id"), F.col("y").alias("p")).hint("merge"), "id", "left")
                .select("id", F.coalesce("p", "id").alias("component")))
 
 
