@@ -31,9 +31,11 @@ def normalise_token(tok) -> Column:
 # TXT-01 in one regex pass over the whole text: a token starts where the
 # previous character is whitespace (or at the start), leading non-word
 # characters are skipped, the first run of a-z is captured and the rest of
-# the token is consumed.  Tokens without a match produce nothing.
+# the token is consumed.  Tokens without a match produce nothing.  Plain characters
+# are tried before the long class of whitespace, and no loop gives anything back.
 _WS_BODY = WHITESPACE_CLASS[1:-1]
-TEXT_TOKEN_PATTERN = (f"(?<![^{_WS_BODY}])[^\\p{{L}}\\p{{N}}_{_WS_BODY}]*([a-z]+)[^{_WS_BODY}]*")
+_VISIBLE = f"[!-~[^{_WS_BODY}]]"
+TEXT_TOKEN_PATTERN = (f"(?<!{_VISIBLE})(?:(?![a-z])[^\\p{{L}}\\p{{N}}_{_WS_BODY}])*+([a-z]++){_VISIBLE}*+")
 
 
 def index_tokens(text) -> Column:

@@ -3,13 +3,14 @@
 Documents are dealt into blocks of up to 1024, numbered where they lie.  The
 index has three tables under one folder:
 
-``postings``  one row per (word, block): the sorted places of the word in the
-              block's documents, ``slot << 32 | position``.  A frequent word has a row
+``postings``  one row per (word, block), or several where a block has millions of tokens:
+              the sorted places of the word in the block's documents,
+              ``slot << 32 | position``.  A frequent word has a row
               for each block, so no row and no task grows with the corpus.  Rows are
               in directories by a hash bucket of the word, sorted by word and block,
               and Parquet stores the places as bit-packed differences.
 ``words``     the directory: one row per word with its bucket and its number of
-              blocks, documents and places.
+              rows in blocks, documents and places.
 ``docs``      (block, slot) -> doc_id.
 
 Buckets follow the number of tokens; Spark's rebalancing splits a large bucket (a
@@ -24,16 +25,20 @@ corpus takes part.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .search import _explode_rows, phrase_table
+from .search import phrase_table, token_slices
 from .skew import spread
 
 BLOCK_BITS = 10
 TOKENS_PER_BUCKET = 1 << 27
 _PLACE = 32  # bits of a position; the slot stands above them
+_AT_ONCE = 1 << 21  # tokens of a block whose postings are made at once
 
 
 def number_docs(doc_toks: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
@@ -45,14 +50,46 @@ def number_docs(doc_toks: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     return cut_lineage(rows)
 
 
+def _lists(held: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
+    """The postings of some documents of a block."""
+    toks = pa.concat_arrays([b.column(2) for b in held])
+    slot = np.concatenate([b.column(1).to_numpy() for b in held]).astype(np.int64)
+    kinds, row = toks.flatten().dictionary_encode(), pc.list_parent_indices(toks).to_numpy()
+    begin = np.searchsorted(row, np.arange(len(slot)))  # a document's first token among all
+    place = slot[row] << _PLACE | (np.arange(len(row)) - begin[row])
+    word = kinds.indices.to_numpy()
+    order = np.lexsort((place, word)) if (np.diff(slot) < 0).any() else np.argsort(word, kind="stable")
+    place, word = place[order], word[order]
+    n = np.bincount(word, minlength=len(kinds.dictionary))
+    fresh = np.append(True, (np.diff(word) != 0) | (np.diff(place >> _PLACE) != 0))[:len(word)]
+    docs = np.bincount(word[fresh], minlength=len(n))
+    ends = np.append(0, np.cumsum(n)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [kinds.dictionary, pa.array(np.full(len(n), block, np.int64)), pa.array(docs.astype(np.int32)), pa.array(n.astype(np.int32)),
+         pa.ListArray.from_arrays(pa.array(ends), pa.array(place))], names=["word", "block", "n_docs", "n", "places"])
+
+
 def postings(numbered: DataFrame) -> DataFrame:
-    """``(word, block, n_docs, n, places)``.  A block lies in one task, so its lists are
-    gathered before the shuffle."""
-    rows = _explode_rows(numbered, ["block", "slot"], F.col("toks"), ("pos", "word"))
-    place = F.shiftleft(F.col("slot").cast("bigint"), _PLACE).bitwiseOR(F.col("pos").cast("bigint"))
-    lists = rows.groupBy("word", "block").agg(F.sort_array(F.collect_list(place)).alias("places"))
-    docs = F.size(F.array_distinct(F.transform("places", lambda p: F.shiftright(p, _PLACE))))
-    return lists.select("word", "block", docs.alias("n_docs"), F.size("places").alias("n"), "places")
+    """``(word, block, n_docs, n, places)``.  A block's documents lie together in one task,
+    so its lists are made there without a shuffle, of up to ``_AT_ONCE`` tokens at a
+    time: a block with more has several rows for a word, of different documents."""
+    def run(batches):
+        held, block, tokens = [], None, 0
+        for b in token_slices(batches, most=_AT_ONCE):
+            blocks = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for i, j in zip(cuts, cuts[1:]):
+                part = b.slice(i, j - i)
+                if held and (blocks[i] != block or tokens >= _AT_ONCE):
+                    yield _lists(held, block)
+                    held, tokens = [], 0
+                block = int(blocks[i])
+                held.append(part)
+                tokens += len(part.column(2).flatten())
+        if held:
+            yield _lists(held, block)
+
+    return numbered.select("block", "slot", "toks").mapInArrow(run, "word string, block bigint, n_docs int, n int, places array<bigint>")
 
 
 def write_index(numbered: DataFrame, path: str, tokens_per_bucket: int = TOKENS_PER_BUCKET) -> None:
