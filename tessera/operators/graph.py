@@ -274,16 +274,22 @@ def reduce_id_sets(pairs: DataFrame, uid: str = "uid", wifi: str = "wifi") -> Da
     ``(set_id, kind, member)`` with kind ``uid`` / ``wifi`` / ``merged``;
     the long form keeps a giant set spread over many tasks.
     """
-    p = cut_lineage(pairs.select(F.col(uid).alias("uid"), F.col(wifi).alias("wifi")).where(F.col("uid").isNotNull()).distinct())
+    p, pairs_at = _packed(pairs.select(F.col(uid).alias("uid"), F.col(wifi).alias("wifi")).where(F.col("uid").isNotNull()).distinct())
     uids = global_row_number(p.select("uid").distinct(), ["uid"], out="sid")
-    ps = p.where(F.col("wifi").isNotNull()).join(uids, "uid").select("sid", "wifi")
-    linked = cut_lineage(cooccurrence_edges(ps, ["wifi"], "sid"))
-    comp = connected_components(uids.select(F.col("sid").alias("id")), linked, id_col="id")
+    # distinct as they are: a uid has one number
+    ps, numbered_at = _packed(p.where(F.col("wifi").isNotNull()).join(uids, "uid").select("sid", "wifi"))
+    # a wifi's sets all become one, so its least number tells which
+    least = cut_lineage(ps.groupBy("wifi").agg(F.min("sid").alias("least"), F.count(F.lit(1)).alias("_n")))
+    linked = join_counted(ps, least, "wifi", "_n", ps.count()).where(F.col("sid") != F.col("least"))
+    parents = component_edges(linked, "least", "sid")
     # every uid with its number and set: uids and numbers are members as they are
-    named = cut_lineage(uids.join(comp.select(F.col("id").alias("sid"), F.col("component").alias("set_id")), "sid"))
+    named = cut_lineage(uids.join(parents.select(F.col("x").alias("sid"), F.col("y").alias("parent")).hint("merge"), "sid", "left")
+                        .select("uid", "sid", F.coalesce("parent", "sid").alias("set_id")))
+    for path in (pairs_at, numbered_at):
+        remove_path(p.sparkSession, path)
     members_uid = named.select("set_id", F.lit("uid").alias("kind"), F.col("uid").cast("string").alias("member"))
     merged = named.select("set_id", F.lit("merged").alias("kind"), F.col("sid").cast("string").alias("member"))
-    members_wifi = (p.where(F.col("wifi").isNotNull()).join(named.select("uid", "set_id"), "uid")
+    members_wifi = (least.join(named.select(F.col("sid").alias("least"), "set_id"), "least")
                     .select("set_id", F.lit("wifi").alias("kind"), F.col("wifi").cast("string").alias("member")).distinct())
     return members_uid.unionByName(members_wifi).unionByName(merged)
 

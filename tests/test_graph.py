@@ -138,6 +138,42 @@ def test_id_sets_chain_is_one_set(spark):
     assert set(_sets(G.reduce_id_sets(spark.createDataFrame(pairs, "uid string, wifi string")))) == {1}
 
 
+def test_id_sets_by_brute_force_without_second_passes(spark, monkeypatch):
+    """Pairs are distinct and numbers vertices already: neither is made anew, and a wifi's
+    set comes from one of its numbers."""
+    def unused(*args, **kwargs):
+        raise AssertionError("a pass over all pairs too many")
+
+    monkeypatch.setattr(G, "cooccurrence_edges", unused)
+    monkeypatch.setattr(G, "connected_components", unused)
+    pairs = [(f"p{i * 7 % 40}", f"n{i * i % 61}") for i in range(90)] * 2 + [("hot", f"n{i}") for i in range(3)] + [("alone", None), (None, "n1"), (None, "n99")]
+    pairs += [(f"q{i}", "crowd") for i in range(200)]
+    uids = sorted({u for u, _ in pairs if u})
+    parent = {u: u for u in uids}
+
+    def root(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    first = {}
+    for u, w in pairs:
+        if u and w:
+            a, b = sorted((root(u), root(first.setdefault(w, u))))
+            parent[b] = a
+    want = {}
+    for u, w in pairs:
+        if u:
+            number = uids.index(root(u)) + 1
+            held = want.setdefault(number, {"uid": set(), "merged": set()})
+            held["uid"].add(u)
+            held["merged"].add(str(uids.index(u) + 1))
+            if w:
+                held.setdefault("wifi", set()).add(w)
+    out = G.reduce_id_sets(spark.createDataFrame(pairs, "uid string, wifi string"))
+    assert _sets(out) == want and out.count() == sum(len(m) for s in want.values() for m in s.values())
+
+
 def _actions(spark):
     rows = [(*r, None, i) for i, r in enumerate(LOG)]
     return spark.createDataFrame(rows, "uid bigint, wifi_name string, geohash string, ip string, day_num int, "
