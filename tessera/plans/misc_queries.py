@@ -310,5 +310,5 @@ def price_bands(t: Tables) -> DataFrame:
     li = t.lineitem.select(F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit"), "l_quantity")
     bands = t.part.select("p_partkey", F.col("p_retailprice").alias("lo"),
                           (F.col("p_retailprice") * (1 + (F.col("p_partkey") % 7) / F.lit(1000.0))).alias("hi"))
-    met = band_join(li, bands, "unit", "lo", "hi")
-    return met.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+    met = band_join(li, bands, "unit", "lo", "hi", sums=["l_quantity"])
+    return met.groupBy("p_partkey").agg(F.sum("n").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
